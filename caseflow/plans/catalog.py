@@ -1,4 +1,9 @@
 """Loads every query module, which fills the registry."""
 
-from caseflow.plans import event_queries, panel_queries  # noqa: F401
+from caseflow.plans import (  # noqa: F401
+    event_queries,
+    ingest_queries,
+    panel_queries,
+    quality_queries,
+)
 from caseflow.plans.registry import ORACLES, QUERIES  # noqa: F401
