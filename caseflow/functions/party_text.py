@@ -21,6 +21,7 @@ _ADMIN = r"ADMINISTRADOR\s+JUDICIAL"
 _TRUSTEE = r"\(S[IÍ]NDICO\s+DO\(A\)"
 _ROLES = "|".join(PARTY_ROLES)
 
+MENTIONS_PARTY = _FLAGS + f"{_ENROLMENT}|{_NOTICE}"
 ENROLMENT = _FLAGS + _ENROLMENT
 NOTICE = _FLAGS + _NOTICE
 NAME_A = _FLAGS + _ENROLMENT + _ADMIN + r"\s*\(([^)]+)\)\s*\("

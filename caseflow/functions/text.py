@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import html
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def strip_quotes(text: Column) -> Column:
@@ -60,10 +58,36 @@ def list_items(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
-@F.pandas_udf(StringType())
-def unescape_html(text: pd.Series) -> pd.Series:
-    """PJ18: decode named and numeric character references of an attribute value."""
-    return text.map(html.unescape, na_action="ignore")
+def unescape_html(text: Column) -> Column:
+    """PJ18: decode &name;, &#123; and &#x7B; references; anything else stays as it is."""
+    for name, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("apos", "'")):
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    # what is left is nearly always &amp; alone
+    rare = text.rlike(r"&(?!amp;)(?:#|[a-zA-Z])\w+;")
+    return F.when(rare, _decode_references(text)).otherwise(F.replace(text, F.lit("&amp;"), F.lit("&")))
+
+
+def _decode_references(text: Column) -> Column:
+    names = F.create_map(*[
+        F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    after_amp = F.split(text, "&")
+
+    def character(code: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def decode(piece: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        decimal = F.regexp_extract(name, r"^#(\d{1,7})$", 1).try_cast("int")
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]{1,6})$", 1), F.lit("")), 16, 10)
+        code = F.coalesce(decimal, hexadecimal.try_cast("int"))
+        found = F.when(F.startswith(name, F.lit("#")), F.when(code.between(1, 0x10FFFF), character(code))
+                       ).otherwise(F.try_element_at(names, name))
+        rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+        return F.coalesce(F.when(F.contains(piece, F.lit(";")), F.concat(found, rest)),
+                          F.concat(F.lit("&"), piece))
+
+    decoded = F.transform(F.slice(after_amp, F.lit(2), F.size(after_amp)), decode)
+    return F.concat(after_amp[0], F.array_join(decoded, ""))
 
 
 # ---- complement arrays: [name, detail ..., "label: person - role"] -------------------

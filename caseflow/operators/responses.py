@@ -110,12 +110,9 @@ def basic_data(parsed: DataFrame) -> DataFrame:
 
 def tree_text(parsed: DataFrame) -> DataFrame:
     """PJ18, UN8: the escaped tree parameter decoded to its JSON array (NULL if unusable)."""
-    raw = parsed.select("numero_processo",
-                        named_parameter(F.col("basico.outroParametro"), TREE_PARAMETER).alias("raw"))
-    decoded = raw.filter(F.col("raw").isNotNull()).withColumn("json", tx.unescape_html(F.col("raw")))
-    return decoded.select(
-        "numero_processo",
-        F.from_json("json", "arvoreProcessual string")["arvoreProcessual"].alias("arvore"))
+    raw = named_parameter(F.col("basico.outroParametro"), TREE_PARAMETER)
+    decoded = F.from_json(tx.unescape_html(raw), "arvoreProcessual string")
+    return parsed.select("numero_processo", decoded["arvoreProcessual"].alias("arvore"))
 
 
 def case_digest(parsed: DataFrame) -> DataFrame:

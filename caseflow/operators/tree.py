@@ -42,9 +42,10 @@ def flatten_trees(trees: DataFrame, column: str = "arvore", levels: int | None =
     deepest nesting found in the data.  Text that is not a tree gives no row.
     """
     levels = deepest_tree(trees, column) if levels is None else levels
-    root = F.try_element_at(F.from_json(F.col(column), TREE_LEVEL), F.lit(1))
+    # exploding the one-element list, rather than filtering, parses the text once
+    roots = F.slice(F.from_json(F.col(column), TREE_LEVEL), 1, 1)
     missing = F.lit(None).cast("string")
-    rows = trees.select(root.alias("r")).filter(F.col("r").isNotNull()).select(
+    rows = trees.select(F.explode(roots).alias("r")).filter(F.col("r").isNotNull()).select(
         F.col("r.numeroUnico").alias("processo_raiz"),
         _node(F.col("r"), missing, F.lit(0), F.lit(1)).alias("no"))
     for _ in range(max(levels - 1, 0)):
@@ -64,13 +65,13 @@ def flatten_trees(trees: DataFrame, column: str = "arvore", levels: int | None =
 
 
 def _node(item: Column, parent: Column, depth: Column, order: Column) -> Column:
-    children = F.from_json(item["processos"], TREE_LEVEL)
-    is_leaf = F.coalesce(F.size(children), F.lit(0)) <= 0
+    children = item["processos"]
+    is_leaf = children.isNull() | children.rlike(r"^\s*\[\s*\]\s*$")
     return F.struct(
         item["numeroUnico"].alias("numero"), parent.alias("pai"), depth.alias("profundidade"),
         order.alias("ordem"), item["instancia"].alias("instancia"),
         item["sequencial"].alias("sequencial"), is_leaf.alias("folha"),
-        F.when(~is_leaf, item["processos"]).alias("pendentes"))
+        F.when(~is_leaf, children).alias("pendentes"))
 
 
 def _self_and_children(node: Column) -> Column:
@@ -82,7 +83,7 @@ def _self_and_children(node: Column) -> Column:
         F.from_json(node["pendentes"], TREE_LEVEL),
         lambda child, i: _node(child, node["numero"], node["profundidade"] + 1, i + 1))
     return F.when(node["pendentes"].isNull(), F.array(done)).otherwise(
-        F.concat(F.array(done), children))
+        F.coalesce(F.concat(F.array(done), children), F.array(done)))
 
 
 def tree_rejects(trees: DataFrame, column: str = "arvore") -> DataFrame:

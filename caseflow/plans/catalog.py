@@ -5,5 +5,6 @@ from caseflow.plans import (  # noqa: F401
     ingest_queries,
     panel_queries,
     quality_queries,
+    structure_queries,
 )
 from caseflow.plans.registry import ORACLES, QUERIES  # noqa: F401

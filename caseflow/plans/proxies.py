@@ -292,14 +292,19 @@ def _fill(template: str, person: Column, company: Column) -> Column:
     return F.concat(*pieces)
 
 
-def _sentence() -> Column:
+def company_name() -> Column:
     key = F.col("o_custkey").cast("string")
-    person = F.concat(F.lit("Ana Lima "), key)
     company = F.lit(None).cast("string")
     for i, name in enumerate(_COMPANIES):
         head, tail = name.split("{k}")
         company = F.when(F.col("o_custkey") % len(_COMPANIES) == i,
                          F.concat(F.lit(head), key, F.lit(tail))).otherwise(company)
+    return company
+
+
+def _sentence() -> Column:
+    person = F.concat(F.lit("Ana Lima "), F.col("o_custkey").cast("string"))
+    company = company_name()
     text = F.lit(None).cast("string")
     for i, template in enumerate(_TEMPLATES):
         text = F.when(F.col("o_orderkey") % (len(_TEMPLATES) + 1) == i,
@@ -308,16 +313,23 @@ def _sentence() -> Column:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One movement per order whose detail text follows one of the templates, or is NULL."""
+    """One movement per order whose detail text follows one of the templates, or is NULL.
+
+    Exploding a one-element list makes the text a plain input column, as in a
+    stored table; otherwise the optimizer rebuilds it inside every pattern test.
+    """
     key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
+    stored = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus",
+        F.explode(F.array(_sentence())).alias("_sentence"))
+    return stored.select(
         case_number("o_orderkey").alias("numero_processo"),
         F.substring("o_orderpriority", 1, 1).alias("classe_processual"),
         key.cast("string").alias("movimento_sequencia"),
         F.date_format(F.col("o_orderdate").cast("timestamp"), "dd/MM/yyyy HH:mm:ss").alias("movimento_data_hora"),
         (key % 100).cast("string").alias("movimento_codigo"),
         F.lit("Mov").alias("movimento_nome"),
-        _sentence().alias("complemento_projudi_descricao"),
+        F.col("_sentence").alias("complemento_projudi_descricao"),
         F.lower("o_orderstatus").alias("complemento_projudi_movimentado_por_nome"),
         F.lit("juiz").alias("complemento_projudi_movimentado_por_cargo"),
     )
