@@ -49,7 +49,12 @@ class Fit:
 
     @property
     def deviance(self) -> float:
-        return self.model.summary.deviance
+        return float(self.model.summary.deviance)
+
+    @property
+    def aic(self) -> float:
+        # y is 0 or 1, so the deviance is minus twice the log-likelihood
+        return self.deviance + 2 * (len(self.terms) + 1)
 
     @property
     def coefficients(self) -> dict[str, float]:
@@ -92,7 +97,7 @@ def coefficient_table(spark: SparkSession, fit: Fit) -> DataFrame:
 
 def fit_table(spark: SparkSession, *fits: Fit) -> DataFrame:
     """ML5: parameters, deviance and AIC of each model."""
-    rows = [(f.name, len(f.terms) + 1, float(f.deviance), float(f.model.summary.aic)) for f in fits]
+    rows = [(f.name, len(f.terms) + 1, f.deviance, f.aic) for f in fits]
     return spark.createDataFrame(rows, "modelo string, k int, deviance double, aic double")
 
 
@@ -238,5 +243,5 @@ def segmented_table(spark: SparkSession, psi: float, fit: Fit) -> DataFrame:
     """ML7: breakpoint and the slopes on both sides."""
     b = fit.coefficients
     return spark.createDataFrame(
-        [(float(psi), b["t"], b["t"] + b["u"], float(fit.deviance), float(fit.model.summary.aic))],
+        [(float(psi), b["t"], b["t"] + b["u"], fit.deviance, fit.aic)],
         "quebra double, inclinacao_antes double, inclinacao_depois double, deviance double, aic double")

@@ -3,6 +3,8 @@
 from caseflow.plans import (  # noqa: F401
     event_queries,
     ingest_queries,
+    io_queries,
+    model_queries,
     panel_queries,
     quality_queries,
     structure_queries,
