@@ -78,8 +78,8 @@ def query_time_to_display(raw: Column) -> Column:
 
 
 def is_midnight(ts: Column) -> Column:
-    """TS12: the time of day is 00:00:00, to the second."""
-    return F.date_trunc("second", ts) == F.date_trunc("day", ts)
+    """TS12: the UTC time of day is 00:00:00, to the second."""
+    return F.pmod(F.unix_seconds(ts), F.lit(86_400)) == 0
 
 
 def month_start(ts: Column) -> Column:

@@ -203,7 +203,7 @@ def prediction_grid(data: DataFrame, fit: Fit, knots: list[float], origin: str,
 # ---- ML7: one breakpoint ----------------------------------------------------------------------
 
 
-def fit_segmented(data: DataFrame, max_rounds: int = 12, tolerance: float = 1e-4) -> tuple[float, Fit]:
+def fit_segmented(data: DataFrame, max_rounds: int = 10, tolerance: float = 1e-3) -> tuple[float, Fit]:
     """ML7: y ~ t + (t - psi)+ with psi found by repeated linearisation.
 
     Each round refits with the extra term -1(t > psi), whose coefficient gives

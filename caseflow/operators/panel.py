@@ -111,13 +111,15 @@ def other_courts(cases: DataFrame, spec: tuple[int, ...], since: str | None = No
     return cases.filter(~specialised(spec) & in_month_range("mes_ajuizamento", since))
 
 
-def other_courts_wide(cases: DataFrame, spec: tuple[int, ...], since: str) -> DataFrame:
-    """Q4: non-specialised courts by month."""
+def other_courts_wide(
+    cases: DataFrame, spec: tuple[int, ...], since: str, months: list[date] | None = None
+) -> DataFrame:
+    """Q4: non-specialised courts by month; ``months`` fixes the columns, else those found."""
     counts = (
         other_courts(cases, spec, since)
         .groupBy("orgao_julgador_nome", F.col("mes_ajuizamento").alias("mes")).agg(F.count("*").alias("n"))
     )
-    months = months_of(counts, "mes")
+    months = months_of(counts, "mes") if months is None else months
     return pivot_months(counts, ["orgao_julgador_nome"], "mes", months).orderBy("orgao_julgador_nome")
 
 

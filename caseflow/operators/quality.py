@@ -172,12 +172,19 @@ MIDNIGHT_MEANING = {
 
 
 def midnight_audit(frame: DataFrame, parsed: str, raw: str) -> DataFrame:
-    """TS6, TS12, WN3, PJ13: parsed midnights against midnights written in the raw text."""
-    flags = frame.filter(F.col(parsed).isNotNull()).select(
+    """TS6, TS12, WN3, PJ13: parsed midnights against midnights written in the raw text.
+
+    Unparsed rows leave after the count (their flag is NULL): a filter before it
+    would make Spark parse every time twice.
+    """
+    flags = frame.select(
         ts.is_midnight(F.col(parsed)).alias("eh_meianoite"),
         F.col(raw).rlike(ts.ISO_MIDNIGHT).alias("raw_meianoite"),
     )
-    counts = flags.groupBy("eh_meianoite", "raw_meianoite").agg(F.count("*").alias("qtd"))
+    counts = (
+        flags.groupBy("eh_meianoite", "raw_meianoite").agg(F.count("*").alias("qtd"))
+        .filter(F.col("eh_meianoite").isNotNull())
+    )
     total = F.sum("qtd").over(Window.partitionBy())  # at most four rows
     meaning = F.lit("Outro caso")
     for (parsed_flag, raw_flag), text in MIDNIGHT_MEANING.items():

@@ -75,7 +75,8 @@ WITH {px.CASES_SQL}, others AS (SELECT orgao_julgador_nome, mes_ajuizamento AS m
 SELECT orgao_julgador_nome, {_pivot_sql(_months(SINCE, "2001-08-01"))}
 FROM others GROUP BY orgao_julgador_nome""")
 def q4(spark, sf_dir):
-    return panel.other_courts_wide(px.cases(spark, sf_dir), px.SPEC, SINCE)
+    months = [date.fromisoformat(m) for m in _months(SINCE, "2001-08-01")]
+    return panel.other_courts_wide(px.cases(spark, sf_dir), px.SPEC, SINCE, months)
 
 
 @query("q5_nonspec_list", f"""

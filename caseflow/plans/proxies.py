@@ -20,6 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def orders_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders over at least as many tasks as there are cores.
+
+    Parsing a document costs far more than moving its row.  A landed folder has
+    many files; where the table has fewer scan tasks than cores, its rows are
+    spread by key first, and a larger table is left as it is.
+    """
+    orders = table(spark, sf_dir, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    if orders.rdd.getNumPartitions() >= cores:
+        return orders
+    return orders.repartition(cores, "o_orderkey")
+
+
 def case_number(key: Column | str) -> Column:
     return F.lpad(F.col(key).cast("string") if isinstance(key, str) else key.cast("string"), 20, "0")
 
@@ -159,7 +173,7 @@ def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 6, F.when(third == 0, "abc").when(third == 1, "").otherwise(F.lit(None)))
         .otherwise(F.concat(show(filed, iso), F.lit("Z")))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", moment.alias("moment"), text.alias("texto"))
+    return orders_spread(spark, sf_dir).select("o_orderkey", moment.alias("moment"), text.alias("texto"))
 
 
 def case_documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +215,7 @@ def case_documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             (j * 1000 + owner % 100).alias("codigo"), text('Assunto "', j, '"').alias("nome"))).alias("assuntos"),
         F.transform(counter(key % 4), movement).alias("movimentos"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return orders_spread(spark, sf_dir).select(
         "o_orderkey", F.to_json(document, {"ignoreNullFields": "false"}).alias("texto"))
 
 
@@ -231,7 +245,7 @@ def _tree_text() -> Column:
 
 def trees_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree text per order; every 13th order has none, as some real cases."""
-    return table(spark, sf_dir, "orders").select(
+    return orders_spread(spark, sf_dir).select(
         case_number("o_orderkey").alias("numero_processo"),
         F.when(F.col("o_orderkey") % 13 != 0, _tree_text()).alias("arvore"))
 
@@ -319,7 +333,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored table; otherwise the optimizer rebuilds it inside every pattern test.
     """
     key = F.col("o_orderkey")
-    stored = table(spark, sf_dir, "orders").select(
+    stored = orders_spread(spark, sf_dir).select(
         "o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus",
         F.explode(F.array(_sentence())).alias("_sentence"))
     return stored.select(
@@ -413,7 +427,7 @@ def organised_documents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform(counter(key % 4), movement).alias("movimentos"),
         ).alias("processo"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return orders_spread(spark, sf_dir).select(
         F.concat(number, F.lit("_organized.json")).alias("_arquivo"),
         F.to_json(document).alias("texto"))
 
@@ -463,7 +477,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(counter(n), movement), ""),
         "</processo></ns4:consultarProcessoResposta></soap:Body></soap:Envelope>",
     )
-    return table(spark, sf_dir, "orders").select(
+    return orders_spread(spark, sf_dir).select(
         number.alias("numero"), filed.alias("recebido"), body.alias("corpo"))
 
 
