@@ -146,22 +146,22 @@ def case_gap_totals(gaps: DataFrame) -> DataFrame:
 def bounded_extract(documents: DataFrame, group: str, cursor: str, tie: str, limit: int = 200_000) -> DataFrame:
     """SC7: the first ``limit`` rows of each group by (cursor, tie).
 
-    Whole days before the cut-off day are taken unranked; only the one day per
-    group that the limit falls into is ranked, so a huge group is never sorted
-    in one task.  Rows without a cursor are not part of the ordered extract.
+    Whole hours before the cut-off hour are taken unranked; only the one hour
+    per group that the limit falls into is ranked, so a huge group is never
+    sorted in one task.  Rows without a cursor are not part of the extract.
     """
-    dated = documents.filter(F.col(cursor).isNotNull()).withColumn("_day", F.to_date(cursor))
-    earlier = Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = (
-        dated.groupBy(group, "_day").agg(F.count("*").alias("_n"))
+    dated = documents.filter(F.col(cursor).isNotNull()).withColumn("_hour", F.date_trunc("hour", cursor))
+    earlier = Window.partitionBy(group).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = (
+        dated.groupBy(group, "_hour").agg(F.count("*").alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .filter(F.col("_before") < limit)
     )
-    within = dated.join(days, [group, "_day"])
+    within = dated.join(hours, [group, "_hour"])
     whole = within.filter(F.col("_before") + F.col("_n") <= limit)
     ranked = (
         within.filter(F.col("_before") + F.col("_n") > limit)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_day").orderBy(cursor, tie)))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_hour").orderBy(cursor, tie)))
         .filter(F.col("_before") + F.col("_rank") <= limit).drop("_rank")
     )
-    return whole.unionByName(ranked).drop("_day", "_n", "_before")
+    return whole.unionByName(ranked).drop("_hour", "_n", "_before")

@@ -9,6 +9,19 @@ from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
 
 
+def unnest(frame: DataFrame, keep: list, items, out: str, position: str | None = None) -> DataFrame:
+    """One row per element of ``items``; rows without elements vanish.
+
+    For a plain explode Spark infers a filter on the size of the list and, when
+    the list comes out of a parsed text, that filter parses the text a second
+    time.  The outer form has no such filter; a missing position marks the
+    rows to drop.
+    """
+    pos = position or "_pos"
+    rows = frame.select(*keep, F.posexplode_outer(items).alias(pos, out)).filter(F.col(pos).isNotNull())
+    return rows if position else rows.drop(pos)
+
+
 def case_table(documents: DataFrame) -> DataFrame:
     """PJ1: ten flat columns per case document."""
     return documents.select(
@@ -27,7 +40,7 @@ def case_table(documents: DataFrame) -> DataFrame:
 
 def subject_table(documents: DataFrame) -> DataFrame:
     """UN1: one row per subject; a case without subjects gives none."""
-    rows = documents.select("id", "numeroProcesso", F.explode("assuntos").alias("a"))
+    rows = unnest(documents, ["id", "numeroProcesso"], "assuntos", "a")
     return rows.select(
         "id",
         F.col("numeroProcesso").alias("processo"),
@@ -38,7 +51,7 @@ def subject_table(documents: DataFrame) -> DataFrame:
 
 def movement_table(documents: DataFrame) -> DataFrame:
     """UN2: one row per movement and complement; a movement without one keeps a row."""
-    movements = documents.select("id", "numeroProcesso", F.explode("movimentos").alias("m"))
+    movements = unnest(documents, ["id", "numeroProcesso"], "movimentos", "m")
     rows = movements.select("id", "numeroProcesso", "m.codigo", "m.nome", "m.dataHora",
                             F.explode_outer("m.complementosTabelados").alias("c"))
     return rows.select(
@@ -83,10 +96,8 @@ def service_case_table(documents: DataFrame) -> DataFrame:
 
 def service_movement_table(documents: DataFrame) -> DataFrame:
     """UN3, PJ6-PJ8: one row per service movement with its complements taken apart."""
-    rows = documents.select(
-        F.col("metadados.numero_processo").alias("numero_processo"),
-        F.explode("processo.movimentos").alias("m"),
-    )
+    number = F.col("metadados.numero_processo").alias("numero_processo")
+    rows = unnest(documents, [number], "processo.movimentos", "m")
     items = F.col("m.complementos")
     author = tx.author_fields(tx.last_item(items))
     return rows.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caseflow import constants as k
 from caseflow.functions import timestamps as ts
 from caseflow.operators.quantiles import quantiles_of_counts, value_counts
+from caseflow.session import settle
 
 
 def specialised(spec: tuple[int, ...] = k.SPECIALISED_COURTS) -> Column:
@@ -87,10 +88,10 @@ def unpivot_months(wide: DataFrame, keys: list[str]) -> DataFrame:
 
 def filings_wide(cases: DataFrame, spec: tuple[int, ...], first: str, last: str) -> DataFrame:
     """Q1: monthly filings, specialised courts by name, the rest as one row."""
-    counts = (
+    counts = settle(
         with_court_group(cases.filter(in_month_range("mes_ajuizamento", first)), spec)
         .groupBy("grupo", "orgao_label", F.col("mes_ajuizamento").alias("mes")).agg(F.count("*").alias("n"))
-    )
+    )  # courts x months: read for its months and again for the panel
     keys = ["grupo", "orgao_label"]
     months = months_of(counts, "mes", first, last)
     panel = complete_panel(counts, keys, "mes", first, last)
@@ -119,7 +120,9 @@ def other_courts_wide(
         other_courts(cases, spec, since)
         .groupBy("orgao_julgador_nome", F.col("mes_ajuizamento").alias("mes")).agg(F.count("*").alias("n"))
     )
-    months = months_of(counts, "mes") if months is None else months
+    if months is None:
+        counts = settle(counts)  # courts x months, read twice from here on
+        months = months_of(counts, "mes")
     return pivot_months(counts, ["orgao_julgador_nome"], "mes", months).orderBy("orgao_julgador_nome")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
+from caseflow.operators.nested import unnest
 from caseflow.operators.quantiles import quantiles_of_counts, value_counts
 
 
@@ -23,8 +24,8 @@ def case_profile(cases: DataFrame) -> DataFrame:
         F.min("data_ajuizamento").alias("data_min"), F.max("data_ajuizamento").alias("data_max"),
         F.avg(midnight).alias("pct_sem_hora"),
     )
-    tribunals = cases.groupBy("tribunal").agg(F.lit(1).alias("_one"))
-    return tribunals.join(totals.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return cases.select("tribunal").distinct().select(
+        "tribunal", totals.select(F.struct(*totals.columns)).scalar().alias("_t")).select("tribunal", "_t.*")
 
 
 def movement_profile(movements: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def duplicate_summary(frame: DataFrame, *keys: str) -> DataFrame:
 def code_frequency(records: DataFrame, column: str, top: int = 5) -> DataFrame:
     """AG16, SO2: most frequent codes of a comma-separated field, with % of records."""
     total = records.agg(F.count("*")).scalar()
-    codes = records.select(F.explode(tx.list_items(F.col(column))).alias("codigo"))
+    codes = unnest(records, [], tx.list_items(F.col(column)), "codigo")
     return (
         codes.groupBy("codigo").agg(F.count("*").alias("frequencia"))
         .orderBy(F.desc("frequencia"), "codigo").limit(top)
@@ -87,7 +88,7 @@ def code_presence(records: DataFrame, column: str) -> DataFrame:
     with_codes = F.coalesce(F.col(column) != "", F.lit(False))
     counts = records.agg(
         F.count_if(with_codes).alias("com_codigos"), F.count_if(~with_codes).alias("sem_codigos"))
-    codes = records.select(F.explode(tx.list_items(F.col(column))).alias("codigo"))
+    codes = unnest(records, [], tx.list_items(F.col(column)), "codigo")
     return counts.withColumn("codigos_unicos", codes.agg(F.count_distinct("codigo")).scalar())
 
 

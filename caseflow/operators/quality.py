@@ -133,16 +133,17 @@ def check_text_time(frame: DataFrame, column: str) -> str | None:
 def format_profile(frame: DataFrame, column: str, examples: int = 5) -> DataFrame:
     """TS2, JN8, SO3: rows per timestamp pattern and up to ``examples`` distinct values.
 
-    Equal values are counted first; the examples are the smallest distinct
-    values, picked by a rank that Spark limits before the shuffle.
+    The counts need no shuffle beyond one row per pattern and input partition.
+    The examples are the smallest distinct values, picked by a rank that Spark
+    limits to ``examples`` rows per pattern before its shuffle.
     """
     value = F.trim(F.col(column).cast("string"))
-    counted = frame.groupBy(value.alias("valor")).agg(F.count("*").alias("n"))
-    classed = counted.withColumn("perfil", ts.format_class(F.col("valor")))
-    totals = classed.groupBy("perfil").agg(F.sum("n").alias("n"))
+    values = frame.select(value.alias("valor"))
+    totals = values.groupBy(ts.format_class(F.col("valor")).alias("perfil")).agg(F.count("*").alias("n"))
+    distinct = values.filter(F.col("valor").isNotNull()).distinct()
     smallest = Window.partitionBy("perfil").orderBy("valor")
     picked = (
-        classed.filter(F.col("valor").isNotNull())
+        distinct.withColumn("perfil", ts.format_class(F.col("valor")))
         .withColumn("_rank", F.row_number().over(smallest))
         .filter(F.col("_rank") <= examples)
         .groupBy("perfil").agg(F.array_join(F.array_sort(F.collect_list("valor")), " | ").alias("exemplos"))

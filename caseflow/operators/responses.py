@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow.functions import schemas
 from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
+from caseflow.operators.nested import unnest
 
 TREE_PARAMETER = "ARVORE_PROCESSUAL"
 
@@ -136,8 +137,7 @@ def case_digest(parsed: DataFrame) -> DataFrame:
 
 def xml_movement_table(parsed: DataFrame) -> DataFrame:
     """UN4 flattened: one row per movement, in sequence order within its case."""
-    rows = parsed.select(
-        "numero_processo", F.posexplode(movement_structs(F.col("movimento"))).alias("pos", "m"))
+    rows = unnest(parsed, ["numero_processo"], movement_structs(F.col("movimento")), "m", position="pos")
     return rows.select(
         "numero_processo",
         (F.col("pos") + 1).alias("ordem"),

@@ -42,14 +42,14 @@ def flatten_trees(trees: DataFrame, column: str = "arvore", levels: int | None =
     deepest nesting found in the data.  Text that is not a tree gives no row.
     """
     levels = deepest_tree(trees, column) if levels is None else levels
-    # exploding the one-element list, rather than filtering, parses the text once
+    # outer explodes: a plain one makes Spark test the list's size, parsing the text again
     roots = F.slice(F.from_json(F.col(column), TREE_LEVEL), 1, 1)
     missing = F.lit(None).cast("string")
-    rows = trees.select(F.explode(roots).alias("r")).filter(F.col("r").isNotNull()).select(
+    rows = trees.select(F.explode_outer(roots).alias("r")).filter(F.col("r").isNotNull()).select(
         F.col("r.numeroUnico").alias("processo_raiz"),
         _node(F.col("r"), missing, F.lit(0), F.lit(1)).alias("no"))
     for _ in range(max(levels - 1, 0)):
-        rows = rows.select("processo_raiz", F.explode(_self_and_children(F.col("no"))).alias("no"))
+        rows = rows.select("processo_raiz", F.explode_outer(_self_and_children(F.col("no"))).alias("no"))
     return rows.select(
         "processo_raiz",
         F.col("no.numero").alias("numero_processo"),

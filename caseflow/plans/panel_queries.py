@@ -32,7 +32,7 @@ _LABELLED = f"""labelled AS (
 
 
 def _wide(spark, sf_dir) -> DataFrame:
-    return panel.filings_wide(px.cases(spark, sf_dir), px.SPEC, GRID_FIRST, GRID_LAST)
+    return panel.filings_wide(px.cases(spark, sf_dir, GRID_FIRST), px.SPEC, GRID_FIRST, GRID_LAST)
 
 
 def _pivot_sql(months: list[str]) -> str:
@@ -76,7 +76,7 @@ SELECT orgao_julgador_nome, {_pivot_sql(_months(SINCE, "2001-08-01"))}
 FROM others GROUP BY orgao_julgador_nome""")
 def q4(spark, sf_dir):
     months = [date.fromisoformat(m) for m in _months(SINCE, "2001-08-01")]
-    return panel.other_courts_wide(px.cases(spark, sf_dir), px.SPEC, SINCE, months)
+    return panel.other_courts_wide(px.cases(spark, sf_dir, SINCE), px.SPEC, SINCE, months)
 
 
 @query("q5_nonspec_list", f"""
@@ -85,7 +85,7 @@ SELECT processo, orgao_julgador_codigo, orgao_julgador_nome, classe_nome, tribun
        strftime(data_ajuizamento, '%Y-%m-%d') AS data_ajuizamento
 FROM cases WHERE NOT {_IS_SPEC} AND mes_ajuizamento >= DATE '{SINCE}'""")
 def q5(spark, sf_dir):
-    rows = panel.other_courts_list(px.cases(spark, sf_dir), px.SPEC, SINCE)
+    rows = panel.other_courts_list(px.cases(spark, sf_dir, SINCE), px.SPEC, SINCE)
     return rows.select("processo", "orgao_julgador_codigo", "orgao_julgador_nome", "classe_nome", "tribunal",
                        px.day(F.col("data_ajuizamento")).alias("data_ajuizamento"))
 
@@ -98,7 +98,7 @@ _FLAGGED_SQL = f"""{px.CASES_SQL}, {px.MOVES_L_SQL}, flagged AS (
 
 def _flagged(spark, sf_dir) -> DataFrame:
     return events.cases_with_movement(
-        px.moves_l(spark, sf_dir), px.cases(spark, sf_dir), code="RF", since=SINCE)
+        px.moves_l(spark, sf_dir, "RF"), px.cases(spark, sf_dir, SINCE), code="RF", since=SINCE)
 
 
 @query("q6_flagged_cases", f"""
@@ -130,7 +130,7 @@ _ARCHIVED_SQL = f"""{px.CASES_SQL}, {px.MOVES_L_SQL}, flags AS (
 
 
 def _archived(spark, sf_dir) -> DataFrame:
-    return events.with_existence_flag(px.cases(spark, sf_dir), px.moves_l(spark, sf_dir), code="AF")
+    return events.with_existence_flag(px.cases(spark, sf_dir), px.moves_l(spark, sf_dir, "AF"), code="AF")
 
 
 @query("q8_archive_flag", f"""
@@ -172,7 +172,7 @@ _FLOW_COLUMNS = """orgao_julgador_codigo, orgao_julgador_nome, strftime(mes, '%Y
 
 
 def _flow(spark, sf_dir, **options) -> DataFrame:
-    return panel.monthly_flow(px.cases(spark, sf_dir), px.moves_l(spark, sf_dir), px.SPEC,
+    return panel.monthly_flow(px.cases(spark, sf_dir), px.moves_l(spark, sf_dir, "AF"), px.SPEC,
                               GRID_FIRST, GRID_LAST, archive_code="AF", **options)
 
 

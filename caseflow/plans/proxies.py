@@ -84,9 +84,15 @@ MOVES_E_SQL = """moves_e AS (
   FROM events)"""
 
 
-def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders with customer, nation and region; court 7 has no code."""
+def cases(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """orders with customer, nation and region; court 7 has no code.
+
+    In a stored case table a filter on the filing month reaches the scan.  Here
+    the month is computed, so ``since`` (a month start) is put on the raw column.
+    """
     orders = table(spark, sf_dir, "orders")
+    if since:
+        orders = orders.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
     courts = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     owners = table(spark, sf_dir, "customer").join(courts, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -110,9 +116,15 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def moves_l(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem rows as movements: return flag and status make the code."""
-    return table(spark, sf_dir, "lineitem").select(
+def moves_l(spark: SparkSession, sf_dir: str, code: str | None = None) -> DataFrame:
+    """lineitem rows as movements: return flag and status make the code.
+
+    ``code`` puts the code test on the two raw columns, where the scan can use it.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if code:
+        lines = lines.filter((F.col("l_returnflag") == code[0]) & (F.col("l_linestatus") == code[1]))
+    return lines.select(
         case_number("l_orderkey").alias("processo"),
         F.concat("l_returnflag", "l_linestatus").alias("movimento_codigo"),
         F.col("l_shipdate").cast("timestamp").alias("movimento_data_hora"),

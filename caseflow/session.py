@@ -8,10 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SETTINGS = {
+    # month floors and parsed times are in UTC, like the source data
+    "spark.sql.session.timeZone": "UTC",
+    # split a skewed join even where an aggregate on the same key follows it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin UTC, so that month floors and parsed times match the source data."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Set the session options the operators count on."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.functions import schemas
@@ -95,31 +95,19 @@ def check_required_inputs(spark: SparkSession, root: str, names: list[str]) -> D
     return status
 
 
-def looks_like_header(cell: Column) -> Column:
-    """A first cell is data when it is all digits or starts with 0."""
-    return ~(cell.rlike(r"^\d+$") | cell.startswith("0"))
-
-
 def read_case_list(spark: SparkSession, path: str) -> DataFrame:
-    """SC5: first CSV column as case numbers; a header line, if any, and blanks are dropped.
+    """SC5: first CSV column as case numbers, trimmed; a header line and blanks are dropped.
 
-    Only the first line of a file can be its header: the row whose block starts
-    at byte 0 and which Spark numbered first in that block.
+    One row decides whether the files start with a header; Spark then skips the
+    first line of each file.
     """
-    first_cell = F.trim(F.col("processo"))
-    rows = spark.read.schema("processo string").option("header", False).csv(path).select(
-        first_cell.alias("processo"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_position"),
-    )
-    starts = (
-        rows.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_position").alias("_first"))
-    )
-    kept = (F.col("_first").isNull() | (F.col("_position") != F.col("_first"))
-            | ~looks_like_header(F.col("processo")))
-    return (
-        rows.join(starts, "_file", "left")
-        .filter(kept & (F.length("processo") > 0))
-        .select("processo")
-    )
+    reader = spark.read.schema("processo string")
+    first = reader.csv(path).filter(F.col("_metadata.file_block_start") == 0).head(1)
+    has_header = bool(first) and not _starts_with_case(first[0].processo or "")
+    rows = reader.option("header", has_header).csv(path)
+    return rows.select(F.trim("processo").alias("processo")).filter(F.length("processo") > 0)
+
+
+def _starts_with_case(cell: str) -> bool:
+    """A first cell is data when it is all digits or starts with 0."""
+    return cell.isdigit() or cell.startswith("0")
