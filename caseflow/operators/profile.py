@@ -153,7 +153,8 @@ def column_summary(frame: DataFrame, columns: list[str], bins: int = 1024) -> Da
     basics = counts.groupBy("coluna").agg(
         F.sum("_n").alias("n"), F.min("_v").alias("minimo"),
         (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("media"), F.max("_v").alias("maximo"))
-    ranged = counts.join(basics.select("coluna", "minimo", "maximo"), "coluna")
+    # one row per summarised column
+    ranged = counts.join(F.broadcast(basics.select("coluna", "minimo", "maximo")), "coluna")
     width = F.col("maximo") - F.col("minimo")
     bin_of = F.when(width > 0, F.floor((F.col("_v") - F.col("minimo")) / width * bins)).otherwise(0)
     located = ranged.withColumn("_where", bin_of).select("coluna", "_v", "_n", "_where")

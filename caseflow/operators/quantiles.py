@@ -10,11 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.session import settle
+
 
 def value_counts(frame: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
-    """Rows per (keys, value): keys, ``_v``, ``_n``."""
+    """Rows per (keys, value): keys, ``_v``, ``_n``.
+
+    Checkpointed: the quantile search reads the counts more than once, and what
+    they are computed from may be a whole as-of match.
+    """
     n = F.count("*") if weight is None else F.sum(weight)
-    return (
+    return settle(
         frame.filter(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
     )

@@ -125,6 +125,12 @@ def trivial_trees(nodes: DataFrame) -> DataFrame:
     return depth.filter(F.col("max_prof") == 0).select("processo_raiz")
 
 
+def nodes_with_cases(nodes: DataFrame, cases: DataFrame) -> DataFrame:
+    """JN9: every node beside its own case; a node outside the case table keeps NULLs."""
+    own = cases.withColumnRenamed("processo", "numero_processo")
+    return nodes.join(own, "numero_processo", "left")
+
+
 def parties_by_class(nodes: DataFrame, parties: DataFrame, cases: DataFrame) -> DataFrame:
     """HR10, JN9: party rows of tree roots counted by the root case's class."""
     roots = nodes.filter("eh_raiz").select(F.col("processo_raiz").alias("processo"))

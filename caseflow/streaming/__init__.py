@@ -1,0 +1,5 @@
+"""Nothing here: every stage of the study is a batch re-read of all its inputs.
+
+The row-local steps (``operators.nested``, ``operators.responses``,
+``functions.timestamps``) also accept a streaming DataFrame as they are.
+"""

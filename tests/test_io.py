@@ -42,7 +42,7 @@ def test_one_document_per_file(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(full, indent=2))
     (tmp_path / "b.json").write_text(json.dumps({"metadados": {"numero_processo": "s"}, "novo": 1}))
     (tmp_path / "c.json").write_text('{"metadados": {')
-    good, bad = readers.split_rejects(readers.read_organised_documents(spark, str(tmp_path)).cache())
+    good, bad = readers.split_rejects(readers.read_organised_documents(spark, str(tmp_path)))
     assert bad.count() == 1 and good.count() == 2
     cases = {r.numero_processo: r for r in nested.service_case_table(good).collect()}
     assert (cases["r"].valor_causa, cases["r"].total_movimentos, cases["r"].nivel_sigilo,
