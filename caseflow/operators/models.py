@@ -8,9 +8,11 @@ checkpointed, because every fit reads it several times.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,17 +103,49 @@ def fit_table(spark: SparkSession, *fits: Fit) -> DataFrame:
     return spark.createDataFrame(rows, "modelo string, k int, deviance double, aic double")
 
 
-# ---- ML3: odds ratio and profile-likelihood interval --------------------------------------
+# ---- likelihood sums for fits that GLM cannot express ---------------------------------------
+
+Design = Callable[[np.ndarray], np.ndarray]  # t -> one column per coefficient
+
+
+def likelihood_sums(data: DataFrame, designs: list[Design], betas: list[np.ndarray]):
+    """Log-likelihood, gradient and curvature of several logit models in one pass.
+
+    Every partition sends one short row of partial sums.  The coefficients travel
+    in the closure: as SQL literals they would have every round compile new code.
+    """
+    sizes = [len(b) for b in betas]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(sum(1 + k + k * k for k in sizes))
+        for batch in batches:
+            t, y, w = (batch[c].to_numpy(dtype=float) for c in ("t", "y", "peso"))
+            parts = []
+            for design, beta in zip(designs, betas):
+                x = design(t)
+                eta = x @ beta
+                p = 1 / (1 + np.exp(-eta))
+                parts.append([np.sum(w * (y * eta - np.logaddexp(0, eta)))])
+                parts.append(x.T @ (w * (y - p)))
+                parts.append(((x * (w * p * (1 - p))[:, None]).T @ x).ravel())
+            total += np.concatenate(parts)
+        yield pd.DataFrame({"somas": [total]})
+
+    rows = data.select("t", "y", "peso").mapInPandas(partial, "somas array<double>").collect()
+    values = np.sum([r.somas for r in rows], axis=0)
+    out, start = [], 0
+    for k in sizes:
+        ll, gradient, curvature = np.split(values[start:start + 1 + k + k * k], [1, 1 + k])
+        out.append((float(ll[0]), gradient, curvature.reshape(k, k)))
+        start += 1 + k + k * k
+    return out
+
+
+def _line(t: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones_like(t), t])
 
 
-def _likelihood_terms(a: float, b: float) -> list[Column]:
-    """Sums behind the log-likelihood, its gradient and its curvature at (a, b)."""
-    t, y, w = F.col("t"), F.col("y"), F.col("peso")
-    eta = F.lit(a) + F.lit(b) * t
-    p = 1 / (1 + F.exp(-eta))
-    softplus = F.greatest(eta, F.lit(0.0)) + F.log1p(F.exp(-F.abs(eta)))
-    v = w * p * (1 - p)
-    return [F.sum(c) for c in (w * (y * eta - softplus), w * (y - p), w * t * (y - p), v, v * t, v * t * t)]
+# ---- ML3: odds ratio and profile-likelihood interval --------------------------------------
 
 
 def profile_interval(data: DataFrame, fit: Fit, tolerance: float = 1e-9, max_rounds: int = 50) -> tuple[float, float]:
@@ -120,25 +154,21 @@ def profile_interval(data: DataFrame, fit: Fit, tolerance: float = 1e-9, max_rou
     Both ends are found together by Newton steps on two equations: zero
     intercept gradient, and the wanted drop.  Every step is one distributed sum.
     """
-    a0, b0 = fit.model.intercept, float(fit.model.coefficients[0])
-    summary = fit.model.summary
-    se = float(summary.coefficientStandardErrors[0])
-    top, _, _, v, vt, _ = data.agg(*_likelihood_terms(a0, b0)).first()
+    centre = np.array([fit.model.intercept, float(fit.model.coefficients[0])])
+    (top, _, curvature), = likelihood_sums(data, [_line], [centre])
     target = top - CHI2_95 / 2
-    # start at the Wald ends, with the intercept moved along the ridge
-    points = [[a0 - vt / v * d, b0 + d] for d in (-NORMAL_975 * se, NORMAL_975 * se)]
+    reach = NORMAL_975 * math.sqrt(np.linalg.inv(curvature)[1, 1])
+    ridge = np.array([-curvature[0, 1] / curvature[0, 0], 1.0])  # best intercept for a moved slope
+    points = [centre - reach * ridge, centre + reach * ridge]
     for _ in range(max_rounds):
-        sums = data.agg(*[c for a, b in points for c in _likelihood_terms(a, b)]).first()
         moved = 0.0
-        for i, point in enumerate(points):
-            ll, ga, gb, v, vt, _vtt = sums[6 * i: 6 * i + 6]
-            jacobian = np.array([[-v, -vt], [ga, gb]])
-            step = np.linalg.solve(jacobian, -np.array([ga, ll - target]))
-            point[0] += float(step[0])
-            point[1] += float(step[1])
-            moved = max(moved, abs(float(step[0])), abs(float(step[1])))
+        for i, (ll, gradient, v) in enumerate(likelihood_sums(data, [_line, _line], points)):
+            jacobian = np.array([[-v[0, 0], -v[0, 1]], gradient])
+            step = np.linalg.solve(jacobian, -np.array([gradient[0], ll - target]))
+            points[i] = points[i] + step
+            moved = max(moved, float(np.max(np.abs(step))))
         if moved < tolerance:
-            return points[0][1], points[1][1]
+            return float(points[0][1]), float(points[1][1])
     raise RuntimeError("profile interval did not converge")
 
 
@@ -203,40 +233,65 @@ def prediction_grid(data: DataFrame, fit: Fit, knots: list[float], origin: str,
 # ---- ML7: one breakpoint ----------------------------------------------------------------------
 
 
-def fit_segmented(data: DataFrame, max_rounds: int = 10, tolerance: float = 1e-3) -> tuple[float, Fit]:
+def newton_logit(
+    data: DataFrame, designs: list[Design], starts: list[np.ndarray],
+    tolerance: float = 1e-8, max_rounds: int = 25,
+) -> list[tuple[np.ndarray, float]]:
+    """Several logit models fitted side by side: (coefficients, deviance) of each."""
+    betas = [np.array(b, dtype=float) for b in starts]
+    deviances: list[float] = []
+    for _ in range(max_rounds):
+        largest, deviances = 0.0, []
+        for i, (ll, gradient, curvature) in enumerate(likelihood_sums(data, designs, betas)):
+            deviances.append(-2 * ll)
+            step = np.linalg.lstsq(curvature, gradient, rcond=None)[0]
+            betas[i] = betas[i] + step
+            largest = max(largest, abs(float(gradient @ step)))
+        if largest < tolerance:  # what a further step could gain in log-likelihood
+            break
+    return list(zip(betas, deviances))
+
+
+# how far along the proposed step to look for a better breakpoint
+_STEP_SHARES = (1.0, 0.25, 0.0625, 1 / 64)
+
+
+def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4) -> tuple[float, Fit]:
     """ML7: y ~ t + (t - psi)+ with psi found by repeated linearisation.
 
     Each round refits with the extra term -1(t > psi), whose coefficient gives
-    the step for psi.  A step that raises the deviance is halved; the psi with
-    the lowest deviance is kept.
+    the step for psi.  Shortened steps are fitted beside the full one; the psi
+    with the lowest deviance is kept, and a round without gain ends the search.
     """
     low, high = data.agg(F.min("t"), F.max("t")).first()
     margin = (high - low) * 0.05
 
-    def inside(psi: float) -> float:
-        return min(max(psi, low + margin), high - margin)
+    def bent(psi: float) -> Design:
+        return lambda t: np.column_stack([np.ones_like(t), t, np.maximum(t - psi, 0.0)])
 
-    def segment(psi: float) -> dict[str, Column]:
-        return {"t": F.col("t"), "u": F.greatest(F.col("t") - F.lit(psi), F.lit(0.0))}
+    def jumping(psi: float) -> Design:
+        return lambda t: np.column_stack([bent(psi)(t), np.where(t > psi, -1.0, 0.0)])
 
     psi = (low + high) / 2
-    best_psi, best = psi, fit_logit(data, "segmentado", segment(psi))
+    (beta, deviance), = newton_logit(data, [bent(psi)], [np.zeros(3)])
     for _ in range(max_rounds):
-        jump = {**segment(best_psi), "v": F.when(F.col("t") > best_psi, -1.0).otherwise(0.0)}
-        linear = fit_logit(data, "linearizado", jump).coefficients
-        if linear["u"] == 0:
+        (linear, _), = newton_logit(data, [jumping(psi)], [np.append(beta, 0.0)])
+        if abs(linear[2]) < 1e-12:
+            break
+        target = min(max(psi + linear[3] / linear[2], low + margin), high - margin)
+        if abs(target - psi) < tolerance:
+            break
+        trials = [psi + share * (target - psi) for share in _STEP_SHARES]
+        fits = newton_logit(data, [bent(x) for x in trials], [beta] * len(trials))
+        best = min(range(len(trials)), key=lambda i: fits[i][1])
+        gain = deviance - fits[best][1]
+        if gain <= 0:
             break
-        step = inside(best_psi + linear["v"] / linear["u"]) - best_psi
-        improved = False
-        while abs(step) >= tolerance and not improved:
-            trial = fit_logit(data, "segmentado", segment(best_psi + step))
-            if trial.deviance < best.deviance:
-                best_psi, best, improved = best_psi + step, trial, True
-            else:
-                step /= 4
-        if not improved:
+        psi, (beta, deviance) = trials[best], fits[best]
+        if gain < 1e-9 * abs(deviance):
             break
-    return best_psi, best
+    t = F.col("t")
+    return psi, fit_logit(data, "segmentado", {"t": t, "u": F.greatest(t - F.lit(psi), F.lit(0.0))})
 
 
 def segmented_table(spark: SparkSession, psi: float, fit: Fit) -> DataFrame:
