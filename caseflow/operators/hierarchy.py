@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.operators.skew import sized
+
 MAX_STEPS = 6    # the climb stops after six nodes
 LEVELS = 5       # and five of them, counted from the root, are kept
 
@@ -68,11 +70,15 @@ def code_lookup(taxonomy: DataFrame) -> DataFrame:
 
 
 def enrich_movements(movements: DataFrame, lookup: DataFrame) -> DataFrame:
-    """JN2: integer code, unusable codes dropped, unknown codes kept with NULL levels."""
+    """JN2: integer code, unusable codes dropped, unknown codes kept with NULL levels.
+
+    Without a known size for the lookup, Spark would shuffle the movements onto
+    a few hundred, very unequal codes.
+    """
     coded = movements.withColumn(
         "movimento_codigo", F.col("movimento_codigo").cast("string").try_cast("bigint")
     ).filter(F.col("movimento_codigo").isNotNull())
-    return coded.join(lookup, "movimento_codigo", "left")
+    return coded.join(sized(lookup), "movimento_codigo", "left")
 
 
 def root_report(enriched: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
+from caseflow.operators.skew import sized
 
 
 def unnest(frame: DataFrame, keep: list, items, out: str, position: str | None = None) -> DataFrame:
@@ -154,6 +155,11 @@ def clean_movements(movements: DataFrame) -> DataFrame:
     })
 
 
+def add_municipality(cases: DataFrame, municipalities: DataFrame, code: str = "orgao_julgador_municipio_ibge") -> DataFrame:
+    """JN1: municipality and region names by code; unknown codes keep NULLs."""
+    return cases.join(sized(municipalities), code, "left")
+
+
 def usable_codes(movements: DataFrame) -> DataFrame:
     """FL4: drop movements whose code is missing or the {} sentinel."""
     code = F.col("movimento_codigo")

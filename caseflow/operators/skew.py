@@ -1,4 +1,7 @@
-"""Splitting the timelines of hot keys, so that no task holds one whole.
+"""Joins and scans that stay even: sized lookups, and hot keys split in time.
+
+Spark cannot guess the size of a computed lookup and may shuffle a large table for
+it; ``sized`` computes the lookup first and broadcasts it only if it is small.
 
 A window over ``partitionBy(key)`` puts every row of a key into one task.  A key
 is *hot* when it has more than ``share`` of all rows (and more than ``floor``),
@@ -13,9 +16,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.session import settle
+
 SLICE = "_slice"
 
 
+def sized(lookup: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """The lookup, computed once; hinted for broadcast if it has at most ``max_rows`` rows.
+
+    A larger one is returned plain: Spark shuffles both sides, and AQE splits hot keys.
+    """
+    stored = settle(lookup)
+    small = stored.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(stored) if small else stored
+
+
 @dataclass(frozen=True)
 class HotKeyRule:
     share: float = 1 / 10_000   # at most 10,000 keys can exceed this share

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions import timestamps as ts
-from caseflow.operators import profile, quality
+from caseflow.operators import nested, profile, quality
 from caseflow.plans import proxies as px
 from caseflow.plans.ingest_queries import RECORDS_SQL, summary_records
 from caseflow.plans.registry import query
@@ -245,7 +245,7 @@ def dim_enrich(spark, sf_dir):
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("municipio_nome"),
         F.col("r_name").alias("municipio_mesorregiao"))
     customers = px.table(spark, sf_dir, "customer")
-    return customers.join(dimension, "c_nationkey", "left").select(
+    return nested.add_municipality(customers, dimension, "c_nationkey").select(
         "c_custkey", "c_name", "municipio_nome", "municipio_mesorregiao")
 
 

@@ -19,8 +19,14 @@ PARSED = ("processos", "assuntos", "movimentos")
 
 
 def parse_documents(spark: SparkSession, landing: str, parsed: str) -> DataFrame:
-    """Landed case documents to the three flat tables; returns the rejected lines."""
-    documents, rejected = readers.split_rejects(readers.read_case_lines(prepare(spark), landing))
+    """Landed case documents to the three flat tables; returns the rejected lines.
+
+    The text is parsed once, into a nested table; each flat table then reads
+    only the nested columns it needs.
+    """
+    landed = readers.read_case_lines(prepare(spark), landing)
+    writers.write_parquet(landed, f"{parsed}/documentos")
+    documents, rejected = readers.split_rejects(spark.read.parquet(f"{parsed}/documentos"))
     writers.write_parquet(nested.case_table(documents), f"{parsed}/processos")
     writers.write_parquet(nested.subject_table(documents), f"{parsed}/assuntos")
     writers.write_parquet(nested.movement_table(documents), f"{parsed}/movimentos")
@@ -46,8 +52,8 @@ def quality_reports(spark: SparkSession, parsed: str) -> dict[str, DataFrame]:
 def clean_tables(spark: SparkSession, parsed: str, cleaned: str, municipalities: DataFrame) -> None:
     """Parsed tables to cleaned ones: times, month and year, municipality names."""
     prepare(spark)
-    cases = nested.clean_cases(spark.read.parquet(f"{parsed}/processos")).join(
-        municipalities, "orgao_julgador_municipio_ibge", "left")
+    cases = nested.add_municipality(
+        nested.clean_cases(spark.read.parquet(f"{parsed}/processos")), municipalities)
     writers.write_parquet(cases, f"{cleaned}/processos")
     writers.write_parquet(
         nested.clean_movements(spark.read.parquet(f"{parsed}/movimentos")), f"{cleaned}/movimentos")

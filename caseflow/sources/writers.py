@@ -16,9 +16,17 @@ def write_parquet(frame: DataFrame, path: str, compression: str = "zstd") -> str
     return path
 
 
+SINGLE_FILE_ROWS = 1_000_000
+
+
 def write_csv(frame: DataFrame, path: str, single_file: bool = False) -> str:
-    """SK3: CSV with header.  ``single_file`` is for small report tables only."""
-    out = frame.coalesce(1) if single_file else frame
+    """SK3: CSV with header.
+
+    ``single_file`` asks for one file; a table with more rows than fit one task
+    well is written as several files all the same.
+    """
+    one = single_file and frame.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
+    out = frame.coalesce(1) if one else frame
     # quotes are doubled, as CSV readers other than Spark's expect
     out.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
     return path

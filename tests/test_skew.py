@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseflow.operators import events, panel, profile, viscosity
 from caseflow.operators.quantiles import grouped_quantiles
-from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time
+from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time, sized
 
 START = datetime(2024, 1, 1)
 SPLIT = HotKeyRule(share=0.01, floor=10, max_slices=50)  # splits almost every key
@@ -161,3 +161,13 @@ def test_duration_stats_and_summary(spark):
     row = profile.column_summary(frame, ["tempo_dias"]).first()
     assert (row.minimo, row.q1, row.mediana, row.media, row.q3, row.maximo) == tuple(
         pytest.approx(x) for x in (days.min(), *np.quantile(days, [0.25, 0.5]), days.mean(), np.quantile(days, 0.75), days.max()))
+
+
+def test_sized_lookup_is_broadcast_only_when_small(spark):
+    facts = spark.range(50).withColumn("k", F.col("id") % 5)
+    lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    expected = {(i, (i % 5) * 2) for i in range(50)}
+    for limit, hinted in ((5, True), (4, False)):
+        joined = facts.join(sized(lookup, limit), "k", "left")
+        assert {(r.id, r.v) for r in joined.collect()} == expected
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == hinted
