@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bitplane, decontaminate, knn_quality, packing, toxicity
+from caseflow.llm import bitplane, decontaminate, jaccard_join, knn_quality, packing, pca_dedup, suffix_tree, toxicity
 from caseflow.llm.common import ready
 from caseflow.session import shared_dir
 
@@ -66,6 +66,37 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+JACCARD_SQL = """
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+    SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM docs),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS k
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * k >= 80 * (nx + ny - k)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+    SELECT doc_id AS node, doc_id AS seen FROM sets
+    UNION SELECT r.node, e.y FROM reach r JOIN both_ways e ON r.seen = e.x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) c ON s.doc_id = c.node
+"""
+
+
+@query("op3_jaccard_join", JACCARD_SQL)
+def _jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
+@query("op4_suffix_tree")
+def _suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scored(table(spark, sf_dir, "documents"))
+
+
 @query("op5_bitplane")
 def _bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -83,3 +114,27 @@ def _knn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
+
+
+PCA_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding::DOUBLE[], lambda x: x != 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+        AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+    SELECT vec_id AS node, vec_id AS seen FROM embeddings
+    UNION SELECT r.node, l.y FROM reach r JOIN links l ON r.seen = l.x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT node AS vec_id, min(seen) AS component_id FROM reach GROUP BY node)
+LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_id)
+"""
+
+
+@query("op8_pca_dedup", PCA_SQL)
+def _pca_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pca_dedup.deduplicated(table(spark, sf_dir, "embeddings"))
