@@ -158,6 +158,8 @@ def _forest(links: np.ndarray) -> Iterator[tuple[int, int]]:
         while len(frontier):
             reached = links[frontier] & left_columns
             columns = np.flatnonzero(reached.any(axis=0))
+            if not len(columns):
+                break
             yield from zip(frontier[reached[:, columns].argmax(axis=0)], columns)
             left_columns[columns] = False
             back = links[:, columns] & left_rows[:, None]

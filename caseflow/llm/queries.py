@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bitplane, decontaminate, jaccard_join, knn_quality, packing, pca_dedup, suffix_tree, toxicity
+from caseflow.llm import bitplane, decontaminate, jaccard_join, knn_quality, packing, pca_dedup, pii_boost, site_style, suffix_tree, toxicity
 from caseflow.llm.common import ready
 from caseflow.session import shared_dir
 
@@ -138,3 +138,13 @@ LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_i
 @query("op8_pca_dedup", PCA_SQL)
 def _pca_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pca_dedup.deduplicated(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_site_style")
+def _site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.extracted(table(spark, sf_dir, "pages"))
+
+
+@query("op10_pii_boost")
+def _pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_boost.found(table(spark, sf_dir, "documents"))
