@@ -14,6 +14,8 @@ to each other; an empty table gives an empty file; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,7 +75,7 @@ class WordEncoder:
             tail = word[len(core):]
             return self._cached(core) + self._cached(tail)
         letters = core.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        return np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _cached(self, word: str) -> bytes:
         ids = self.cache.get(word)
@@ -184,24 +186,34 @@ def chunk_index(spark: SparkSession, path: str) -> DataFrame:
         "part", "seq", "doc_ids", "doc_tokens", "n_ids", (F.col("part_start") + first).alias("chunk_start"))
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a file: part, seq, ids before it in the chunk, doc_id, ids as little-endian bytes."""
-    schema = T._parse_datatype_string("part int, seq int, offset bigint, doc_id bigint, ids binary")
+def _documents(row: dict) -> Iterator[tuple[int, int | None, bytes]]:
+    """Of a chunk: ids before each document, its id, its ids as little-endian bytes."""
+    data, at = memoryview(from_planes(row["planes"], row["n_ids"], row["kind"])).cast("B"), 0
+    for doc, n in zip(row["doc_ids"], row["doc_tokens"]):
+        yield at, doc, data[4 * at:4 * (at + n)]
+        at += n
+
+
+def _decoded(spark: SparkSession, path: str, value: str, kind: pa.DataType, of) -> DataFrame:
+    schema = T._parse_datatype_string(f"part int, seq int, offset bigint, doc_id bigint, n_tokens bigint, {value}")
     arrow = to_arrow_schema(schema)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for batch in batches(rows) for r in _rows(batch)):
-            ids, ends = from_planes(row["planes"], row["n_ids"], row["kind"]), np.cumsum(row["doc_tokens"])
-            data = [ids[e - n:e].tobytes() for e, n in zip(ends, row["doc_tokens"])]
-            n = len(data)
+            found, n = list(_documents(row)), len(row["doc_ids"])
             yield pa.RecordBatch.from_arrays([
                 pa.array([row["part"]] * n, pa.int32()), pa.array([row["seq"]] * n, pa.int32()),
-                pa.array(ends - np.array(row["doc_tokens"]), pa.int64()), pa.array(row["doc_ids"], pa.int64()),
-                pa.array(data, pa.binary())], schema=arrow)
+                pa.array([at for at, _, _ in found], pa.int64()), pa.array(row["doc_ids"], pa.int64()),
+                pa.array(row["doc_tokens"], pa.int64()), pa.array([of(x) for _, _, x in found], kind)], schema=arrow)
 
     return spark.read.schema(FILE).parquet(path).mapInArrow(run, schema)
 
 
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of a file: part, seq, ids before it in the chunk, doc_id, n_tokens, ids as little-endian bytes."""
+    return _decoded(spark, path, "ids binary", pa.binary(), bytes)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
     for i in range(batch.num_rows):
         yield batch.slice(i, 1).to_pylist()[0]
@@ -210,6 +222,6 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
 def report(spark: SparkSession, path: str) -> DataFrame:
     """Per document, read back: ids before it, its number of ids, their crc32."""
     starts = chunk_index(spark, path).select("part", "seq", "chunk_start")
-    return read_ids(spark, path).join(starts, ["part", "seq"]).select(
-        "doc_id", (F.col("chunk_start") + F.col("offset")).alias("start"),
-        (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    own = _decoded(spark, path, "ids_crc32 bigint", pa.int64(), zlib.crc32)
+    return own.join(starts, ["part", "seq"]).select(
+        "doc_id", (F.col("chunk_start") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
