@@ -38,6 +38,44 @@ def written(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored intermediate frames that can be removed once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Store ``df`` under a name of this scratch and read it back."""
+        self.paths[name] = shared_dir(self.spark)
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def drop(self, *names: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bit_table(keys: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A table of ``bits`` bits (a power of two) in which the low bits of every key are set.
+
+    Its size is fixed, whatever the number of keys: with too many of them it only stops sparing work. The driver gets
+    one row per filled 64-bit word.
+    """
+    place = F.col(column).bitwiseAND(F.lit(bits - 1))
+    words = keys.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+    filled = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(bits // 64, dtype=np.int64)
+    table[filled["word"].to_numpy()] = filled["bits"].to_numpy()
+    return table
+
+
+def in_bit_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys & (64 * len(table) - 1)
+    return ((table[place >> 6] >> (place & 63)) & 1).astype(bool)
+
+
 def raw(text: str | None) -> bytes:
     """UTF-8 of a text, A-Z lower-cased; other letters keep their case. NULL counts as empty."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass").lower()

@@ -12,7 +12,8 @@ also takes part in the next domain split (another hash), up to ``SPLITS`` of the
 
 Equal sets become one node first (a 64-bit digest; equal digests count as equal sets). Candidates never become all pairs of a
 bucket: first, every node is compared with the bucket leader it shares most signatures with; then only members
-of a bucket that are still in different components are compared. Both rounds verify whole shingle sets.
+of a bucket that are still in different components are compared. Sizes and parity sketches (a lower bound of the difference) drop
+impossible pairs; both rounds verify whole shingle sets of the others.
 
 Defined results: a NULL or empty text, or one without words, has an empty set and is linked with nothing; with fewer than
 five words the whole sequence is the one shingle; repeated rows and copies share a component; a NULL id never names a component
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import batches, blank_words, mixed, slices, written
+from caseflow.llm.common import Scratch, batches, bit_table, blank_words, in_bit_table, mixed, slices, written
 from caseflow.llm.components import components
 
 WIDTH = 5
@@ -38,8 +39,11 @@ WIDTH = 5
 NUM, DEN = 80, 100
 BAND = 1.6
 SPLITS = 4
-#: Bits of the filter that keeps texts without candidates out of a shuffle: a fixed 8 MB, whatever the input.
-FILTER_BITS = 1 << 26
+#: Bits of the broadcast tables that keep texts and signatures without partner out of a shuffle: 8 and 16 MB, whatever the input.
+TEXT_BITS = 1 << 26
+SIG_BITS = 1 << 27
+SKETCH_BITS = 256
+SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 _STEP = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -128,52 +132,54 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def _nodes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
-        sets = shingle_sets(batch.column("text").to_pylist())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([digest(s) for s in sets], pa.int64())], names=["doc_id", "n_shingles", "node"])
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the set's members over SKETCH_BITS classes; two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((mixed(shingles) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _signed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Node, size, sketch and signatures of each document; copies inside a batch are signed once."""
     bands = Bands()
     for batch in batches(rows):
-        sets = {digest(s): s for s in shingle_sets(batch.column("text").to_pylist()) if len(s)}
-        if not sets:
-            continue
-        signs = [signatures(s, bands) for s in sets.values()]
-        sizes = [len(s) for s in signs]
+        sets = shingle_sets(batch.column("text").to_pylist())
+        nodes = [digest(s) for s in sets]
+        seen: set = {None}
+        signs = [signatures(s, bands) if not (d in seen or seen.add(d)) else np.empty(0, np.int64)
+                 for s, d in zip(sets, nodes)]
+        ends = np.cumsum([0] + [len(x) for x in signs]).astype(np.int32)
+        sketches = np.array([sketch(s) for s in sets])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(signs)), pa.array(np.repeat(np.array(list(sets), dtype=np.int64), sizes))],
-            names=["sig", "node"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array(nodes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH_BITS // 64)),
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs)))],
+            names=["doc_id", "text_key", "n_shingles", "node", *SKETCH, "sigs"])
 
 
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the given nodes, one text each.
+def _repeated(table):
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            lists = batch.column("sigs")
+            sigs = lists.flatten().to_numpy()
+            nodes = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy())
+            keep = in_bit_table(table.value, sigs)
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[keep]), pa.array(nodes[keep])], names=["sig", "node"])
 
-    A bit table of fixed size, broadcast, lets most other texts stay where they are; the join removes the rest.
-    """
-    place = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))
-    words = nodes.select(F.shiftright(place, 6).alias("word"),
-                         F.expr("shiftleft(1L, cast(node & 63 as int))").alias("bit"))
-    filled = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER_BITS / 64 rows
-    bits = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    bits[filled["word"].to_numpy()] = filled["bits"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    return run
+
+
+def _texts_of(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes in ``pairs``, one text each; a bit table keeps most other texts out of the shuffle."""
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    keys = written(info.join(nodes, "node", "left_semi").select("node", "text_key"))
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "text_key", TEXT_BITS))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            sets = shingle_sets(batch.column("text").to_pylist())
-            found = [(i, digest(s)) for i, s in enumerate(sets) if len(s)]
-            keep = [(i, d) for i, d in found if (int(shared.value[(d & (FILTER_BITS - 1)) >> 6]) >> (d & 63)) & 1]
-            if keep:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([d for _, d in keep], pa.int64()),
-                     batch.column("text").take(pa.array([i for i, _ in keep]))], names=["node", "text"])
+            yield batch.filter(pa.array(in_bit_table(table.value, batch.column("text_key").to_numpy())))
 
-    near = docs.select("text").mapInArrow(run, "node long, text string")
-    return near.groupBy("node").agg(F.min("text").alias("text")).join(nodes, "node", "left_semi")
+    near = docs.select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "text_key long, text string")
+    return near.groupBy("text_key").agg(F.min("text").alias("text")).join(keys, "text_key").select("node", "text")
 
 
 def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,39 +196,60 @@ def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
+    pairs = written(pairs)
+    texts = written(_texts_of(docs, info, pairs))
     u = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
     v = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
     return written(pairs.join(u, "u").join(v, "v").mapInArrow(_linked, "u long, v long"))
 
 
+def _possible(a: str, b: str):
+    """Whether sizes and sketches of two rows leave room for a link."""
+    n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    apart = sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH)
+    return (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (apart * (DEN + NUM) <= (n + m) * (DEN - NUM))
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    nodes = written(docs.mapInArrow(_nodes, "doc_id long, n_shingles long, node long"))
-    signed = written(docs.mapInArrow(_signed, "sig long, node long"))
-    shared = written(signed.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+    scratch = Scratch(docs.sparkSession)
+    longs = ", ".join(f"{s} long" for s in SKETCH)
+    signed = scratch.keep("signed", docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        _read, f"doc_id long, text_key long, n_shingles long, node long, {longs}, sigs array<long>"))
+    nodes = written(signed.select("doc_id", "n_shingles", "node"))
+    info = written(signed.filter("node is not null").groupBy("node").agg(
+        F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("n_shingles", *SKETCH))))
+    # signatures that occur more than once, then their members
+    counted = signed.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(scratch.keep("repeated", counted.select("sig")), "sig", SIG_BITS))
+    near = scratch.keep("near", signed.select("node", "sigs").filter("size(sigs) > 0").mapInArrow(
+        _repeated(table), "sig long, node long"))
+    scratch.drop("signed", "repeated")
+    shared = written(near.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
                      .filter("leader != last").select("sig", "leader"))
-    members = written(signed.join(shared, "sig").dropDuplicates(["sig", "node"]))
-    texts = written(_texts_of(docs, written(members.select("node").distinct())))
+    members = written(near.join(shared, "sig").dropDuplicates(["sig", "node"]))
+    scratch.drop("near")
     # round 1: each node with the leader it shares most signatures with
     leaders = members.filter("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
     best = leaders.groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best"))
     first = written(best.select(F.col("node").alias("u"), F.col("best.leader").alias("v")))
-    links = _verified(first, texts)
+    likely = first.join(info.alias("a"), F.col("u") == F.col("a.node")).join(
+        info.alias("b"), F.col("v") == F.col("b.node")).filter(_possible("a", "b")).select("u", "v")
+    links = _verified(docs, info, likely)
     labels = written(components(links))
     # round 2: bucket members that are still apart
-    placed = members.select("sig", "node").join(labels, "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
-    placed = written(placed)
-    mixed_buckets = written(placed.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-                            .filter("a != b").select("sig"))
-    apart = written(placed.join(mixed_buckets, "sig"))
-    one = apart.select("sig", F.col("node").alias("u"), F.col("label").alias("lu"))
-    two = apart.select("sig", F.col("node").alias("v"), F.col("label").alias("lv"))
-    pairs = one.join(two, "sig").filter("u < v and lu != lv").select("u", "v").distinct()
+    placed = written(members.select("sig", "node").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node")))
+    mixed_buckets = written(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+                            .filter("x != y").select("sig"))
+    apart = written(placed.join(mixed_buckets, "sig").join(info.drop("text_key"), "node"))
+    pairs = apart.alias("a").join(apart.alias("b"), "sig").filter(
+        (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b")).select(
+        F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     tested = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = _verified(written(pairs.join(tested, ["u", "v"], "left_anti")), texts)
+    more = _verified(docs, info, pairs.join(tested, ["u", "v"], "left_anti"))
     labels = written(components(links.union(more)))
     # nodes to documents
     own = written(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
