@@ -11,7 +11,7 @@ partners differ from it in at most k shingles, still shares a non-empty part whe
 also takes part in the next domain split (another hash), up to ``SPLITS`` of them; in the last one, empty parts do count.
 
 Equal sets become one node first (a 64-bit digest; equal digests count as equal sets). Candidates never become all pairs of a
-bucket: first, every node is compared with the bucket leader it shares most signatures with; then only members
+bucket: first, every node is compared with the nearest of its buckets' leaders (four per bucket); then only members
 of a bucket that are still in different components are compared. Sizes and parity sketches (a lower bound of the difference) drop
 impossible pairs; both rounds verify whole shingle sets of the others.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import Scratch, batches, bit_table, blank_words, in_bit_table, mixed, slices, written
@@ -42,7 +42,10 @@ SPLITS = 4
 #: Bits of the broadcast tables that keep texts and signatures without partner out of a shuffle: 8 and 16 MB, whatever the input.
 TEXT_BITS = 1 << 26
 SIG_BITS = 1 << 27
-SKETCH_BITS = 256
+SKETCH_BITS = 1024
+#: Leaders a bucket proposes in round 1, and links a node tries there.
+LEADERS = (0, -1, 0x5A5A1234C3C3F00D, 0x2545F4914F6CDD1D)
+TRIES = 4
 SKETCH = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 _STEP = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
@@ -204,11 +207,15 @@ def _verified(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(pairs.join(u, "u").join(v, "v").mapInArrow(_linked, "u long, v long"))
 
 
+def _distance(a: str, b: str):
+    """Differing sketch bits: at most the symmetric difference of the sets."""
+    return sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH)
+
+
 def _possible(a: str, b: str):
     """Whether sizes and sketches of two rows leave room for a link."""
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    apart = sum(F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH)
-    return (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (apart * (DEN + NUM) <= (n + m) * (DEN - NUM))
+    return (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (_distance(a, b) * (DEN + NUM) <= (n + m) * (DEN - NUM))
 
 
 def joined(docs: DataFrame) -> DataFrame:
@@ -227,17 +234,21 @@ def joined(docs: DataFrame) -> DataFrame:
     near = scratch.keep("near", signed.select("node", "sigs").filter("size(sigs) > 0").mapInArrow(
         _repeated(table), "sig long, node long"))
     scratch.drop("signed", "repeated")
-    shared = written(near.groupBy("sig").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-                     .filter("leader != last").select("sig", "leader"))
+    shared = written(near.groupBy("sig").agg(
+        *(F.min(F.col("node").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)).alias(f"l{k}") for k, x in enumerate(LEADERS)))
+        .filter("l0 != l1"))
     members = written(near.join(shared, "sig").dropDuplicates(["sig", "node"]))
     scratch.drop("near")
-    # round 1: each node with the leader it shares most signatures with
-    leaders = members.filter("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
-    best = leaders.groupBy("node").agg(F.max(F.struct("n", "leader")).alias("best"))
-    first = written(best.select(F.col("node").alias("u"), F.col("best.leader").alias("v")))
-    likely = first.join(info.alias("a"), F.col("u") == F.col("a.node")).join(
-        info.alias("b"), F.col("v") == F.col("b.node")).filter(_possible("a", "b")).select("u", "v")
-    links = _verified(docs, info, likely)
+    # round 1: each node with the nearest of its buckets' leaders, by sketch
+    leaders = members.select("node", F.explode(F.array(*(f"l{k}" for k in range(len(LEADERS))))).alias("leader"))
+    proposed = written(leaders.filter("node != leader").distinct())
+    near_by = proposed.join(info.alias("a"), "node").join(
+        info.alias("b"), F.col("leader") == F.col("b.node")).filter(_possible("a", "b")).select(
+        F.col("a.node").alias("u"), F.col("leader").alias("v"), _distance("a", "b").alias("d"))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy("d", "v"))
+    tried = written(near_by.withColumn("rank", rank).filter(F.col("rank") <= TRIES).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    links = _verified(docs, info, tried)
     labels = written(components(links))
     # round 2: bucket members that are still apart
     placed = written(members.select("sig", "node").join(labels, "node", "left").withColumn(
@@ -248,8 +259,7 @@ def joined(docs: DataFrame) -> DataFrame:
     pairs = apart.alias("a").join(apart.alias("b"), "sig").filter(
         (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b")).select(
         F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    tested = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = _verified(docs, info, pairs.join(tested, ["u", "v"], "left_anti"))
+    more = _verified(docs, info, pairs.join(tried, ["u", "v"], "left_anti"))
     labels = written(components(links.union(more)))
     # nodes to documents
     own = written(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
