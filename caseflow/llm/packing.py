@@ -15,20 +15,26 @@ by one; a document longer than the budget is a batch of its own; other columns p
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.llm.common import batches, blank_words, written
+
 BUCKETS = 16
 TOKEN_BUDGET = 32_768
 EXACT = 1_024
 SLICE_ROWS = 50_000
 
 
-def token_count(text: str = "text") -> Column:
-    """Words between ASCII white space, and one end token."""
-    words = F.regexp_count(F.col(text), F.lit("[^\\x20\\x09-\\x0D]+"))
-    return (F.coalesce(words, F.lit(0)) + 1).cast("long")
+def _lengths(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words between ASCII white space, and one end token, of each document."""
+    for batch in batches(rows):
+        n = [len(blank_words(text)) + 1 for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
 
 def length_class(length: Column) -> Column:
@@ -69,7 +75,8 @@ def optimal_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) ->
 
 def packed(docs: DataFrame, *, buckets: int = BUCKETS, budget: int = TOKEN_BUDGET) -> DataFrame:
     """Per document: n_tokens, bucket, bucket_tokens (padded length), slice, batch, position and padding."""
-    rows = docs.select("doc_id", token_count().alias("n_tokens")).withColumn("class", length_class(F.col("n_tokens")))
+    lengths = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_lengths, "doc_id long, n_tokens long"))
+    rows = lengths.withColumn("class", length_class(F.col("n_tokens")))
     histogram = rows.groupBy("class").agg(F.count("*").alias("n")).collect()
     total = sum(r["n"] for r in histogram)
     ends = optimal_boundaries(

@@ -30,7 +30,7 @@ from caseflow.llm.common import batches, written
 
 LEAST = 0.25
 OUTSIDE = 0.2
-FEW_PAGES = 20.0
+FEW_PAGES = 10.0
 # fixed values: elements and names of HTML pages
 BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
             "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
