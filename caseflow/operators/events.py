@@ -157,7 +157,7 @@ def bounded_extract(documents: DataFrame, group: str, cursor: str, tie: str, lim
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .filter(F.col("_before") < limit)
     )
-    within = dated.join(sized(hours, max_rows=1_000_000), [group, "_hour"])
+    within = dated.join(sized(hours), [group, "_hour"])
     whole = within.filter(F.col("_before") + F.col("_n") <= limit)
     ranked = (
         within.filter(F.col("_before") + F.col("_n") > limit)

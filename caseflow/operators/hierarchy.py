@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseflow.operators.skew import sized
+from caseflow.session import settle
+
+LEVELS = 5  # levels that also get columns of their own; the chain itself has no limit
+
+
+class TaxonomyCycle(ValueError):
+    """The parent pointers of a taxonomy lead back to a code."""
 
-MAX_STEPS = 6    # the climb stops after six nodes
-LEVELS = 5       # and five of them, counted from the root, are kept
 
 # Leaf attributes and the taxonomy field each comes from.
 LEAF_FIELDS = (
@@ -21,27 +26,35 @@ LEAF_FIELDS = (
 
 
 def ancestor_levels(taxonomy: DataFrame) -> DataFrame:
-    """HR7: per code, the chain from the root down as codigo_1..5 and nome_1..5.
+    """HR7: per code, the whole chain from the root down.
 
-    Six equi-joins on the parent pointer.  Nothing is hinted: Spark broadcasts
-    the taxonomy while it is under its size threshold and shuffles beyond it.
-    ``chain_complete`` tells whether the climb ended at a node without parent.
+    ``cadeia`` holds the codes of the chain, ``codigo_raiz`` its first and ``nivel_folha`` its length; codigo_1..5 and
+    nome_1..5 are its first five levels.  ``chain_complete`` tells whether the climb ended at a node without parent.
+
+    Chains double in length every round, so a taxonomy of any depth takes a logarithmic number of equi-joins on the
+    pointer; Spark broadcasts the taxonomy while it is under its size threshold.  A cycle raises ``TaxonomyCycle``.
     """
-    nodes = taxonomy.select(
-        F.col("id").alias("_id"), F.col("nome").alias("_nome"), F.col("cod_item_pai").alias("_pai"))
-    chain = nodes.select(
-        F.col("_id").alias("movimento_codigo"),
-        F.array(F.struct("_id", "_nome")).alias("_chain"),
-        F.col("_pai").alias("_up"))
-    for _ in range(MAX_STEPS - 1):
-        climbed = chain.join(nodes, F.col("_up") == F.col("_id"), "left")
-        known = F.col("_id").isNotNull()
-        chain = climbed.select(
-            "movimento_codigo",
-            F.when(known, F.concat("_chain", F.array(F.struct("_id", "_nome")))).otherwise(F.col("_chain"))
-            .alias("_chain"),
-            # a missing parent keeps its pointer, which marks the chain incomplete
-            F.when(known, F.col("_pai")).otherwise(F.col("_up")).alias("_up"))
+    chain = settle(taxonomy.select(
+        F.col("id").alias("movimento_codigo"),
+        F.array(F.struct(F.col("id").alias("_id"), F.col("nome").alias("_nome"))).alias("_chain"),
+        F.col("cod_item_pai").alias("_up")))
+    while True:
+        above = chain.select(
+            F.col("movimento_codigo").alias("_from"), F.col("_chain").alias("_more"), F.col("_up").alias("_next"))
+        climbed = chain.join(above, F.col("_up") == F.col("_from"), "left")
+        known = F.col("_from").isNotNull()
+        # a missing parent keeps its pointer, which marks the chain incomplete
+        chain = settle(climbed.select(
+            "movimento_codigo", known.alias("_moved"),
+            F.when(known, F.concat("_chain", "_more")).otherwise(F.col("_chain")).alias("_chain"),
+            F.when(known, F.col("_next")).otherwise(F.col("_up")).alias("_up")))
+        distinct = F.size(F.array_distinct(F.transform("_chain", lambda x: x["_id"])))
+        moved, cyclic = chain.agg(F.max("_moved"), F.min(F.when(distinct < F.size("_chain"), F.col("movimento_codigo")))).first()
+        if cyclic is not None:
+            raise TaxonomyCycle(f"the parents of code {cyclic} form a cycle")
+        chain = chain.drop("_moved")
+        if not moved:
+            break
     root_first = chain.withColumn("_chain", F.reverse("_chain"))
 
     def level(i: int, field: str):
@@ -51,6 +64,8 @@ def ancestor_levels(taxonomy: DataFrame) -> DataFrame:
         "movimento_codigo",
         *[level(i, "_id").alias(f"movimento_codigo_{i}") for i in range(1, LEVELS + 1)],
         *[level(i, "_nome").alias(f"movimento_nome_{i}") for i in range(1, LEVELS + 1)],
+        F.transform("_chain", lambda x: x["_id"]).alias("cadeia"),
+        level(1, "_id").alias("codigo_raiz"), F.size("_chain").alias("nivel_folha"),
         F.col("_up").isNull().alias("chain_complete"),
     )
 

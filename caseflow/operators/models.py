@@ -64,14 +64,23 @@ class Fit:
                 **dict(zip(self.terms, self.model.coefficients.toArray().tolist()))}
 
 
+MOST_ROUNDS = 50
+
+
+class UnsettledFit(RuntimeError):
+    """A fit did not converge, so there is no result."""
+
+
 def fit_logit(data: DataFrame, name: str, terms: dict[str, Column]) -> Fit:
     """A binomial GLM with logit link on the counted data."""
     frame = data.select("y", "peso", *[c.alias(term) for term, c in terms.items()])
     assembled = VectorAssembler(inputCols=list(terms), outputCol="features").transform(frame)
     model = GeneralizedLinearRegression(
         family="binomial", link="logit", labelCol="y", weightCol="peso", featuresCol="features",
-        maxIter=50, tol=1e-10,
+        maxIter=MOST_ROUNDS, tol=1e-10,
     ).fit(assembled)
+    if model.summary.numIterations >= MOST_ROUNDS:
+        raise UnsettledFit(f"{name}: not settled after {MOST_ROUNDS} rounds; the outcomes may be separated")
     return Fit(name, list(terms), model)
 
 
@@ -248,8 +257,8 @@ def newton_logit(
             betas[i] = betas[i] + step
             largest = max(largest, abs(float(gradient @ step)))
         if largest < tolerance:  # what a further step could gain in log-likelihood
-            break
-    return list(zip(betas, deviances))
+            return list(zip(betas, deviances))
+    raise UnsettledFit(f"not settled after {max_rounds} rounds; the outcomes may be separated")
 
 
 # how far along the proposed step to look for a better breakpoint
@@ -290,6 +299,8 @@ def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4
         psi, (beta, deviance) = trials[best], fits[best]
         if gain < 1e-9 * abs(deviance):
             break
+    else:
+        raise UnsettledFit(f"the breakpoint still moved after {max_rounds} rounds")
     t = F.col("t")
     return psi, fit_logit(data, "segmentado", {"t": t, "u": F.greatest(t - F.lit(psi), F.lit(0.0))})
 

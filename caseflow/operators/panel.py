@@ -74,8 +74,11 @@ def months_of(counts: DataFrame, month: str, first: str | None = None, last: str
 
 
 def pivot_months(counts: DataFrame, keys: list[str], month: str, months: list[date]) -> DataFrame:
-    """RS3: one column per month, chronological, 0 where there is no row."""
-    wide = counts.groupBy(*keys).pivot(month, [m.isoformat() for m in months]).agg(F.sum("n"))
+    """RS3: one column per month, chronological, 0 where there is no row; a month that isn't listed fails the job."""
+    listed = F.col(month).isNull() | F.col(month).isin(months)
+    checked = counts.withColumn(month, F.when(listed, F.col(month)).otherwise(
+        F.raise_error(F.concat(F.lit("month without a column: "), F.col(month).cast("string"))).cast("date")))
+    wide = checked.groupBy(*keys).pivot(month, [m.isoformat() for m in months]).agg(F.sum("n"))
     return wide.na.fill(0)
 
 
@@ -113,16 +116,14 @@ def other_courts(cases: DataFrame, spec: tuple[int, ...], since: str | None = No
 
 
 def other_courts_wide(
-    cases: DataFrame, spec: tuple[int, ...], since: str, months: list[date] | None = None
+    cases: DataFrame, spec: tuple[int, ...], since: str, last: str | None = None
 ) -> DataFrame:
-    """Q4: non-specialised courts by month; ``months`` fixes the columns, else those found."""
-    counts = (
+    """Q4: non-specialised courts by month: every month found, and all from ``since`` to ``last`` if that is given."""
+    counts = settle(
         other_courts(cases, spec, since)
         .groupBy("orgao_julgador_nome", F.col("mes_ajuizamento").alias("mes")).agg(F.count("*").alias("n"))
     )
-    if months is None:
-        counts = settle(counts)  # courts x months, read twice from here on
-        months = months_of(counts, "mes")
+    months = months_of(counts, "mes", since if last else None, last)
     return pivot_months(counts, ["orgao_julgador_nome"], "mes", months).orderBy("orgao_julgador_nome")
 
 

@@ -97,18 +97,22 @@ def stl_periodic(y: np.ndarray, period: int = PERIOD, inner: int = 2) -> tuple[n
 def decompose(series: DataFrame, key: str, month: str = "mes", value: str = "n") -> DataFrame:
     """ML8/Q18: observed, trend, seasonal and remainder of each gap-free monthly series, long.
 
-    A series shorter than two years has no decomposition; it raises, as in the study.
+    A series shorter than two years has no decomposition: its observed values come with NULL parts, and ``motivo``
+    says why; it is NULL for the others.
     """
-    schema = f"`{key}` {series.schema[key].dataType.simpleString()}, data date, componente string, valor double"
+    schema = f"`{key}` {series.schema[key].dataType.simpleString()}, data date, componente string, valor double, motivo string"
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(month)
         y = pdf[value].to_numpy(dtype=float)
-        seasonal, trend = stl_periodic(y)
+        short = len(y) < 2 * PERIOD
+        seasonal, trend = (np.full(len(y), np.nan),) * 2 if short else stl_periodic(y)
+        reason = "fewer than two full periods" if short else None
         parts = {"observed": y, "trend": trend, "seasonal": seasonal, "remainder": y - seasonal - trend}
         return pd.concat([
             pd.DataFrame({key: pdf[key].to_numpy(), "data": pdf[month].to_numpy(),
-                          "componente": name, "valor": part})
+                          "componente": name,
+                          "valor": [None if np.isnan(v) else v for v in part], "motivo": reason})
             for name, part in parts.items()])
 
     return series.select(key, month, value).groupBy(key).applyInPandas(one, schema)

@@ -21,21 +21,20 @@ from caseflow.session import settle
 SLICE = "_slice"
 
 
-def sized(lookup: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """The lookup, computed once; hinted for broadcast if it has at most ``max_rows`` rows.
+def sized(lookup: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """The lookup, computed once; hinted for broadcast if its rows, as text, have at most ``max_bytes`` bytes.
 
     A larger one is returned plain: Spark shuffles both sides, and AQE splits hot keys.
     """
     stored = settle(lookup)
-    small = stored.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(stored) if small else stored
+    size = stored.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(stored) if size <= max_bytes else stored
 
 
 @dataclass(frozen=True)
 class HotKeyRule:
     share: float = 1 / 10_000   # at most 10,000 keys can exceed this share
     floor: int = 1_000_000      # smaller groups are never worth splitting
-    max_slices: int = 1_000     # per key
 
 
 DEFAULT_RULE = HotKeyRule()
@@ -52,16 +51,17 @@ def hot_key_bounds(frame: DataFrame, key: str, order: Column, rule: HotKeyRule)
         return None
     hot_rows = counts.filter(F.col("_n") > limit).collect()  # at most 1 / share rows
     hot = frame.sparkSession.createDataFrame(
-        [(r[key], min(rule.max_slices, -(-r["_n"] // limit))) for r in hot_rows],
+        [(r[key], -(-r["_n"] // limit)) for r in hot_rows],
         f"`{key}` {frame.schema[key].dataType.simpleString()}, _k int",
     )
-    steps = [i / rule.max_slices for i in range(1, rule.max_slices)]
+    most = max(-(-r["_n"] // limit) for r in hot_rows)  # at most 1 / share
+    steps = [i / most for i in range(1, most)]
     quantiles = (
         frame.select(key, order.alias("_o")).join(F.broadcast(hot), key)
         .groupBy(key).agg(F.percentile_approx("_o", steps, 10_000).alias("_q"), F.first("_k").alias("_k"))
     )
     bounds = quantiles.select(key, F.array_distinct(F.expr(
-        f"transform(sequence(1, _k - 1), i -> _q[int(i * {rule.max_slices} / _k) - 1])"
+        f"transform(sequence(1, _k - 1), i -> _q[greatest(int(i * {most} / _k), 1) - 1])"
     )).alias("_bounds"))
     rows = [tuple(r) for r in bounds.collect()]  # the sum of _k is at most 2 / share
     return frame.sparkSession.createDataFrame(rows, bounds.schema)

@@ -11,6 +11,15 @@ from caseflow.operators.panel import specialised
 from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, previous_time
 
 
+# What makes a row of the movement table a movement of its own; the other columns repeat it per complement.
+MOVEMENT = ["processo", "movimento_codigo", "movimento_data_hora"]
+
+
+def one_per_movement(movements: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """One row per movement: movement rows repeat per complement, decisions are counted once."""
+    return movements.dropDuplicates(key or MOVEMENT)
+
+
 def judge_deltas(
     movements: DataFrame,
     ties: list[Column],
@@ -34,9 +43,10 @@ def judge_deltas(
 
 
 def with_case_columns(deltas: DataFrame, cases: DataFrame) -> DataFrame:
-    """Filing month and court of each delta's case (one row per case row)."""
-    return deltas.join(
-        cases.select("processo", "mes_ajuizamento", "orgao_julgador_codigo"), "processo")
+    """Filing month and court of each delta's case: of repeated case rows, the first filing's."""
+    first = F.min(F.struct("mes_ajuizamento", "orgao_julgador_codigo")).alias("_caso")
+    one = cases.groupBy("processo").agg(first).select("processo", "_caso.*")
+    return deltas.join(one, "processo")
 
 
 def _populations(deltas: DataFrame, spec: tuple[int, ...]) -> DataFrame:

@@ -180,11 +180,20 @@ def _user_cases(spark, sf_dir) -> DataFrame:
         F.nullif(F.col("c_nationkey"), F.lit(7)).cast("bigint").alias("orgao_julgador_codigo"))
 
 
+def _movements(spark, sf_dir) -> DataFrame:
+    """Events as movement rows that repeat per complement, brought to one row per movement."""
+    moves = px.moves_e(spark, sf_dir)
+    complement = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 3).cast("int")))
+    return viscosity.one_per_movement(moves.withColumn("complemento", complement), ["processo", "event_id"])
+
+
 def _deltas(spark, sf_dir) -> DataFrame:
     code = F.col("movimento_codigo")
     deltas = viscosity.judge_deltas(
-        px.moves_e(spark, sf_dir), _ties(), judge=code == "purchase", conclusion=code == "view")
-    return viscosity.with_case_columns(deltas, _user_cases(spark, sf_dir))
+        _movements(spark, sf_dir), _ties(), judge=code == "purchase", conclusion=code == "view")
+    cases = _user_cases(spark, sf_dir)
+    later = cases.withColumn("mes_ajuizamento", F.add_months("mes_ajuizamento", 5))  # the same case, filed again
+    return viscosity.with_case_columns(deltas, cases.union(later))
 
 
 @query("q19_viscosity_total", f"""
@@ -226,7 +235,7 @@ SELECT processo, CAST(count(*) AS BIGINT) AS decisoes,
 FROM lagged WHERE movimento_codigo = 'purchase' AND anterior IS NOT NULL GROUP BY processo""")
 def gap_viscosity(spark, sf_dir):
     gaps = events.gap_to_previous(
-        px.moves_e(spark, sf_dir), _ties(), F.col("movimento_codigo") == "purchase")
+        _movements(spark, sf_dir), _ties(), F.col("movimento_codigo") == "purchase")
     return events.case_gap_totals(gaps).withColumn("viscosidade_dias", F.round("viscosidade_dias", 6))
 
 

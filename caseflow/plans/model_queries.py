@@ -138,7 +138,7 @@ def _court_series(spark, sf_dir) -> DataFrame:
 
 @query("q18_stl")
 def q18_stl(spark, sf_dir):
-    return series.decompose(_court_series(spark, sf_dir), "orgao_julgador_nome")
+    return series.decompose(_court_series(spark, sf_dir), "orgao_julgador_nome").drop("motivo")
 
 
 @query("q18_stl_sum", f"""

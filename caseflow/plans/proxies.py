@@ -21,17 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def orders_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders over at least as many tasks as there are cores.
+    """orders, dealt to as many tasks as the session setting ``caseflow.read.tasks`` asks for.
 
-    Parsing a document costs far more than moving its row.  A landed folder has
-    many files; where the table has fewer scan tasks than cores, its rows are
-    spread by key first, and a larger table is left as it is.
+    Parsing a document costs far more than moving its row. A landed folder has many files and needs no setting; a
+    benchmark that keeps all rows in one row group sets it.
     """
     orders = table(spark, sf_dir, "orders")
-    cores = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() >= cores:
-        return orders
-    return orders.repartition(cores, "o_orderkey")
+    tasks = spark.conf.get("caseflow.read.tasks", None)
+    return orders if tasks is None else orders.repartition(int(tasks), "o_orderkey")
 
 
 def case_number(key: Column | str) -> Column:
@@ -496,14 +493,14 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- dimensions ------------------------------------------------------------------------------
 
 TAXONOMY_SQL = """taxonomy AS (
-  SELECT p_partkey AS id, CASE WHEN p_partkey > 3 THEN p_partkey // 4 END AS cod_item_pai,
+  SELECT p_partkey AS id, CASE WHEN p_partkey > 3 THEN p_partkey // 2 END AS cod_item_pai,
          p_name AS nome, p_brand AS norma
   FROM part WHERE p_size <> 50)"""
 
 
 def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part keys as codes: parent = key div 4, roots 0-3; parts of size 50 are unknown nodes."""
+    """part keys as codes: parent = key div 2, so chains get deep; roots 1-3; parts of size 50 are unknown nodes."""
     key = F.col("p_partkey")
     return table(spark, sf_dir, "part").filter(F.col("p_size") != 50).select(
-        key.alias("id"), F.when(key > 3, F.expr("p_partkey div 4")).alias("cod_item_pai"),
+        key.alias("id"), F.when(key > 3, F.expr("p_partkey div 2")).alias("cod_item_pai"),
         F.col("p_name").alias("nome"), F.col("p_brand").alias("norma"))

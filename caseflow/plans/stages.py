@@ -92,7 +92,7 @@ def judge_time_tables(
     writers.write_parquet(hierarchy.enrich_movements(movements, lookup), f"{out}/movimentos_tpu")
     enriched = spark.read.parquet(f"{out}/movimentos_tpu")
     deltas = viscosity.with_case_columns(
-        viscosity.judge_deltas(enriched, [F.col("movimento_codigo"), F.col("id")]),
+        viscosity.judge_deltas(viscosity.one_per_movement(enriched), [F.col("movimento_codigo")]),
         spark.read.parquet(f"{cleaned}/processos"))
     writers.write_parquet(deltas, f"{out}/deltas")
     stored = spark.read.parquet(f"{out}/deltas")

@@ -18,7 +18,7 @@ climb AS (
   SELECT id AS codigo, id, nome, cod_item_pai, 1 AS passo FROM taxonomy
   UNION ALL
   SELECT c.codigo, t.id, t.nome, t.cod_item_pai, c.passo + 1
-  FROM climb c JOIN taxonomy t ON t.id = c.cod_item_pai WHERE c.passo < 6),
+  FROM climb c JOIN taxonomy t ON t.id = c.cod_item_pai),
 chains AS (
   SELECT codigo, list(id ORDER BY passo DESC) AS ids, list(nome ORDER BY passo DESC) AS nomes,
          bool_or(cod_item_pai IS NULL) AS chain_complete
@@ -29,9 +29,12 @@ _LEVELS_SQL = ", ".join(
 
 
 @query("code_hierarchy", f"""{_CHAIN_SQL}
-SELECT codigo AS movimento_codigo, {_LEVELS_SQL}, chain_complete FROM chains""")
+SELECT codigo AS movimento_codigo, {_LEVELS_SQL}, ids[1] AS codigo_raiz, CAST(len(ids) AS BIGINT) AS nivel_folha,
+  array_to_string(ids, '>') AS cadeia, chain_complete FROM chains""")
 def code_hierarchy(spark, sf_dir):
-    return hierarchy.ancestor_levels(px.taxonomy(spark, sf_dir))
+    levels = hierarchy.ancestor_levels(px.taxonomy(spark, sf_dir))
+    return levels.withColumns({
+        "nivel_folha": F.col("nivel_folha").cast("bigint"), "cadeia": F.array_join(F.col("cadeia").cast("array<string>"), ">")})
 
 
 def _enriched(spark, sf_dir) -> DataFrame:
@@ -145,44 +148,40 @@ def tree_cases(spark, sf_dir):
 
 # ---- parties -------------------------------------------------------------------------------------
 
-# RE2 twins of the sentence patterns
-_ENR = r"(?i)(?:DESH?)?ABILIT.+?Parte:\s+"
-_NOT = r"(?i)(?:P/\s*advgs\.|advogados?/curador/defensor|pelo\s+advogado/curador/defensor)\s+de\s+"
-_ADM = r"ADMINISTRADOR\s+JUDICIAL"
-_TRU = r"\(S[IÍ]NDICO\s+DO\(A\)"
-_ROL = "Promovente|Promovido|Terceiro|Réu|Reus|Autor|Executado|Exequente"
-
-
-def _x(pattern: str) -> str:
-    return f"regexp_extract(texto, '{pattern}', 1)"
-
-
-def _m(pattern: str) -> str:
-    return f"regexp_matches(texto, '{pattern}')"
-
-
-_EXTRACT_SQL = rf"""{px.SENTENCES_SQL}, extracted AS (
-  SELECT *,
-    lower(trim(regexp_replace(regexp_replace(regexp_replace(CASE
-      WHEN {_m(_ENR)} THEN coalesce(
-        nullif({_x(_ENR + _ADM + r'\s*\(([^)]+)\)\s*\(')}, ''),
-        nullif({_x(_ENR + r'\(' + _ADM + r'\)\s*([^(]+?)\s*\(')}, ''),
-        nullif({_x(_ENR + r'(.+?)\s*' + _TRU)}, ''),
-        nullif({_x(_ENR + r'([^(]+?)\s*\(' + _ADM + r'\)\s*\(')}, ''),
-        nullif({_x(_ENR + r'(.+?)\s*\((?:' + _ROL + r')\)')}, ''))
-      WHEN {_m(_NOT)} THEN nullif(regexp_replace(
-        {_x(_NOT + r'(.+?(?:\([^)]+\))?)(?:\s+com\s+prazo|\s+\*|\s+em\s+\d|\s*\)\s+em\s|\s*\z)')},
-        '(?i)\s*{_TRU}.+\z', ''), '')
-      END, '\s+', ' ', 'g'), '(?i)^MASSA\s+FALIDA\s*(?:DE\s+|-\s*)', ''), '\s+', ' ', 'g'))) AS nome,
-    CASE WHEN {_m(_ENR)} THEN lower({_x(r'(?i)\((' + _ROL + r')\)\s*\z')}) END AS especie,
-    CASE
-      WHEN {_m(_ENR + '.+?' + _TRU)} THEN lower(trim({_x(_ENR + r'(.+?)\s*' + _TRU)}))
-      WHEN {_m(_ENR + _ADM + r'\s*\(')} THEN lower(trim({_x('(?i)' + _ADM + r'\s*\(([^)]+)\)')}))
-      WHEN {_m(_ENR + r'\(' + _ADM + r'\)')} THEN lower(trim({_x(r'(?i)\(' + _ADM + r'\)\s*([^(]+?)\s*\(')}))
-      WHEN {_m(_ENR + r'[^(]+\(' + _ADM + r'\)')} THEN lower(trim({_x(_ENR + r'([^(]+?)\s*\(' + _ADM + r'\)')}))
-      WHEN {_m(_NOT + r'.+?S[IÍ]NDICO\s+DO\(A\)')} THEN lower(trim({_x(_NOT + r'(.+?)\s*' + _TRU)}))
-    END AS administrador
-  FROM sentences)"""
+# What each sentence template says, stated by template number: the person {p} or the company {e} as party, the role, and
+# whether the person is the administrator. Sentences of other numbers say nothing.
+_SAYS = {
+    0: ("{p}", "terceiro", True), 1: ("{p}", "terceiro", True), 2: ("{p}", "terceiro", True), 3: ("{p}", "réu", True),
+    4: ("{e}", "promovido", False), 5: ("{e}", None, False), 6: ("{p}", None, True), 7: (None, "", False),
+    8: ("{e}", None, False), 10: ("{e}", "exequente", False),
+}
+# The companies as a sentence's party name, and with one spelling per suffix, by customer key mod 4.
+_PLAIN = ("acme{k} & cia ltda.", "beta{k} s/a", "gama, delta{k} ltda.", "omega{k} & cia. s.a.")
+_ONE_SPELLING = ("acme{k} e cia ltda", "beta{k} sa", "gama delta{k} ltda", "omega{k} e cia sa")
+
+
+def _text_sql(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("{k}", "' || o_custkey || '") + "'"
+
+
+def _company_sql(names: tuple[str, ...]) -> str:
+    return "CASE o_custkey % 4 " + " ".join(f"WHEN {i} THEN {_text_sql(n)}" for i, n in enumerate(names)) + " END"
+
+
+def _by_template(of) -> str:
+    return "CASE o_orderkey % 12 " + " ".join(f"WHEN {i} THEN {of(x)}" for i, x in _SAYS.items()) + " END"
+
+
+_PERSON_SQL = "'ana lima ' || o_custkey"
+_PARTY = {"{p}": "person", "{e}": "company", None: "NULL"}
+_EXTRACT_SQL = f"""{px.SENTENCES_SQL}, named AS (
+  SELECT *, {_PERSON_SQL} AS person, {_company_sql(_PLAIN)} AS company, {_company_sql(_ONE_SPELLING)} AS spelled
+  FROM sentences), extracted AS (
+  SELECT *, {_by_template(lambda x: _PARTY[x[0]])} AS nome,
+    {_by_template(lambda x: _PARTY[x[0]].replace("company", "spelled"))} AS nome_grafia,
+    {_by_template(lambda x: _text_sql(x[1]))} AS especie,
+    {_by_template(lambda x: "person" if x[2] else "NULL")} AS administrador
+  FROM named)"""
 
 
 def _enriched_sentences(spark, sf_dir) -> DataFrame:
@@ -199,20 +198,12 @@ def party_extract(spark, sf_dir):
         "numero_processo", parties.TEXT, parties.NAME, parties.ROLE, parties.ADMINISTRATOR)
 
 
-def _suffix_sql(name: str) -> str:
-    rules = ((r"\s*&\s*cia\.?\s+ltda\.?", " e cia ltda"), (r"\s*&\s*cia\.?\s+s\.?/?a\.?", " e cia sa"),
-             (r"\bcia\.", "cia"), (r"\bs\.?/?a\.?", "sa"), (r"\bltda\.?", "ltda"))
-    for pattern, new in rules:
-        name = f"regexp_replace({name}, '{pattern}', '{new}', 'gi')"
-    return f"trim(regexp_replace(replace({name}, ',', ''), '\\s+', ' ', 'g'))"
-
-
 _PARTIES_SQL = f"""{_EXTRACT_SQL}, parties AS (
   SELECT {px.CASE_NUMBER_SQL} AS numero_processo, substr(o_orderpriority, 1, 1) AS classe_codigo,
     CAST(o_orderkey AS VARCHAR) AS movimento_sequencia,
     strftime(o_orderdate, '%d/%m/%Y %H:%M:%S') AS movimento_data_hora,
     CAST(o_orderkey % 100 AS VARCHAR) AS movimento_codigo, 'Mov' AS movimento_nome,
-    {_suffix_sql('nome')} AS parte_nome, especie AS parte_especie, administrador AS administrador_judicial,
+    nome_grafia AS parte_nome, especie AS parte_especie, administrador AS administrador_judicial,
     texto AS complemento_projudi_descricao, lower(o_orderstatus) AS complemento_projudi_movimentado_por_nome,
     'juiz' AS complemento_projudi_movimentado_por_cargo
   FROM extracted WHERE coalesce(nome, especie, administrador) IS NOT NULL)"""
@@ -224,7 +215,7 @@ def party_table(spark, sf_dir):
 
 
 @query("suffix_norm", f"""WITH {px.SENTENCES_SQL}
-SELECT o_orderkey, {_suffix_sql('lower(empresa)')} AS empresa FROM sentences""")
+SELECT o_orderkey, {_company_sql(_ONE_SPELLING)} AS empresa FROM sentences""")
 def suffix_norm(spark, sf_dir):
     """RX8 on every company name of the sentences."""
     from caseflow.functions import party_text

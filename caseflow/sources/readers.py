@@ -116,18 +116,15 @@ def check_required_inputs(spark: SparkSession, root: str, names: list[str]) -> D
 
 
 def read_case_list(spark: SparkSession, path: str) -> DataFrame:
-    """SC5: first CSV column as case numbers, trimmed; a header line and blanks are dropped.
+    """SC5: first CSV column as case numbers, trimmed; header lines and blanks are dropped.
 
-    One row decides whether the files start with a header; Spark then skips the
-    first line of each file.
+    Every file decides for itself: its first row is a header unless it looks like data.
     """
-    reader = spark.read.schema("processo string")
-    first = reader.csv(path).filter(F.col("_metadata.file_block_start") == 0).head(1)
-    has_header = bool(first) and not _starts_with_case(first[0].processo or "")
-    rows = reader.option("header", has_header).csv(path)
-    return rows.select(F.trim("processo").alias("processo")).filter(F.length("processo") > 0)
-
-
-def _starts_with_case(cell: str) -> bool:
-    """A first cell is data when it is all digits or starts with 0."""
-    return cell.isdigit() or cell.startswith("0")
+    rows = spark.read.schema("processo string").csv(path).select(
+        F.trim("processo").alias("processo"), F.col("_metadata.file_path").alias("_file"),
+        (F.col("_metadata.file_block_start") == 0).alias("_start"), F.monotonically_increasing_id().alias("_row"))
+    first = rows.filter("_start").groupBy("_file").agg(F.min("_row").alias("_first"))
+    cell = F.coalesce("processo", F.lit(""))
+    data = cell.rlike("^[0-9]+$") | cell.startswith("0")
+    kept = rows.join(first, "_file", "left").filter((F.col("_row") != F.col("_first")) | data)
+    return kept.select("processo").filter(F.length("processo") > 0)

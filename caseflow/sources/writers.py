@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseflow.session import settle
+
 
 class ExportMismatch(RuntimeError):
     """A written table does not match its source."""
@@ -19,19 +21,25 @@ def write_parquet(frame: DataFrame, path: str, compression: str = "zstd") -> str
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_csv(frame: DataFrame, path: str, single_file: bool = False) -> str:
-    """SK3: CSV with header.
+class TooManyRows(RuntimeError):
+    """A table is too large for one file."""
+
 
-    ``single_file`` asks for one file; a table with more rows than fit one task
-    well is written as several files all the same.
-    """
-    one = single_file and frame.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    out = frame.coalesce(1) if one else frame
+def write_csv(frame: DataFrame, path: str) -> str:
+    """SK3: CSV with header, as many files as the frame has partitions."""
     # quotes are doubled, as CSV readers other than Spark's expect
-    out.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+    frame.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
     return path
 
 
+def write_one_csv(frame: DataFrame, path: str, most: int = SINGLE_FILE_ROWS) -> str:
+    """SK3 as one file; a table of more than ``most`` rows raises, as one task would write it all."""
+    stored = settle(frame.limit(most + 1))
+    if stored.count() > most:
+        raise TooManyRows(f"{path}: more than {most} rows; use write_csv")
+    return write_csv(stored.coalesce(1), path)
+
+
 def write_json_by_class(documents: DataFrame, path: str) -> str:
     """SK4: one JSON-lines folder per class code."""
     (

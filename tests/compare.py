@@ -17,6 +17,7 @@ def local_session(cpus: str = "8") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]").appName("caseflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("caseflow.read.tasks", cpus)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

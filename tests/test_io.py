@@ -30,6 +30,18 @@ def test_case_list_header(spark, tmp_path, text, cases):
     assert sorted(r.processo for r in readers.read_case_list(spark, str(tmp_path)).collect()) == sorted(cases)
 
 
+def test_case_lists_with_and_without_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("processo\n001\n002\n")
+    (tmp_path / "b.csv").write_text("00003\n00004\n")
+    got = sorted(r.processo for r in readers.read_case_list(spark, str(tmp_path)).collect())
+    assert got == ["00003", "00004", "001", "002"]
+
+
+def test_one_file_refuses_large_tables(spark, tmp_path):
+    with pytest.raises(writers.TooManyRows):
+        writers.write_one_csv(spark.range(11), str(tmp_path / "o"), most=10)
+
+
 def test_one_document_per_file(spark, tmp_path):
     tree_text = [{"numeroUnico": "r", "sequencial": 0, "instancia": "1", "processos": [
         {"numeroUnico": "a", "sequencial": 1, "instancia": "2", "processos": []}]}]
@@ -58,7 +70,7 @@ def test_one_document_per_file(spark, tmp_path):
 
 def test_csv_quotes_and_leading_zeros(spark, tmp_path):
     rows = [("001", 'Vara de "A", Cível'), ("002", "x")]
-    path = writers.write_csv(spark.createDataFrame(rows, "processo string, nome string"), str(tmp_path / "o"), single_file=True)
+    path = writers.write_one_csv(spark.createDataFrame(rows, "processo string, nome string"), str(tmp_path / "o"))
     files = [p for p in (tmp_path / "o").iterdir() if p.suffix == ".csv"]
     assert len(files) == 1
     assert files[0].read_text() == 'processo,nome\n001,"Vara de ""A"", Cível"\n002,x\n'

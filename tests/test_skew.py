@@ -12,7 +12,7 @@ from caseflow.operators.quantiles import grouped_quantiles
 from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time, sized
 
 START = datetime(2024, 1, 1)
-SPLIT = HotKeyRule(share=0.01, floor=10, max_slices=50)  # splits almost every key
+SPLIT = HotKeyRule(share=0.01, floor=10)  # splits almost every key
 
 
 def history(seed=1, rows=900, keys=6, clock=400):
@@ -167,7 +167,7 @@ def test_sized_lookup_is_broadcast_only_when_small(spark):
     facts = spark.range(50).withColumn("k", F.col("id") % 5)
     lookup = spark.range(5).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     expected = {(i, (i % 5) * 2) for i in range(50)}
-    for limit, hinted in ((5, True), (4, False)):
+    for limit, hinted in ((65, True), (64, False)):  # five rows of 13 bytes
         joined = facts.join(sized(lookup, limit), "k", "left")
         assert {(r.id, r.v) for r in joined.collect()} == expected
         assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) == hinted

@@ -78,8 +78,14 @@ def test_hierarchy(spark):
     levels = lambda r: [r[f"movimento_codigo_{i}"] for i in range(1, 6)]
     assert levels(got[221]) == [1, 193, 385, 221, None] and got[221].chain_complete
     assert levels(got[50]) == [50, None, None, None, None] and not got[50].chain_complete
-    assert levels(got[6]) == [14, 2, 3, 4, 5]          # six levels: the leaf drops out
-    assert levels(got[7]) == [2, 3, 4, 5, 6] and not got[7].chain_complete
+    assert levels(got[6]) == [14, 2, 3, 4, 5] and got[6].cadeia == [14, 2, 3, 4, 5, 6]  # five of six levels have columns
+    assert levels(got[7]) == [14, 2, 3, 4, 5] and got[7].chain_complete
+    assert (got[7].codigo_raiz, got[7].nivel_folha) == (14, 7)
+    deep = spark.createDataFrame([(i, i - 1 or None, "n") for i in range(1, 41)], "id long, cod_item_pai long, nome string")
+    assert {r.codigo_raiz for r in hierarchy.ancestor_levels(deep).collect()} == {1}
+    loop = spark.createDataFrame([(1, 3, "a"), (2, 1, "b"), (3, 2, "c")], "id long, cod_item_pai long, nome string")
+    with pytest.raises(hierarchy.TaxonomyCycle):
+        hierarchy.ancestor_levels(loop)
     moves = spark.createDataFrame([("p", "221"), ("p", "{}"), ("p", "77"), ("p", None)], "processo string, movimento_codigo string")
     enriched = hierarchy.enrich_movements(moves, lookup)
     assert {(r.movimento_codigo, r.movimento_codigo_1, r.tpu_nome) for r in enriched.collect()} == {
