@@ -92,27 +92,33 @@ class Tree:
         self.keys.append(pairs)
         self.counts.append(counts.astype(np.int64))
 
-    def places(self, codes: np.ndarray, tokens: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For each length up to ``depth`` and each position, the place of the sequence that begins there (-1: none)."""
-        out = [_found(self.keys[0], codes)[tokens]]
+    def first(self, codes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Places of the tokens themselves; -1 where a token isn't frequent."""
+        return _found(self.keys[0], codes)[tokens]
+
+    def places(self, first: np.ndarray, end: np.ndarray, depth: int) -> list[np.ndarray]:
+        """For each length up to ``depth`` and each position, the place of the sequence that begins there (-1: none).
+
+        ``end`` marks end tokens, after which no sequence goes on.
+        """
+        out = [first.astype(np.int64)]
         for keys in self.keys[1:depth]:
-            before, place = out[-1], np.full(len(tokens), -1, dtype=np.int64)
-            at = np.flatnonzero((before[:-1] >= 0) & (before[1:] >= 0) & (tokens[:-1] > 0))
+            before, place = out[-1], np.full(len(first), -1, dtype=np.int64)
+            at = np.flatnonzero((before[:-1] >= 0) & (before[1:] >= 0) & ~end[:-1])
             place[at] = _found(keys, (before[at] << 32) | before[at + 1])
             out.append(place)
         return out
 
-    def candidates(self, codes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    def candidates(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Packed keys of the sequences one longer whose beginning and end are frequent."""
-        last = self.places(codes, tokens, len(self.keys))[-1]
-        at = np.flatnonzero((last[:-1] >= 0) & (last[1:] >= 0) & (tokens[:-1] > 0))
+        last = self.places(first, end, len(self.keys))[-1]
+        at = np.flatnonzero((last[:-1] >= 0) & (last[1:] >= 0) & ~end[:-1])
         return (last[at] << 32) | last[at + 1]
 
-    def score(self, codes: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per position: frequent or not, its base log10 probability (0 if not frequent), what states add to it."""
-        places = self.places(codes, tokens, len(self.keys))
-        frequent = places[0] >= 0
-        base = np.where(frequent, self.log_prob[0][places[0]] if len(self.keys[0]) else 0.0, 0.0)
+    def score(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per position: its base log10 probability (0 if not frequent), what states add to it."""
+        places = self.places(first, end, len(self.keys))
+        base = np.where(first >= 0, self.log_prob[0][first] if len(self.keys[0]) else 0.0, 0.0)
         own = base.copy()
         for d in range(1, len(self.keys)):
             context, longer = places[d - 1][:-d], places[d][:-d]  # of the d tokens before position i + d
@@ -120,20 +126,12 @@ class Tree:
             known = np.flatnonzero(context >= 0)
             rest[known] = self.log_rest[d - 1][context[known]]
             state = np.flatnonzero(~np.isnan(rest))
-            inside = self._inside(tokens, state, d)
-            state = state[inside]
+            for k in range(d):  # contexts hold no end token
+                state = state[~end[state + k]]
             hit = longer[state] >= 0
             own[state[hit] + d] = self.log_prob[d][longer[state[hit]]]
             own[state[~hit] + d] += rest[state[~hit]]
-        return frequent, base, own - base
-
-    @staticmethod
-    def _inside(tokens: np.ndarray, at: np.ndarray, d: int) -> np.ndarray:
-        """Contexts of d tokens from ``at`` on that hold no end token."""
-        ok = np.ones(len(at), dtype=bool)
-        for k in range(d):
-            ok &= tokens[at + k] > 0
-        return ok
+        return base, own - base
 
 
 def _unigrams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,18 +141,53 @@ def _unigrams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(codes), pa.array(np.bincount(tokens, minlength=len(codes)))], names=["code", "n"])
 
 
+def _encoded(tree):
+    """Each document as places of its tokens; the codes and numbers of those that aren't frequent apart."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            places, sizes, rare, times = [], [], [], []
+            for _, codes, tokens, starts in coded(batch.column("text").to_pylist()):
+                first = tree.value.first(codes, tokens).astype(np.int32)
+                places.append(first)
+                sizes += np.diff(starts).tolist()
+                for a, b in zip(starts[:-1], starts[1:]):
+                    own, n = np.unique(codes[tokens[a:b][first[a:b] < 0]], return_counts=True)
+                    rare.append(own)
+                    times.append(n.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), _lists(sizes, places),
+                 _lists([len(x) for x in rare], rare), _lists([len(x) for x in times], times)],
+                names=["row", "doc_id", "held_out", "places", "codes", "times"])
+
+    return run
+
+
+def _lists(sizes: list[int], parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *sizes]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of a batch's tokens in a row, which of them are end tokens, and where its documents begin."""
+    sizes = batch.column("places").value_lengths().to_numpy()
+    starts = np.cumsum(np.r_[0, sizes[:-1]])
+    first = batch.column("places").flatten().to_numpy()
+    end = np.zeros(len(first), dtype=bool)
+    end[starts + sizes - 1] = True
+    return first, end, starts
+
+
 def _sequences(tree):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            for _, codes, tokens, _ in coded(batch.column("text").to_pylist()):
-                keys, n = np.unique(tree.value.candidates(codes, tokens), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
+            keys, n = np.unique(tree.value.candidates(*_flat(batch)[:2]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
 
     return run
 
 
 def _counted(train: DataFrame, run) -> DataFrame:
-    return train.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return train.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _columns(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -162,61 +195,59 @@ def _columns(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found["code"].to_numpy(), found["n"].to_numpy()
 
 
-def learn(train: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame]:
-    """The tree, and the stored training counts of all tokens (code, n)."""
-    spark = train.sparkSession
-    vocabulary = written(_counted(train, _unigrams))
+def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame, DataFrame]:
+    """The tree, the stored training counts of all tokens (code, n), and the stored documents as places.
+
+    ``docs``: row, doc_id, held_out, text; held-out ones are encoded, not counted. Texts are read twice, for the token counts
+    and for the places; longer sequences are counted on the places.
+    """
+    spark = docs.sparkSession
+    vocabulary = written(_counted(docs.filter("not held_out").select("text"), _unigrams))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     least = max(MIN_COUNT, int(np.ceil(P_MIN * total)))
     tree = Tree(*_columns(vocabulary.filter(F.col("n") >= least)), total, distinct)
+    encoded = written(docs.mapInArrow(
+        _encoded(spark.sparkContext.broadcast(tree)),
+        "row long, doc_id long, held_out boolean, places array<int>, codes array<long>, times array<int>"))
+    train = encoded.filter("not held_out").select("places")
     for _ in range(depth):
         shared = spark.sparkContext.broadcast(tree)
         tree.add(*_columns(_counted(train, _sequences(shared)).filter(F.col("n") >= least)))
         shared.unpersist()
-    return tree, vocabulary
+    return tree, vocabulary, encoded
 
 
 def _scored(shared):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            texts, out = batch.column("text").to_pylist(), []
-            for _, codes, tokens, starts in coded(texts):
-                frequent, base, added = shared.value.score(codes, tokens)
-                for a, b in zip(starts[:-1], starts[1:]):
-                    rare, times = np.unique(codes[tokens[a:b][~frequent[a:b]]], return_counts=True)
-                    out.append((b - a, int(frequent[a:b].sum()), float(base[a:b].sum()), float(added[a:b].sum()),
-                                rare.tolist(), times.tolist()))
-            columns = list(zip(*out))
+            first, end, starts = _flat(batch)
+            base, added = shared.value.score(first, end)
+            total = lambda x: pa.array(np.add.reduceat(x, starts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(columns[0], pa.int64()),
-                 pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64()),
-                 pa.array(columns[3], pa.float64()), pa.array(columns[4], pa.list_(pa.int64())),
-                 pa.array(columns[5], pa.list_(pa.int32()))],
-                names=["row", "doc_id", "n_tokens", "n_known", "base", "added", "codes", "times"])
+                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
+                 total(np.ones(len(first), dtype=np.int64)), total((first >= 0).astype(np.int64)), total(base), total(added)],
+                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "added"])
 
     return run
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    out = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
-    tree, vocabulary = learn(docs.filter(~out))
+    held_out = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
+    docs = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
+    tree, vocabulary, encoded = learn(docs)
     shared = docs.sparkSession.sparkContext.broadcast(tree)
-    found = written(docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _scored(shared), "row long, doc_id long, n_tokens long, n_known long, base double, added double, "
-        "codes array<long>, times array<int>"))
-    rare = found.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select(
+    found = encoded.select("row", "doc_id", "held_out", "places").mapInArrow(
+        _scored(shared), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, added double")
+    rare = encoded.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select(
         "row", F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
-    # rows without training count need no partner, so the larger side of the join is the only one that repeats a key
     n = F.coalesce(F.col("n"), F.lit(0))
     points = rare.join(vocabulary, "code", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((n + 0.5) / tree.scale)).alias("rare"),
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    whole = found.drop("codes", "times").join(points, "row", "left")
     base = F.col("base") + F.coalesce("rare", F.lit(0.0))
-    return whole.select(
-        "doc_id", out.alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+    return found.join(points, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"),
         (base + F.col("added")).alias("score"))

@@ -138,8 +138,9 @@ def test_suffix_tree_states_are_distributions(llm):
     random = np.random.default_rng(4)
     texts = [" ".join(["the", "cat", "sat"] if random.random() < .5 else ["a", "cat", random.choice(list("xyz"))])
              for _ in range(400)]
-    train = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    tree, _ = suffix_tree.learn(train)
+    train = llm.createDataFrame(
+        [(i, i, False, t) for i, t in enumerate(texts)], "row long, doc_id long, held_out boolean, text string")
+    tree, _, _ = suffix_tree.learn(train)
     assert any((~np.isnan(r)).any() for r in tree.log_rest)
     words = sorted({w for t in texts for w in blank_words(t)})
     for context in ("the cat", "a cat", "cat", "the"):
@@ -147,9 +148,10 @@ def test_suffix_tree_states_are_distributions(llm):
         for word in [*words, "unseen", None]:
             text = context if word is None else f"{context} {word.decode() if isinstance(word, bytes) else word}"
             ((_, codes, tokens, _),) = list(suffix_tree.coded([text]))
-            frequent, base, added = tree.score(codes, tokens)
+            first = tree.first(codes, tokens)
+            base, added = tree.score(first, tokens == 0)
             at = len(context.split())
-            rare = 0.0 if frequent[at] else np.log10(0.5 / tree.scale)
+            rare = 0.0 if first[at] >= 0 else np.log10(0.5 / tree.scale)
             sum_of += 10 ** (base[at] + added[at] + rare)
         assert sum_of == pytest.approx(1.0, abs=1e-9)
 
