@@ -143,25 +143,34 @@ def case_gap_totals(gaps: DataFrame) -> DataFrame:
         F.count("*").alias("decisoes"), F.sum("dias_desde_anterior").alias("viscosidade_dias"))
 
 
+def _cut(dated: DataFrame, group: str, cursor: str, unit: str, taken: str, limit: int) -> DataFrame:
+    """Rows up to the time unit in which the limit falls, with ``taken`` rows before and ``_n`` rows in their unit."""
+    units = dated.withColumn("_unit", F.date_trunc(unit, cursor))
+    earlier = Window.partitionBy(group).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        units.groupBy(group, "_unit").agg(F.count("*").alias("_n"), F.max(taken).alias("_start"))
+        .withColumn("_before", F.col("_start") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        .filter(F.col("_before") < limit).drop("_start")
+    )
+    return units.drop(taken).join(sized(counts), [group, "_unit"]).withColumnRenamed("_before", taken).drop("_unit")
+
+
 def bounded_extract(documents: DataFrame, group: str, cursor: str, tie: str, limit: int = 200_000) -> DataFrame:
     """SC7: the first ``limit`` rows of each group by (cursor, tie).
 
-    Whole hours before the cut-off hour are taken unranked; only the one hour
-    per group that the limit falls into is ranked, so a huge group is never
-    sorted in one task.  Rows without a cursor are not part of the extract.
+    Whole hours before the cut-off hour are taken unranked, then whole seconds
+    of that hour. Only the one second per group that the limit falls into is
+    ranked, after each partition kept at most ``limit`` of its rows. Rows without
+    a cursor or a group are not part of the extract.
     """
-    dated = documents.filter(F.col(cursor).isNotNull()).withColumn("_hour", F.date_trunc("hour", cursor))
-    earlier = Window.partitionBy(group).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    hours = (
-        dated.groupBy(group, "_hour").agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .filter(F.col("_before") < limit)
-    )
-    within = dated.join(sized(hours), [group, "_hour"])
-    whole = within.filter(F.col("_before") + F.col("_n") <= limit)
+    dated = documents.filter(F.col(cursor).isNotNull()).withColumn("_taken", F.lit(0).cast("bigint"))
+    fits = F.col("_taken") + F.col("_n") <= limit
+    hours = _cut(dated, group, cursor, "hour", "_taken", limit)
+    seconds = _cut(hours.filter(~fits).drop("_n"), group, cursor, "second", "_taken", limit)
+    last = Window.partitionBy(group).orderBy(cursor, tie)
     ranked = (
-        within.filter(F.col("_before") + F.col("_n") > limit)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_hour").orderBy(cursor, tie)))
-        .filter(F.col("_before") + F.col("_rank") <= limit).drop("_rank")
+        seconds.filter(~fits).withColumn("_rank", F.row_number().over(last))
+        .filter(F.col("_rank") <= limit).filter(F.col("_taken") + F.col("_rank") <= limit).drop("_rank")
     )
-    return whole.unionByName(ranked).drop("_hour", "_n", "_before")
+    whole = hours.filter(fits).unionByName(seconds.filter(fits))
+    return whole.unionByName(ranked).select(*documents.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions import text as tx
@@ -11,44 +11,50 @@ from caseflow.operators.nested import unnest
 from caseflow.operators.quantiles import quantiles_of_counts, value_counts
 
 
+def _distinct_values(frame: DataFrame, column: str) -> Column:
+    """How many values the column has: an aggregate of its own, since several DISTINCTs in one multiply every row."""
+    return frame.filter(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*")).scalar()
+
+
+def _with_distinct(totals: DataFrame, frame: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return totals.withColumns({name: _distinct_values(frame, column) for name, column in columns.items()})
+
+
 def case_profile(cases: DataFrame) -> DataFrame:
     """AG6: one row per tribunal next to table-wide totals."""
     midnight = ts.is_midnight(F.col("data_ajuizamento")).cast("double")
-    totals = cases.agg(
+    totals = _with_distinct(cases.agg(
         F.count("*").alias("n_processos"),
-        F.count_distinct("processo").alias("n_processos_uniq"),
-        F.count_distinct("tribunal").alias("n_tribunais"),
-        F.count_distinct("classe_nome").alias("n_classes"),
-        F.count_distinct("orgao_julgador_municipio_ibge").alias("n_municipios"),
         F.min("ano_ajuizamento").alias("ano_min"), F.max("ano_ajuizamento").alias("ano_max"),
         F.min("data_ajuizamento").alias("data_min"), F.max("data_ajuizamento").alias("data_max"),
         F.avg(midnight).alias("pct_sem_hora"),
-    )
+    ), cases, {"n_processos_uniq": "processo", "n_tribunais": "tribunal", "n_classes": "classe_nome",
+               "n_municipios": "orgao_julgador_municipio_ibge"}).select(
+        "n_processos", "n_processos_uniq", "n_tribunais", "n_classes", "n_municipios",
+        "ano_min", "ano_max", "data_min", "data_max", "pct_sem_hora")
     return cases.select("tribunal").distinct().select(
         "tribunal", totals.select(F.struct(*totals.columns)).scalar().alias("_t")).select("tribunal", "_t.*")
 
 
 def movement_profile(movements: DataFrame) -> DataFrame:
     """AG7."""
-    return movements.agg(
-        F.count_distinct("processo").alias("n_processos_uniq"),
+    return _with_distinct(movements.agg(
         F.count("*").alias("n_movimentos"),
-        F.count_distinct("movimento_codigo").alias("n_tipos_movimento"),
         F.min("movimento_data_hora").alias("data_min"),
         F.max("movimento_data_hora").alias("data_max"),
-        F.try_divide(F.count("*"), F.count_distinct("processo")).alias("media_mov_processo"),
         F.avg(F.col("complemento_codigo").isNotNull().cast("double")).alias("pct_com_complemento"),
-    )
+    ), movements, {"n_processos_uniq": "processo", "n_tipos_movimento": "movimento_codigo"}).select(
+        "n_processos_uniq", "n_movimentos", "n_tipos_movimento", "data_min", "data_max",
+        F.try_divide("n_movimentos", "n_processos_uniq").alias("media_mov_processo"), "pct_com_complemento")
 
 
 def subject_profile(subjects: DataFrame) -> DataFrame:
     """AG8."""
-    return subjects.agg(
-        F.count_distinct("processo").alias("n_processos_uniq"),
-        F.count("*").alias("n_assuntos"),
-        F.count_distinct("assunto_codigo").alias("n_assuntos_uniq"),
-        F.try_divide(F.count("*"), F.count_distinct("processo")).alias("media_assuntos_processo"),
-    )
+    return _with_distinct(
+        subjects.agg(F.count("*").alias("n_assuntos")), subjects,
+        {"n_processos_uniq": "processo", "n_assuntos_uniq": "assunto_codigo"}).select(
+        "n_processos_uniq", "n_assuntos", "n_assuntos_uniq",
+        F.try_divide("n_assuntos", "n_processos_uniq").alias("media_assuntos_processo"))
 
 
 def distinct_keys(frame: DataFrame, *keys: str) -> DataFrame:

@@ -57,7 +57,8 @@ def hot_key_bounds(frame: DataFrame, key: str, order: Column, rule: HotKeyRule)
     most = max(-(-r["_n"] // limit) for r in hot_rows)  # at most 1 / share
     steps = [i / most for i in range(1, most)]
     quantiles = (
-        frame.select(key, order.alias("_o")).join(F.broadcast(hot), key)
+        frame.select(key, order.alias("_o"))
+        .join(F.broadcast(hot.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")))
         .groupBy(key).agg(F.percentile_approx("_o", steps, 10_000).alias("_q"), F.first("_k").alias("_k"))
     )
     bounds = quantiles.select(key, F.array_distinct(F.expr(
@@ -69,7 +70,8 @@ def hot_key_bounds(frame: DataFrame, key: str, order: Column, rule: HotKeyRule)
 
 def with_slices(frame: DataFrame, bounds: DataFrame, key: str, order: Column) -> DataFrame:
     """Adds the time slice of each row: 0 for ordinary keys; equal times stay together."""
-    sliced = frame.join(F.broadcast(bounds), key, "left")
+    named = bounds.withColumnRenamed(key, "_hot")
+    sliced = frame.join(F.broadcast(named), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
     position = F.size(F.filter("_bounds", lambda b: b < order))
     return sliced.withColumn(
         SLICE, F.when(F.col("_bounds").isNull(), 0).otherwise(position)
@@ -88,7 +90,8 @@ def previous_time(
     """Adds ``out``: the time of the nearest earlier row of the key that satisfies ``when``.
 
     "Earlier" follows (ts, ties).  Hot keys are scanned in time slices; the last
-    qualifying time of each slice is carried into the slices after it.  The input
+    qualifying time of each slice is carried into the slices after it.  NULL is a
+    key like any other.  The input
     is read once more to count rows per key, so a dear input should be a table.
     """
     marked = F.col(ts) if when is None else F.when(when, F.col(ts))
@@ -102,14 +105,15 @@ def previous_time(
     scan = Window.partitionBy(key, SLICE).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, -1)
     inside = sliced.withColumn(out, F.last(marked, ignorenulls=True).over(scan))
     per_slice = (
-        sliced.join(F.broadcast(bounds.select(key)), key)
+        sliced.join(F.broadcast(bounds.select(F.col(key).alias("_hot"))), F.col(key).eqNullSafe(F.col("_hot")))
         .groupBy(key, SLICE).agg(F.max(marked).alias("_last"))
     )
     # one row per slice of a hot key: bounded by 2 / share in all
     carry = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(key, SLICE, F.max("_last").over(carry).alias("_carry"))
+    carried = per_slice.select(F.col(key).alias("_hot"), F.col(SLICE).alias("_from"), F.max("_last").over(carry).alias("_carry"))
+    same = F.col(key).eqNullSafe(F.col("_hot")) & (F.col(SLICE) == F.col("_from"))
     return (
-        inside.join(F.broadcast(carried), [key, SLICE], "left")
+        inside.join(F.broadcast(carried), same, "left")
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
-        .drop(SLICE, "_carry")
+        .drop(SLICE, "_hot", "_from", "_carry")
     )

@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import itertools
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions.schemas import TREE_COLUMNS, TREE_LEVEL
 from caseflow.operators.responses import TREE_PARAMETER
 
+FRAME_ROWS = 10_000
+#: Numbers keep their spelling.
+_JSON = json.JSONDecoder(parse_int=str, parse_float=str)
+_NODE_SCHEMA = """processo_raiz string, numero_processo string, numero_pai string, profundidade int,
+    ordem_entre_irmaos int, instancia string, sequencial string, eh_folha boolean"""
+_NODE_COLUMNS = [field.split()[0] for field in _NODE_SCHEMA.split(",")]
+
 
 def tree_of_document(documents: DataFrame) -> DataFrame:
     """UN8, HR2: the raw tree text of each organised document (NULL when absent)."""
@@ -17,78 +29,78 @@ def tree_of_document(documents: DataFrame) -> DataFrame:
         F.try_element_at(named, F.lit(1))["valor_estruturado"]["arvoreProcessual"].alias("arvore"))
 
 
-def _bracket_depth(json: Column) -> Column:
-    """Deepest nesting of [ ] outside quoted strings: no tree in the text is deeper."""
-    bare = F.regexp_replace(F.regexp_replace(json, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', ""), r"[^\[\]]", "")
-    steps = F.transform(F.split(bare, ""), lambda c: F.when(c == "[", 1).when(c == "]", -1).otherwise(0))
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("top"))
-    return F.aggregate(
-        steps, start,
-        lambda a, s: F.struct((a["now"] + s).alias("now"), F.greatest(a["top"], a["now"] + s).alias("top")),
-    )["top"]
-
-
-def deepest_tree(trees: DataFrame, column: str = "arvore") -> int:
-    """How many levels the deepest tree text can have: one pass, one number."""
-    return trees.agg(F.max(_bracket_depth(F.col(column)))).first()[0] or 0
-
-
-def flatten_trees(trees: DataFrame, column: str = "arvore", levels: int | None = None) -> DataFrame:
+def _decoded(text: str | None) -> list | None:
+    """The list a tree text holds (an object counts as a list of one); None where it holds none."""
+    if text is None or not text.strip():
+        return None
+    try:
+        value = _JSON.raw_decode(text.lstrip())[0]
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, list) else [value] if isinstance(value, dict) else None
+
+
+def _text(value: object) -> str | None:
+    if value is None or isinstance(value, str):
+        return value
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _children(node: dict) -> tuple[list[dict], bool]:
+    """The child nodes, and whether the node is a leaf; children that are no list of nodes count as unreadable."""
+    below = node.get("processos")
+    if isinstance(below, str):
+        below = [] if not below.strip("[] \t\r\n") and below.strip()[:1] == "[" else _decoded(below) or below
+    if below is None or below == []:
+        return [], True
+    listed = [below] if isinstance(below, dict) else below
+    if not isinstance(listed, list) or any(x is not None and not isinstance(x, dict) for x in listed):
+        return [], False
+    return [x or {} for x in listed], False
+
+
+def _nodes(text: str | None) -> Iterator[tuple]:
+    """Every node of one tree, parents before children."""
+    roots = _decoded(text)
+    if not roots or not isinstance(roots[0], dict):
+        return
+    root = _text(roots[0].get("numeroUnico"))
+    pending = [(roots[0], None, 0, 1)]
+    while pending:
+        node, parent, depth, order = pending.pop()
+        children, leaf = _children(node)
+        number = _text(node.get("numeroUnico"))
+        yield (root, number, parent, depth, order, _text(node.get("instancia")), _text(node.get("sequencial")), leaf)
+        pending.extend((c, number, depth + 1, i) for i, c in enumerate(children, 1))
+
+
+def _flattened(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Nodes in frames of at most ``FRAME_ROWS`` rows, so that a large tree is never held as one frame."""
+    for frame in frames:
+        nodes = itertools.chain.from_iterable(map(_nodes, frame["arvore"]))
+        while part := list(itertools.islice(nodes, FRAME_ROWS)):
+            yield pd.DataFrame(part, columns=_NODE_COLUMNS)
+
+
+def flatten_trees(trees: DataFrame, column: str = "arvore") -> DataFrame:
     """HR1, WN5: one row per node.
 
-    Each level replaces a node that still has children by itself and its
-    children, so the whole flattening is one narrow stage over the documents:
-    no shuffle, and no level is parsed twice.  ``levels`` defaults to the
-    deepest nesting found in the data.  Text that is not a tree gives no row.
+    Each document is parsed once, in one narrow stage with a plan of fixed size, whatever its depth. Text that is not a
+    tree gives no row.
     """
-    levels = deepest_tree(trees, column) if levels is None else levels
-    # outer explodes: a plain one makes Spark test the list's size, parsing the text again
-    roots = F.slice(F.from_json(F.col(column), TREE_LEVEL), 1, 1)
-    missing = F.lit(None).cast("string")
-    rows = trees.select(F.explode_outer(roots).alias("r")).filter(F.col("r").isNotNull()).select(
-        F.col("r.numeroUnico").alias("processo_raiz"),
-        _node(F.col("r"), missing, F.lit(0), F.lit(1)).alias("no"))
-    for _ in range(max(levels - 1, 0)):
-        rows = rows.select("processo_raiz", F.explode_outer(_self_and_children(F.col("no"))).alias("no"))
-    return rows.select(
-        "processo_raiz",
-        F.col("no.numero").alias("numero_processo"),
-        F.col("no.pai").alias("numero_pai"),
-        F.col("no.profundidade").alias("profundidade"),
-        F.col("no.ordem").alias("ordem_entre_irmaos"),
-        F.col("no.instancia").alias("instancia"),
-        F.when(F.col("no.instancia") == "1", "G1").otherwise("G2").alias("grau"),
-        F.col("no.sequencial").try_cast("int").alias("sequencial"),
-        F.col("no.pai").isNull().alias("eh_raiz"),
-        F.col("no.folha").alias("eh_folha"),
+    found = trees.select(F.col(column).alias("arvore")).filter("arvore is not null").mapInPandas(_flattened, _NODE_SCHEMA)
+    return found.select(
+        "processo_raiz", "numero_processo", "numero_pai", "profundidade", "ordem_entre_irmaos", "instancia",
+        F.when(F.col("instancia") == "1", "G1").otherwise("G2").alias("grau"),
+        F.col("sequencial").try_cast("int").alias("sequencial"),
+        (F.col("profundidade") == 0).alias("eh_raiz"),
+        "eh_folha",
     ).select(*TREE_COLUMNS)
 
 
-def _node(item: Column, parent: Column, depth: Column, order: Column) -> Column:
-    children = item["processos"]
-    is_leaf = children.isNull() | children.rlike(r"^\s*\[\s*\]\s*$")
-    return F.struct(
-        item["numeroUnico"].alias("numero"), parent.alias("pai"), depth.alias("profundidade"),
-        order.alias("ordem"), item["instancia"].alias("instancia"),
-        item["sequencial"].alias("sequencial"), is_leaf.alias("folha"),
-        F.when(~is_leaf, children).alias("pendentes"))
-
-
-def _self_and_children(node: Column) -> Column:
-    done = F.struct(*[
-        node[c].alias(c)
-        for c in ("numero", "pai", "profundidade", "ordem", "instancia", "sequencial", "folha")
-    ], F.lit(None).cast("string").alias("pendentes"))
-    children = F.transform(
-        F.from_json(node["pendentes"], TREE_LEVEL),
-        lambda child, i: _node(child, node["numero"], node["profundidade"] + 1, i + 1))
-    return F.when(node["pendentes"].isNull(), F.array(done)).otherwise(
-        F.coalesce(F.concat(F.array(done), children), F.array(done)))
-
-
 def tree_rejects(trees: DataFrame, column: str = "arvore") -> DataFrame:
     """HR2: documents that give no tree, with the reason."""
-    parsed = F.from_json(F.col(column), TREE_LEVEL)
+    parsed = F.from_json(F.col(column), TREE_LEVEL, {"allowSingleQuotes": "false"})
     reason = (
         F.when(F.col(column).isNull(), "sem arvore")
         .when(parsed.isNull(), "ilegivel")

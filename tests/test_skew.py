@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseflow.operators import events, panel, profile, viscosity
 from caseflow.operators.quantiles import grouped_quantiles
-from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time, sized
+from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time, sized, with_slices
 
 START = datetime(2024, 1, 1)
 SPLIT = HotKeyRule(share=0.01, floor=10)  # splits almost every key
@@ -49,6 +49,18 @@ def test_previous_time(spark, rule, seed, clock):
     assert {r.seq: r.prev for r in got.collect()} == brute_previous(rows, lambda c: c == "C")
 
 
+def test_null_keys_are_split_like_others(spark):
+    rows = [(None if key == "hot" else key, *rest) for key, *rest in history()]
+    frame = frame_of(spark, rows)
+    got = previous_time(frame, "processo", "movimento_data_hora", [F.col("seq")], "prev", rule=SPLIT)
+    named = [("hot" if key is None else key, *rest) for key, *rest in rows]
+    assert {r.seq: r.prev for r in got.collect()} == brute_previous(named, lambda c: True)
+    bounds = hot_key_bounds(frame, "processo", F.unix_micros("movimento_data_hora"), SPLIT)
+    sliced = with_slices(frame, bounds, "processo", F.unix_micros("movimento_data_hora"))
+    largest = sliced.filter("processo is null").groupBy("_slice").count().agg(F.max("count")).first()[0]
+    assert largest < 60
+
+
 def test_the_rule_really_splits(spark):
     frame = frame_of(spark, history())
     order = F.unix_micros("movimento_data_hora")

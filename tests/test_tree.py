@@ -41,6 +41,17 @@ def test_flatten_matches_recursion(trees):
     assert rows == sorted((r for t in TREES for r in expected(t)), key=str)
 
 
+def test_depth_costs_no_plan(spark):
+    deep = json.dumps([chain(200)])
+    junk = ["[" * 5000, "]" * 5000, "[" * 200_000, '[{"processos": ' + "[" * 5000, '"text"', "[null]", "[1]", " ", "{"]
+    odd = ['{"numeroUnico": 7, "processos": "[{\\"numeroUnico\\": \\"k\\"}]"}', '[{"numeroUnico": "q", "processos": [3]}]']
+    frame = spark.createDataFrame([(t,) for t in [deep, *junk, *odd]], "arvore string")
+    rows = tree.flatten_trees(frame).collect()
+    assert max(r.profundidade for r in rows) == 200 and len(rows) == 201 + 3
+    assert {(r.processo_raiz, r.numero_processo, r.eh_folha) for r in rows if not r.processo_raiz.startswith("c")} == {
+        ("7", "7", False), ("7", "k", True), ("q", "q", False)}
+
+
 def test_tree_questions(trees):
     nodes = tree.flatten_trees(trees)
     totals = tree.tree_totals(nodes).first()
