@@ -16,6 +16,8 @@ ARROW = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
+#: Steps end in a stored frame, so what a step has shuffled isn't needed after it.
+CLEANUP = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 #: Characters of text one vectorised step handles together.
 SLICE_CHARS = 1 << 20
 _TO_SPACE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -25,7 +27,7 @@ _TO_SPACE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <=
 def ready(spark: SparkSession) -> SparkSession:
     """Session options the operators rely on."""
     prepare(spark)
-    for name, value in ARROW.items():
+    for name, value in (ARROW | CLEANUP).items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     return spark
