@@ -141,22 +141,28 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Node, size, sketch and signatures of each document; copies inside a batch are signed once."""
-    bands = Bands()
-    for batch in batches(rows):
-        sets = shingle_sets(batch.column("text").to_pylist())
-        nodes = [digest(s) for s in sets]
-        seen: set = {None}
-        signs = [signatures(s, bands) if not (d in seen or seen.add(d)) else np.empty(0, np.int64)
-                 for s, d in zip(sets, nodes)]
-        ends = np.cumsum([0] + [len(x) for x in signs]).astype(np.int32)
-        sketches = np.array([sketch(s) for s in sets])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array(nodes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH_BITS // 64)),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs)))],
-            names=["doc_id", "text_key", "n_shingles", "node", *SKETCH, "sigs"])
+def _read(copies=None):
+    """Node, size, sketch and signatures of each document; texts in the table of repeated ones are left unsigned."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands()
+        for batch in batches(rows):
+            sets = shingle_sets(batch.column("text").to_pylist())
+            nodes = [digest(s) for s in sets]
+            seen: set = {None}
+            if copies is not None:
+                later = in_bit_table(copies.value, batch.column("text_key").to_numpy())
+                seen.update(d for d, x in zip(nodes, later) if x)
+            signs = [signatures(s, bands) if not (d in seen or seen.add(d)) else np.empty(0, np.int64)
+                     for s, d in zip(sets, nodes)]
+            ends = np.cumsum([0] + [len(x) for x in signs]).astype(np.int32)
+            sketches = np.array([sketch(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array(nodes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH_BITS // 64)),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs)))],
+                names=["doc_id", "text_key", "n_shingles", "node", *SKETCH, "sigs"])
+
+    return run
 
 
 def _repeated(table):
@@ -171,18 +177,21 @@ def _repeated(table):
     return run
 
 
+def _one_each(docs: DataFrame, table) -> DataFrame:
+    """(text_key, text) of the distinct texts whose key is in a bit table."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            yield batch.filter(pa.array(in_bit_table(table.value, batch.column("text_key").to_numpy())))
+
+    return docs.select("text_key", "text").mapInArrow(run, "text_key long, text string").distinct()
+
+
 def _texts_of(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, text) of the nodes in ``pairs``, one text each; a bit table keeps most other texts out of the shuffle."""
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     keys = written(info.join(nodes, "node", "left_semi").select("node", "text_key"))
     table = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "text_key", TEXT_BITS))
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            yield batch.filter(pa.array(in_bit_table(table.value, batch.column("text_key").to_numpy())))
-
-    near = docs.select(F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "text_key long, text string")
-    return near.groupBy("text_key").agg(F.min("text").alias("text")).join(keys, "text_key").select("node", "text")
+    return _one_each(docs, table).join(keys, "text_key").dropDuplicates(["node"]).select("node", "text")
 
 
 def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,20 +229,26 @@ def _possible(a: str, b: str):
 
 def joined(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
+    broadcast = docs.sparkSession.sparkContext.broadcast
     scratch = Scratch(docs.sparkSession)
+    # texts that occur more than once are signed apart, once each
+    copied = docs.filter("text is not null").groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1")
+    copies = broadcast(bit_table(scratch.keep("copied", copied.select("text_key")), "text_key", TEXT_BITS))
     longs = ", ".join(f"{s} long" for s in SKETCH)
-    signed = scratch.keep("signed", docs.withColumn("text_key", F.xxhash64("text")).mapInArrow(
-        _read, f"doc_id long, text_key long, n_shingles long, node long, {longs}, sigs array<long>"))
+    schema = f"doc_id long, text_key long, n_shingles long, node long, {longs}, sigs array<long>"
+    signed = scratch.keep("signed", docs.mapInArrow(_read(copies), schema))
+    once = _one_each(docs, copies).select(F.lit(None).cast("long").alias("doc_id"), "text", "text_key")
+    signed_once = scratch.keep("signed_once", once.mapInArrow(_read(), schema).select("node", "sigs"))
     nodes = written(signed.select("doc_id", "n_shingles", "node"))
     info = written(signed.filter("node is not null").groupBy("node").agg(
         F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("n_shingles", *SKETCH))))
     # signatures that occur more than once, then their members
-    counted = signed.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
-    table = docs.sparkSession.sparkContext.broadcast(bit_table(scratch.keep("repeated", counted.select("sig")), "sig", SIG_BITS))
-    near = scratch.keep("near", signed.select("node", "sigs").filter("size(sigs) > 0").mapInArrow(
-        _repeated(table), "sig long, node long"))
-    scratch.drop("signed", "repeated")
+    lists = signed.select("node", "sigs").union(signed_once).filter("size(sigs) > 0")
+    counted = lists.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
+    table = broadcast(bit_table(scratch.keep("repeated", counted.select("sig")), "sig", SIG_BITS))
+    near = scratch.keep("near", lists.mapInArrow(_repeated(table), "sig long, node long"))
+    scratch.drop("copied", "signed", "signed_once", "repeated")
     shared = written(near.groupBy("sig").agg(
         *(F.min(F.col("node").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)).alias(f"l{k}") for k, x in enumerate(LEADERS)))
         .filter("l0 != l1"))
