@@ -42,20 +42,20 @@ def _stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(nodes[apart]), pa.array(nodes[label[apart]])], names=["u", "v"])
 
 
-def _contracted(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each run of about CHUNK edges as stars that connect the same vertices."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches(rows):
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= CHUNK:
+def _contract(edges: DataFrame, chunk: int) -> DataFrame:
+    """Each run of about ``chunk`` edges as stars that connect the same vertices, stored."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches(rows):
+            held.append(batch)
+            size += batch.num_rows
+            if size >= chunk:
+                yield _stars(held)
+                held, size = [], 0
+        if held:
             yield _stars(held)
-            held = []
-    if held:
-        yield _stars(held)
 
-
-def _contract(edges: DataFrame) -> DataFrame:
-    return written(edges.distinct().mapInArrow(_contracted, "u long, v long"))
+    return written(edges.distinct().mapInArrow(run, "u long, v long"))
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -70,14 +70,14 @@ def _star(edges: DataFrame, lowest: DataFrame) -> DataFrame:
     return edges.join(lowest, "u")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(node, label) of every vertex of ``edges`` (u, v); the label is the component's smallest vertex.
 
     Loops are ignored, repeated edges count once, an edge with a NULL end is none; no edges give no rows.
     """
     edges = _contract(
         edges.filter("u is not null and v is not null and u != v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), chunk)
     while not _settled(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -87,6 +87,6 @@ def components(edges: DataFrame) -> DataFrame:
         stars = _star(large, lowest)
         small = stars.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").union(
             stars.select("u", F.col("m").alias("v")))
-        edges = _contract(small)
+        edges = _contract(small, chunk)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

@@ -119,6 +119,24 @@ def test_components(llm):
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
 
 
+def test_components_across_runs_of_edges(llm):
+    """Four edges a run, so that rounds must join what the runs leave apart."""
+    random = np.random.default_rng(3)
+    pairs = [(k, k + 7) for k in range(150)] + [tuple(map(int, p)) for p in random.integers(1000, 1200, (90, 2))]
+    before, name = llm.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    llm.conf.set(name, "4")
+    try:
+        got = dict(map(tuple, components(llm.createDataFrame(pairs, "u long, v long"), chunk=4).collect()))
+    finally:
+        llm.conf.set(name, before)
+    want = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in want:
+        for u, v in pairs:
+            if u != v:
+                want[u] = want[v] = min(want[u], want[v])
+    assert got == want
+
+
 def test_suffix_tree_base_and_distribution(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in suffix_tree.scored(docs).collect()}
