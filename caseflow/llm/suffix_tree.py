@@ -1,14 +1,18 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Contexts of up to ``DEPTH`` words are candidates where they make up at least ``P_MIN`` of all training tokens (and occur
-``MIN_COUNT`` times); the sequences counted at one length are those whose beginning and end were frequent at the length before.
-A candidate becomes a state when its next-symbol distribution diverges from that of its longest shorter state: the
+Sequences of up to ``DEPTH`` + 1 words are counted that occur at least ``MIN_COUNT`` times in training, at every size of the
+input; those counted at one length are those whose beginning and end were kept at the length before.
+A context becomes a state when its next-symbol distribution diverges from that of its longest shorter state: the
 log-likelihood gain over it must exceed the Bayesian cost of its symbols. A state discounts the counts of its
-frequent symbols and passes the rest to that shorter state, down to the root, which is the smoothed unigram
+kept symbols and passes the rest to that shorter state, down to the root, which is the smoothed unigram
 distribution. A token is scored in the longest state that ends before it.
 
-What is broadcast has a bound: at most 1 / P_MIN sequences per length can be frequent. The unigram counts have none; they stay a
-table, and the counts of words outside the frequent ones reach the documents by a shuffled join.
+That score is a sum over the kept sequences of a text: what a state leaves to shorter ones counts at each token after it, and a
+kept sequence adds how its last token's probability differs from that. So the tree is a stored table of sequences with their
+weights, computed by joins, and grows with the corpus. Only sequences that make up ``P_MIN`` of all training tokens are broadcast
+(at most 1 / P_MIN per length), which spares the joins their frequent keys; all others, and the unigram counts of words outside
+the frequent ones, reach the documents by a shuffled join. Tables of ``BITS`` bits only spare work. Equal 64-bit codes of
+sequences count as equal.
 
 Defined results: a NULL or empty text is the end token alone; NULL ids are trained on and not held out; repeated rows are
 scored one by one; without training rows every token has probability 1 (N = V = 0); other columns are ignored.
@@ -24,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import batches, blank_words, fold, slices, written
+from caseflow.llm.common import batches, bit_table, blank_words, fold, in_bit_table, mixed, slices, written
 
 FOLDS, HELD_OUT = 5, 1
 DEPTH = 3
@@ -34,6 +38,7 @@ DISCOUNT = 0.75
 #: The end token's code; words have the hash of their bytes.
 END = -0x61C8864680B583EB
 COUNT_CHARS = 4 << 20
+BITS = 1 << 26
 
 
 def coded(texts: list[str | None], limit: int = COUNT_CHARS) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray]]:
@@ -57,81 +62,59 @@ def _found(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == values, at, -1)
 
 
-class Tree:
-    """Frequent sequences by length, and the states among them.
+def _joined(codes: np.ndarray) -> np.ndarray:
+    """Codes of the sequences one longer, from those that begin at each position."""
+    pair = mixed(codes[:-1].view(np.uint64)) + codes[1:].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(pair).view(np.int64)
+
+
+def _grown(place: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where a sequence one longer can be known; none goes on after an end token."""
+    return (place[:-1] >= 0) & (place[1:] >= 0) & ~end[:len(place) - 1]
 
-    ``keys[0]`` are the codes of frequent tokens; ``keys[d]`` are sequences of d + 1 tokens as (place of the first d tokens,
-    place of the last d tokens) in ``keys[d - 1]``, packed in one integer.
-    """
+
+class Tree:
+    """The frequent sequences by length: sorted codes, weights, and what the states among them leave to shorter ones."""
 
     def __init__(self, codes: np.ndarray, counts: np.ndarray, total: int, distinct: int) -> None:
         order = np.argsort(codes)
         self.total, self.scale = total, total + 0.5 * (distinct + 1)
-        self.keys, self.counts = [codes[order]], [counts[order]]
-        self.log_prob = [np.log10((self.counts[0] + 0.5) / self.scale)]
-        self.log_rest: list[np.ndarray] = []  # per length: of a state what it leaves to shorter ones; NaN: no state
-
-    def add(self, pairs: np.ndarray, counts: np.ndarray) -> None:
-        """The frequent sequences of the next length; decides which contexts are states."""
-        order = np.argsort(pairs)
-        pairs, counts = pairs[order], counts[order].astype(float)
-        context, tail = pairs >> 32, pairs & 0xFFFFFFFF
-        size = len(self.keys[-1])
-        own = self.counts[-1].astype(float)
-        p, q = counts / own[context], 10.0 ** self.log_prob[-1][tail]
-        symbols = np.bincount(context, minlength=size)
-        rest_p = np.maximum(1 - np.bincount(context, p, size), 1e-12)
-        rest_q = np.maximum(1 - np.bincount(context, q, size), 1e-12)
-        gain = own * (np.bincount(context, p * np.log(p / q), size) + rest_p * np.log(rest_p / rest_q))
-        state = (symbols > 0) & (gain >= 0.5 * (symbols + 1) * np.log(max(self.total, 2)))
-        kept = np.bincount(context, (counts - DISCOUNT) / own[context], size)
-        rest = 1 - kept
-        smooth = (counts - DISCOUNT) / own[context] + rest[context] * q
-        self.log_rest.append(np.where(state, np.log10(np.maximum(rest, 1e-300)), np.nan))
-        self.log_prob.append(np.log10(np.where(state[context], smooth, q)))
-        self.keys.append(pairs)
-        self.counts.append(counts.astype(np.int64))
+        self.keys, self.weight = [codes[order]], [np.zeros(len(codes))]
+        self.log_prob = np.log10((counts[order] + 0.5) / self.scale)
+        self.log_rest = [np.full(len(codes), np.nan)]  # NaN: no state
+
+    def add(self, codes: np.ndarray, weight: np.ndarray) -> None:
+        """The frequent sequences of the next length."""
+        order = np.argsort(codes)
+        self.keys.append(codes[order])
+        self.weight.append(weight[order])
+        self.log_rest.append(np.full(len(codes), np.nan))
+
+    def add_states(self, length: int, codes: np.ndarray, log_rest: np.ndarray) -> None:
+        """States among the sequences of a length."""
+        self.log_rest[length - 1][_found(self.keys[length - 1], codes)] = log_rest
 
     def first(self, codes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Places of the tokens themselves; -1 where a token isn't frequent."""
         return _found(self.keys[0], codes)[tokens]
 
-    def places(self, first: np.ndarray, end: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For each length up to ``depth`` and each position, the place of the sequence that begins there (-1: none).
-
-        ``end`` marks end tokens, after which no sequence goes on.
-        """
-        out = [first.astype(np.int64)]
-        for keys in self.keys[1:depth]:
-            before, place = out[-1], np.full(len(first), -1, dtype=np.int64)
-            at = np.flatnonzero((before[:-1] >= 0) & (before[1:] >= 0) & ~end[:-1])
-            place[at] = _found(keys, (before[at] << 32) | before[at + 1])
-            out.append(place)
-        return out
-
-    def candidates(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Packed keys of the sequences one longer whose beginning and end are frequent."""
-        last = self.places(first, end, len(self.keys))[-1]
-        at = np.flatnonzero((last[:-1] >= 0) & (last[1:] >= 0) & ~end[:-1])
-        return (last[at] << 32) | last[at + 1]
-
     def score(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per position: its base log10 probability (0 if not frequent), what states add to it."""
-        places = self.places(first, end, len(self.keys))
-        base = np.where(first >= 0, self.log_prob[0][first] if len(self.keys[0]) else 0.0, 0.0)
-        own = base.copy()
-        for d in range(1, len(self.keys)):
-            context, longer = places[d - 1][:-d], places[d][:-d]  # of the d tokens before position i + d
-            rest = np.full(len(context), np.nan)
-            known = np.flatnonzero(context >= 0)
-            rest[known] = self.log_rest[d - 1][context[known]]
-            state = np.flatnonzero(~np.isnan(rest))
-            for k in range(d):  # contexts hold no end token
-                state = state[~end[state + k]]
-            hit = longer[state] >= 0
-            own[state[hit] + d] = self.log_prob[d][longer[state[hit]]]
-            own[state[~hit] + d] += rest[state[~hit]]
-        return base, own - base
+        """Per position: its base log10 probability (0 if not frequent), what frequent sequences add to it."""
+        place = np.maximum(first, -1).astype(np.int64)
+        known, added = place >= 0, np.zeros(len(place))
+        base, codes = added.copy(), np.zeros(len(place), dtype=np.int64)
+        base[known], codes[known] = self.log_prob[place[known]], self.keys[0][place[known]]
+        for d, (keys, weight, log_rest) in enumerate(zip(self.keys, self.weight, self.log_rest)):
+            if d:
+                at, codes = np.flatnonzero(_grown(place, end)), _joined(codes)
+                place = np.full(len(codes), -1, dtype=np.int64)
+                place[at] = _found(keys, codes[at])
+            at = np.flatnonzero(place >= 0)
+            added[at + d] += weight[place[at]]
+            rest = log_rest[place[at]]
+            state = ~np.isnan(rest)
+            added[at[state] + d + 1] += rest[state]  # contexts hold no end token
+        return base, added
 
 
 def _unigrams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +125,7 @@ def _unigrams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encoded(tree):
-    """Each document as places of its tokens; the codes and numbers of those that aren't frequent apart."""
+    """Each document as places of its tokens; place -1 - k is the k-th of the document's codes that aren't frequent."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             places, sizes, rare, times = [], [], [], []
@@ -151,7 +134,9 @@ def _encoded(tree):
                 places.append(first)
                 sizes += np.diff(starts).tolist()
                 for a, b in zip(starts[:-1], starts[1:]):
-                    own, n = np.unique(codes[tokens[a:b][first[a:b] < 0]], return_counts=True)
+                    at = a + np.flatnonzero(first[a:b] < 0)
+                    own, which, n = np.unique(codes[tokens[at]], return_inverse=True, return_counts=True)
+                    first[at] = -1 - which
                     rare.append(own)
                     times.append(n.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
@@ -177,44 +162,154 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, end, starts
 
 
-def _sequences(tree):
+def _codes(batch: pa.RecordBatch, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Codes of a batch's tokens; ``words``: those of the frequent ones."""
+    first = batch.column("places").flatten().to_numpy()
+    out = np.empty(len(first), dtype=np.int64)
+    out[first >= 0] = words[first[first >= 0]]
+    at = np.flatnonzero(first < 0)
+    own = np.cumsum(np.r_[0, batch.column("codes").value_lengths().to_numpy()])
+    out[at] = batch.column("codes").flatten().to_numpy()[own[np.searchsorted(starts, at, "right") - 1] - 1 - first[at]]
+    return out
+
+
+def _by_length(codes: np.ndarray, end: np.ndarray, tables: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per length: codes of the shorter sequences, codes by position, positions whose beginning and end are in the tables.
+
+    The length after the last table's comes last.
+    """
+    ok, before = np.ones(len(codes), dtype=bool), codes
+    for k in range(len(tables) + 1):
+        if k:
+            before, codes, ok = codes, _joined(codes), ok[:-1] & ok[1:] & ~end[:len(ok) - 1]
+        yield before, codes, np.flatnonzero(ok)
+        if k < len(tables):
+            ok[ok] = in_bit_table(tables[k], codes[ok])
+
+
+def _sequences(words, tables):
+    """Counts of the sequences one longer than the tables'."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            keys, n = np.unique(tree.value.candidates(*_flat(batch)[:2]), return_counts=True)
+            _, end, starts = _flat(batch)
+            *_, (_, codes, at) = _by_length(_codes(batch, words.value, starts), end, tables.value)
+            keys, n = np.unique(codes[at], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
 
     return run
 
 
+def _links(words, tables):
+    """Of the kept sequences: their codes, and those of their beginnings and ends."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            _, end, starts = _flat(batch)
+            for k, (before, codes, at) in enumerate(_by_length(_codes(batch, words.value, starts), end, tables.value)):
+                if not 0 < k < len(tables.value):
+                    continue
+                at = at[in_bit_table(tables.value[k], codes[at])]
+                keys, one = np.unique(codes[at], return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(before[at[one]]), pa.array(before[at[one] + 1])], names=["code", "prefix", "suffix"])
+
+    return run
+
+
 def _counted(train: DataFrame, run) -> DataFrame:
     return train.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _columns(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    found = frame.select("code", "n").toArrow()
-    return found["code"].to_numpy(), found["n"].to_numpy()
+def _columns(frame: DataFrame) -> list[np.ndarray]:
+    found = frame.toArrow()
+    return [found[name].to_numpy() for name in frame.columns]
 
 
-def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, DataFrame, DataFrame]:
-    """The tree, the stored training counts of all tokens (code, n), and the stored documents as places.
+def _level(counts: DataFrame, links: DataFrame, shorter: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """Stored sequences of a length (code, n, lp, weight), and the states before their last tokens (code, n, log_rest).
+
+    ``shorter``: the sequences one shorter; lp is the log10 probability of a sequence's last token after the others.
+    """
+    rows = written(
+        counts.join(links, "code")
+        .join(shorter.select(F.col("code").alias("suffix"), F.col("lp").alias("lq")), "suffix")
+        .join(shorter.select(F.col("code").alias("prefix"), F.col("n").alias("own")), "prefix")
+        .select("code", "n", "prefix", "own", "lq"))
+    p, q = F.col("n") / F.col("own"), F.pow(F.lit(10.0), "lq")
+    left = (F.col("n") - DISCOUNT) / F.col("own")
+    sums = rows.groupBy("prefix").agg(
+        F.max("own").alias("n"), F.count("*").alias("symbols"), F.greatest(1 - F.sum(p), F.lit(1e-12)).alias("rest_p"),
+        F.greatest(1 - F.sum(q), F.lit(1e-12)).alias("rest_q"), F.sum(p * F.log(p / q)).alias("bits"),
+        (1 - F.sum(left)).alias("rest"))
+    gain = F.col("n") * (F.col("bits") + F.col("rest_p") * F.log(F.col("rest_p") / F.col("rest_q")))
+    states = written(sums.filter(gain >= 0.5 * (F.col("symbols") + 1) * float(np.log(max(total, 2)))).select(
+        F.col("prefix").alias("code"), "n", F.log10(F.greatest("rest", F.lit(1e-300))).alias("log_rest")))
+    lp = F.when(F.col("log_rest").isNull(), F.col("lq")).otherwise(F.log10(left + F.pow(F.lit(10.0), "log_rest") * q))
+    own = rows.join(states.select(F.col("code").alias("prefix"), "log_rest"), "prefix", "left").select(
+        "code", "n", lp.alias("lp"), F.coalesce(lp - F.col("lq") - F.col("log_rest"), F.lit(0.0)).alias("weight"))
+    return written(own), states
+
+
+def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, DataFrame, list[np.ndarray]], DataFrame]:
+    """The frequent sequences; the stored training counts of all tokens (code, n), the stored weights of all other sequences
+    (code, weight) and the bit tables of the kept ones by length; the stored documents as places.
 
     ``docs``: row, doc_id, held_out, text; held-out ones are encoded, not counted. Texts are read twice, for the token counts
     and for the places; longer sequences are counted on the places.
     """
     spark = docs.sparkSession
+    share = spark.sparkContext.broadcast
     vocabulary = written(_counted(docs.filter("not held_out").select("text"), _unigrams))
     total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(MIN_COUNT, int(np.ceil(P_MIN * total)))
-    tree = Tree(*_columns(vocabulary.filter(F.col("n") >= least)), total, distinct)
+    frequent = F.col("n") >= max(MIN_COUNT, int(np.ceil(P_MIN * total)))
+    tree = Tree(*_columns(vocabulary.filter(frequent).select("code", "n")), total, distinct)
     encoded = written(docs.mapInArrow(
-        _encoded(spark.sparkContext.broadcast(tree)),
+        _encoded(share(tree)),
         "row long, doc_id long, held_out boolean, places array<int>, codes array<long>, times array<int>"))
-    train = encoded.filter("not held_out").select("places")
+    train, words = encoded.filter("not held_out").select("places", "codes"), share(tree.keys[0])
+    kept = [vocabulary.filter(F.col("n") >= MIN_COUNT)]
+    tables = [bit_table(kept[0], "code", BITS)]
     for _ in range(depth):
-        shared = spark.sparkContext.broadcast(tree)
-        tree.add(*_columns(_counted(train, _sequences(shared)).filter(F.col("n") >= least)))
+        shared = share(tables)
+        kept.append(written(_counted(train, _sequences(words, shared)).filter(F.col("n") >= MIN_COUNT)))
+        tables.append(bit_table(kept[-1], "code", BITS))
         shared.unpersist()
-    return tree, vocabulary, encoded
+    links = train.mapInArrow(_links(words, share(tables)), "code long, prefix long, suffix long")
+    links = written(links.groupBy("code").agg(F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix")))
+    shorter = kept[0].select("code", "n", F.log10((F.col("n") + 0.5) / tree.scale).alias("lp"))
+    parts = []
+    for length in range(1, depth + 1):
+        shorter, states = _level(kept[length], links, shorter, total)
+        tree.add_states(length, *_columns(states.filter(frequent).select("code", "log_rest")))
+        tree.add(*_columns(shorter.filter(frequent).select("code", "weight")))
+        parts += [states.filter(~frequent).select("code", F.col("log_rest").alias("weight")),
+                  shorter.filter(~frequent & (F.col("weight") != 0)).select("code", "weight")]
+    others = parts[0]
+    for part in parts[1:]:
+        others = others.unionAll(part)
+    return tree, (vocabulary, written(others.groupBy("code").agg(F.sum("weight").alias("weight"))), tables), encoded
+
+
+def _others(words, tables, listed):
+    """Per document: the sequences whose weights aren't broadcast, with their numbers."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows):
+            _, end, starts = _flat(batch)
+            found, of = [], []
+            for k, (_, codes, at) in enumerate(_by_length(_codes(batch, words.value, starts), end, tables.value)):
+                if k == len(tables.value):
+                    break
+                at = at[in_bit_table(tables.value[k], codes[at])]
+                at = at[in_bit_table(listed.value, codes[at])]
+                found.append(codes[at])
+                of.append(np.searchsorted(starts, at, "right") - 1)
+            own, which = np.unique(np.concatenate(found), return_inverse=True)
+            pairs, n = np.unique(np.concatenate(of) * max(len(own), 1) + which, return_counts=True)
+            doc, which = np.divmod(pairs, max(len(own), 1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").take(pa.array(doc)), pa.array(own[which]), pa.array(n.astype(np.int32))],
+                names=["row", "code", "times"])
+
+    return run
 
 
 def _scored(shared):
@@ -236,18 +331,24 @@ def scored(docs: DataFrame) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     docs = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
-    tree, vocabulary, encoded = learn(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    tree, (vocabulary, others, tables), encoded = learn(docs)
+    share = docs.sparkSession.sparkContext.broadcast
+    shared = share(tree)
     found = encoded.select("row", "doc_id", "held_out", "places").mapInArrow(
         _scored(shared), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, added double")
     rare = encoded.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select(
         "row", F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    points = rare.join(vocabulary, "code", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((n + 0.5) / tree.scale)).alias("rare"),
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("rare_known"))
+    words = rare.join(vocabulary, "code", "left").select(
+        "row", (F.col("times") * F.log10((n + 0.5) / tree.scale)).alias("rare"),
+        F.when(n > 0, F.col("times")).otherwise(0).alias("rare_known"), F.lit(0.0).alias("more"))
+    run = _others(share(tree.keys[0]), share(tables), share(bit_table(others, "code", BITS)))
+    longer = encoded.select("row", "places", "codes").mapInArrow(run, "row long, code long, times int").join(others, "code").select(
+        "row", F.lit(0.0).alias("rare"), F.lit(0).alias("rare_known"), (F.col("times") * F.col("weight")).alias("more"))
+    points = words.unionAll(longer).groupBy("row").agg(
+        F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"), F.sum("more").alias("more"))
     base = F.col("base") + F.coalesce("rare", F.lit(0.0))
     return found.join(points, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("added")).alias("score"))
+        (base + F.col("added") + F.coalesce("more", F.lit(0.0))).alias("score"))

@@ -174,6 +174,21 @@ def test_suffix_tree_states_are_distributions(llm):
         assert sum_of == pytest.approx(1.0, abs=1e-9)
 
 
+def test_suffix_tree_keeps_rare_sequences(llm, monkeypatch):
+    """Whatever is broadcast, the sequences that occur ``MIN_COUNT`` times decide the scores."""
+    random = np.random.default_rng(5)
+    texts = [f"red {random.choice(list('xyz'))}{k % 40} pairs with blue{k % 40} then {random.choice(list('uvw'))} ends" for k in range(900)]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(suffix_tree, "P_MIN", 1e-9)
+    want = {r.doc_id: r for r in suffix_tree.scored(docs).collect()}
+    assert sum(abs(r.score - r.base_score) > 0.1 for r in want.values()) > 800
+    for share in (0.004, 0.9):
+        monkeypatch.setattr(suffix_tree, "P_MIN", share)
+        for r in suffix_tree.scored(docs).collect():
+            assert (r.n_tokens, r.n_known) == (want[r.doc_id].n_tokens, want[r.doc_id].n_known)
+            assert r.score == pytest.approx(want[r.doc_id].score, rel=1e-9)
+
+
 def test_suffix_tree_odd_rows(llm):
     got = suffix_tree.scored(odd(llm)).collect()
     assert len(got) == len(ODD) and {r.n_tokens for r in got if r.doc_id in (1, 2)} == {1}
