@@ -36,18 +36,20 @@ FILE = ("part int, seq int, doc_ids array<bigint>, doc_tokens array<bigint>, n_i
         "planes array<binary>")
 _TAIL = ".,!?;:|&$#*%"
 _WORDS_KEPT = 400_000
-_ENCODERS: dict[str, "WordEncoder"] = {}
+_ENCODERS: dict[tuple[str, bool], "WordEncoder"] = {}
 
 
 class WordEncoder:
     """Encodes by words, each once per worker; the ids are those of whole texts.
 
+    With ``added``, literals of the vocabulary's added tokens become those tokens, as in ``encode(text,
+    add_special_tokens=False)`` of an untouched tokenizer; texts that contain one are encoded whole. Without, they are spelled out.
     The vocabulary's pre-tokenizer never joins what stands before a single space with what follows it, nor
     letters with the punctuation after them, so words can be encoded apart. Texts in which a space touches
     other white space are encoded whole. The cache is emptied at ``_WORDS_KEPT`` words.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         import os
         import re
 
@@ -55,7 +57,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = True  # the same ids where no literal stands, in less time
+        self.untouched = Tokenizer.from_file(path) if added else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.model = self.tokenizer.model
         self.joined = re.compile(r" \s|\s ").search
         # the byte alphabet of byte-level vocabularies: printable bytes stand for themselves, others follow from 256
@@ -87,6 +91,8 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of a text."""
         if not text:
             return b""
+        if any(x in text for x in self.added):
+            return np.array(self.untouched.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if self.joined(text):
             return self._whole(text)
         if len(self.cache) > _WORDS_KEPT:
@@ -97,10 +103,10 @@ class WordEncoder:
         return b"".join(map(self.cache.__getitem__, words))
 
 
-def _encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, added: bool) -> WordEncoder:
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = WordEncoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def to_planes(ids: np.ndarray, kind: str = "byte", level: int = 3) -> list[bytes]:
@@ -129,9 +135,9 @@ def from_planes(planes: list[bytes], n_ids: int, kind: str = "byte") -> np.ndarr
     return out
 
 
-def _chunks(vocabulary: str, end_id: int, kind: str, chunk_ids: int, schema: pa.Schema):
+def _chunks(vocabulary: str, added: bool, end_id: int, kind: str, chunk_ids: int, schema: pa.Schema):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seq = _encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, seq = _encoder(vocabulary, added), TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         docs, sizes, held, total = [], [], [], 0
 
@@ -159,12 +165,12 @@ def _chunks(vocabulary: str, end_id: int, kind: str, chunk_ids: int, schema: pa.
 
 
 def write_ids(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = END_ID, kind: str = "byte",
-              chunk_ids: int = CHUNK_IDS) -> None:
-    """Encode ``docs`` (doc_id, text) and write their ids in ascending doc_id order."""
+              chunk_ids: int = CHUNK_IDS, added: bool = False) -> None:
+    """Encode ``docs`` (doc_id, text) and write their ids in ascending doc_id order; ``added``: see ``WordEncoder``."""
     schema = T._parse_datatype_string(FILE)
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    run = _chunks(vocabulary, end_id, kind, chunk_ids, to_arrow_schema(schema))
+    run = _chunks(vocabulary, added, end_id, kind, chunk_ids, to_arrow_schema(schema))
     ordered.mapInArrow(run, schema).write.parquet(path)
 
 

@@ -102,7 +102,7 @@ def _bitplane(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = shared_dir(spark)
-    bitplane.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    bitplane.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return bitplane.report(spark, path)
 
 

@@ -222,6 +222,23 @@ def test_bitplane_round_trip(llm, kind):
     assert bitplane.report(llm, empty).count() == 0
 
 
+def test_bitplane_encodes_added_tokens(llm):
+    """The ids of the query are those of an untouched tokenizer, literals of added tokens included."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|><|endoftext|> y, z.", "<|endoftext plain |>", "It's plain."]
+    path = shared_dir(llm)
+    odd(llm, list(enumerate(texts))).write.parquet(f"{path}/documents.parquet")
+    rows, start = {r.doc_id: r for r in queries.QUERIES["op5_bitplane"](llm, path).collect()}, 0
+    for i, text in enumerate(texts):
+        want = [*whole.encode(text, add_special_tokens=False).ids, 2]
+        assert (rows[i].start, rows[i].n_tokens) == (start, len(want))
+        assert rows[i].ids_crc32 == zlib.crc32(np.array(want, "<u4").tobytes())
+        start += len(want)
+
+
 def test_planes_of_any_ids():
     ids = np.random.default_rng(0).integers(0, 1 << 32, 40_001, dtype=np.uint32)
     for kind in ("byte", "bit"):
