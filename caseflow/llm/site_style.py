@@ -5,7 +5,8 @@ to a block. Two entropies rate a node over the host's m pages. Presentation: how
 text on k of the pages carries log k / log m of entropy, so what repeats everywhere says nothing and unique text says most.
 Their mean, pulled towards 1 on hosts with few pages, is multiplied by a prior that elements and names give (menus, headers,
 footers, notices, adverts, forms and comments: 0; outside of a page's article: OUTSIDE). Branches under ``LEAST`` are
-removed from every page. Blocks directly in the article are its text and stay.
+removed from every page. Blocks directly in the article are its text and stay. A name, form or label around over half of the
+text in articles (of all text, on pages without one) is the page's own frame and not taken as noise.
 
 All tree nodes are counted by aggregations over (host, node, text), combined before the shuffle; a host is never gathered in
 one task, and the pages are joined with their host's list of removed nodes by Spark's own size check.
@@ -62,7 +63,9 @@ class Block:
 def blocks(page: str | None) -> list[Block]:
     """The page's blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, label, whether it is noise
+    stack: list[tuple[str, str, int]] = []  # tag, label, number of a noise element (0: it is none, -1: one that never frames a page)
+    around: list[tuple[list[int], list[int]]] = []  # per block: numbers of noise around its article, of that inside
+    frames = 0
     held: list[str] = []
 
     def flush() -> None:
@@ -71,8 +74,10 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             tags = [t for t, _, _ in stack]
             place = max((k for k, t in enumerate(tags) if t in ("article", "main")), default=-1)
-            out.append(Block("/".join(x for _, x, _ in stack), any(n for _, _, n in stack), place >= 0,
+            out.append(Block("/".join(x for _, x, _ in stack), False, place >= 0,
                              place >= 0 and len(stack) - place <= 2, text))
+            cut = place if place >= 0 else len(stack)
+            around.append(([n for _, _, n in stack[:cut] if n], [n for _, _, n in stack[cut:] if n]))
 
     last = 0
     page = page or ""
@@ -104,12 +109,27 @@ def blocks(page: str | None) -> list[Block]:
         if not mark[4].rstrip().endswith("/"):
             names = " ".join(v.strip("\"'") for _, v in _NAMES.findall(mark[4])).lower()
             inside = any(t in ("article", "main") for t, _, _ in stack)
-            noise = (tag in DROPPED or tag == "header" and not inside
-                     or not NOISE.isdisjoint(re.split(r"[^a-z]+", names)) and tag not in ("html", "body", "article", "main"))
+            noise = 0
+            if tag in DROPPED and tag not in ("form", "label") or tag == "header" and not inside:
+                noise = -1
+            elif (tag in DROPPED or not NOISE.isdisjoint(re.split(r"[^a-z]+", names))
+                  and tag not in ("html", "body", "article", "main")):
+                frames += 1
+                noise = frames
             stack.append((tag, f"{tag}.{re.sub(r'[0-9]+', '#', names)}" if names else tag, noise))
     if last < len(page):
         held.append(html.unescape(re.sub(r"<[a-zA-Z/!][^>]*\Z", "", page[last:])))
     flush()
+    some = any(b.article for b in out)
+    held_by: Counter = Counter()
+    total = 0
+    for block, (outer, _) in zip(out, around):
+        if block.article or not some:
+            total += len(block.text)
+            held_by.update({n: len(block.text) for n in outer if n > 0})
+    framing = {n for n, size in held_by.items() if 2 * size > total}
+    for block, (outer, inner) in zip(out, around):
+        block.noise = bool(inner) or any(n not in framing for n in outer)
     return out
 
 

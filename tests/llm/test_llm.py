@@ -314,6 +314,14 @@ def test_site_style(llm):
     assert site_style.extracted(frame.limit(0)).count() == 0
 
 
+def test_site_style_names_around_the_page():
+    story, teaser = "<article><p>A long enough story here</p></article>", "<div class=related><article><p>Teaser</p></article></div>"
+    for frame in ('<div class="layout has-sidebar">', '<section id="page" class="with-comments">', "<form>", "<label>"):
+        assert site_style.main_text(f"<body>{frame}<nav>Home</nav>{story}{teaser}", set()) == "A long enough story here"
+        assert site_style.main_text(f"<body>{frame}<nav>Home</nav><p>A long enough story here</p>", set()) == "A long enough story here"
+    assert site_style.main_text(f"<body>{story}<div class=comments><p>{'Nice! ' * 40}</p></div>", set()) == "A long enough story here"
+
+
 def test_site_style_on_the_pages(llm):
     pages = llm.read.parquet(f"{SF}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
