@@ -111,6 +111,14 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % folds
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so (column names ignore case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def batches(rows: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (batch for batch in rows if batch.num_rows)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import bitplane, decontaminate, jaccard_join, knn_quality, packing, pca_dedup, pii_boost, site_style, suffix_tree, toxicity
+from caseflow.llm import (bitplane, decontaminate, jaccard_join, knn_quality, line_dedup, packing, pca_dedup, pii_boost, site_style,
+                          suffix_tree, toxicity)
 from caseflow.llm.common import ready
 from caseflow.session import shared_dir
 
@@ -148,3 +149,26 @@ def _site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii_boost")
 def _pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_boost.found(table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p
+    FROM docs),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+repeated AS (
+    SELECT k, min(doc_id) AS first FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id > first) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE first IS NULL OR doc_id = first), '')) AS kept_sha256
+FROM keyed LEFT JOIN repeated USING (k) GROUP BY doc_id
+"""
+
+
+@query("op13_line_dedup", LINES_SQL)
+def _line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicated(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
