@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseflow.llm import (bitplane, decontaminate, jaccard_join, knn_quality, line_dedup, packing, pca_dedup, pii_boost, site_style,
-                          suffix_tree, toxicity)
+from caseflow.llm import (bitplane, decontaminate, importance, jaccard_join, knn_quality, line_dedup, packing, pca_dedup,
+                          pii_boost, site_style, suffix_tree, toxicity)
 from caseflow.llm.common import ready
 from caseflow.session import shared_dir
 
@@ -151,6 +151,46 @@ def _pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_boost.found(table(spark, sf_dir, "documents"))
 
 
+IMPORTANCE_SQL = r"""
+WITH crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b)
+        ORDER BY b) AS t FROM range(256) r(b)),
+docs AS (SELECT doc_id, {words} AS w FROM documents),
+bench AS (SELECT {words} AS w FROM benchmark),
+features AS (SELECT doc_id, unnest(w) AS f FROM docs),
+wanted AS (SELECT unnest(w) AS f FROM bench),
+crcs AS (
+    SELECT f, xor(list_reduce(
+        list_transform(range(strlen(f)), lambda i: ('0x' || substr(hex(encode(f)), (2 * i + 1)::BIGINT, 2))::BIGINT),
+        lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM (SELECT f FROM features UNION SELECT f FROM wanted), crc_table),
+source AS (SELECT bucket, count(*) AS s FROM features JOIN crcs USING (f) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN crcs USING (f) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM features) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM source LEFT JOIN target USING (bucket)),
+weights AS (
+    SELECT doc_id, sum(gain)::BIGINT AS weight FROM features JOIN crcs USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln(
+            (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM docs LEFT JOIN weights USING (doc_id)),
+places AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN places USING (doc_id)
+""".replace("{words}", _WORDS)
+
+
+@query("op11_importance", IMPORTANCE_SQL)
+def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = importance.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranks.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 LINES_SQL = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
