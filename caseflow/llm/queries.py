@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseflow.llm import (bitplane, decontaminate, importance, jaccard_join, knn_quality, line_dedup, packing, pca_dedup,
-                          pii_boost, site_style, suffix_tree, toxicity)
+                          pii_boost, site_style, suffix_tree, toxicity, whitening)
 from caseflow.llm.common import ready
 from caseflow.session import shared_dir
 
@@ -191,6 +191,20 @@ def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query("op12_whitening")
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    schema = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+    model = whitening.fitted(vectors)
+    if model is None or not len(model.variances):
+        return spark.createDataFrame([], schema)
+    rows = whitening.whitened(vectors, model).drop("embedding")
+    explained = F.array(*[F.lit(float(e / model.total)) for e in model.variances])
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("place")).alias("explained"), F.lit(whitening.identity_error(rows)).alias("identity_error"))
+
+
 LINES_SQL = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
