@@ -9,50 +9,72 @@ from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
 from caseflow.operators.nested import unnest
 from caseflow.operators.quantiles import quantiles_of_counts, value_counts
+from caseflow.session import settle
 
 
-def _distinct_values(frame: DataFrame, column: str) -> Column:
+def _combinations(frame: DataFrame, columns: list[str], *sums: Column) -> DataFrame:
+    """Rows and ``sums`` per combination of the columns, stored: the only scan of ``frame`` a profile makes.
+
+    Equal rows are combined before the shuffle, and a DISTINCT of one column then reads these combinations.
+    """
+    return settle(frame.groupBy(*columns).agg(F.count("*").alias("_n"), *sums))
+
+
+def _distinct_values(combinations: DataFrame, column: str) -> Column:
     """How many values the column has: an aggregate of its own, since several DISTINCTs in one multiply every row."""
-    return frame.filter(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*")).scalar()
+    return combinations.filter(F.col(column).isNotNull()).select(column).distinct().agg(F.count("*")).scalar()
+
+
+def _with_distinct(totals: DataFrame, combinations: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return totals.withColumns({name: _distinct_values(combinations, column) for name, column in columns.items()})
 
 
-def _with_distinct(totals: DataFrame, frame: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return totals.withColumns({name: _distinct_values(frame, column) for name, column in columns.items()})
+def _rows() -> Column:
+    return F.coalesce(F.sum("_n"), F.lit(0).cast("bigint"))
 
 
 def case_profile(cases: DataFrame) -> DataFrame:
-    """AG6: one row per tribunal next to table-wide totals."""
-    midnight = ts.is_midnight(F.col("data_ajuizamento")).cast("double")
-    totals = _with_distinct(cases.agg(
-        F.count("*").alias("n_processos"),
+    """AG6: one row per tribunal next to table-wide totals; one scan of the cases."""
+    midnight = ts.is_midnight(F.col("data_ajuizamento"))
+    distinct = {"n_processos_uniq": "processo", "n_tribunais": "tribunal", "n_classes": "classe_nome",
+                "n_municipios": "orgao_julgador_municipio_ibge"}
+    found = _combinations(
+        cases, list(distinct.values()),
         F.min("ano_ajuizamento").alias("ano_min"), F.max("ano_ajuizamento").alias("ano_max"),
         F.min("data_ajuizamento").alias("data_min"), F.max("data_ajuizamento").alias("data_max"),
-        F.avg(midnight).alias("pct_sem_hora"),
-    ), cases, {"n_processos_uniq": "processo", "n_tribunais": "tribunal", "n_classes": "classe_nome",
-               "n_municipios": "orgao_julgador_municipio_ibge"}).select(
+        F.count_if(midnight).alias("_midnight"), F.count(midnight).alias("_timed"))
+    totals = _with_distinct(found.agg(
+        _rows().alias("n_processos"),
+        F.min("ano_min").alias("ano_min"), F.max("ano_max").alias("ano_max"),
+        F.min("data_min").alias("data_min"), F.max("data_max").alias("data_max"),
+        F.try_divide(F.sum("_midnight"), F.sum("_timed")).alias("pct_sem_hora"),
+    ), found, distinct).select(
         "n_processos", "n_processos_uniq", "n_tribunais", "n_classes", "n_municipios",
         "ano_min", "ano_max", "data_min", "data_max", "pct_sem_hora")
-    return cases.select("tribunal").distinct().select(
+    return found.select("tribunal").distinct().select(
         "tribunal", totals.select(F.struct(*totals.columns)).scalar().alias("_t")).select("tribunal", "_t.*")
 
 
 def movement_profile(movements: DataFrame) -> DataFrame:
-    """AG7."""
-    return _with_distinct(movements.agg(
-        F.count("*").alias("n_movimentos"),
-        F.min("movimento_data_hora").alias("data_min"),
-        F.max("movimento_data_hora").alias("data_max"),
-        F.avg(F.col("complemento_codigo").isNotNull().cast("double")).alias("pct_com_complemento"),
-    ), movements, {"n_processos_uniq": "processo", "n_tipos_movimento": "movimento_codigo"}).select(
+    """AG7; one scan of the movements."""
+    distinct = {"n_processos_uniq": "processo", "n_tipos_movimento": "movimento_codigo"}
+    found = _combinations(
+        movements, list(distinct.values()),
+        F.min("movimento_data_hora").alias("data_min"), F.max("movimento_data_hora").alias("data_max"),
+        F.count("complemento_codigo").alias("_with"))
+    return _with_distinct(found.agg(
+        _rows().alias("n_movimentos"), F.min("data_min").alias("data_min"), F.max("data_max").alias("data_max"),
+        F.try_divide(F.sum("_with"), F.sum("_n")).alias("pct_com_complemento"),
+    ), found, distinct).select(
         "n_processos_uniq", "n_movimentos", "n_tipos_movimento", "data_min", "data_max",
         F.try_divide("n_movimentos", "n_processos_uniq").alias("media_mov_processo"), "pct_com_complemento")
 
 
 def subject_profile(subjects: DataFrame) -> DataFrame:
-    """AG8."""
-    return _with_distinct(
-        subjects.agg(F.count("*").alias("n_assuntos")), subjects,
-        {"n_processos_uniq": "processo", "n_assuntos_uniq": "assunto_codigo"}).select(
+    """AG8; one scan of the subjects."""
+    distinct = {"n_processos_uniq": "processo", "n_assuntos_uniq": "assunto_codigo"}
+    found = _combinations(subjects, list(distinct.values()))
+    return _with_distinct(found.agg(_rows().alias("n_assuntos")), found, distinct).select(
         "n_processos_uniq", "n_assuntos", "n_assuntos_uniq",
         F.try_divide("n_assuntos", "n_processos_uniq").alias("media_assuntos_processo"))
 
@@ -147,11 +169,10 @@ def fill_rates(enriched: DataFrame) -> DataFrame:
 _QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
 
 
-def column_summary(frame: DataFrame, columns: list[str], bins: int = 1024) -> DataFrame:
+def column_summary(frame: DataFrame, columns: list[str]) -> DataFrame:
     """AG24, AG19: count, minimum, quartiles, mean and maximum of numeric columns.
 
-    All columns go through one pass: values are counted per column, and the
-    quartile search uses ``bins`` equal bins over each column's own range.
+    All columns go through one pass: values are counted per column, and the quartiles come from the counts.
     """
     long = frame.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "coluna", "valor")
@@ -159,13 +180,7 @@ def column_summary(frame: DataFrame, columns: list[str], bins: int = 1024) -> Da
     basics = counts.groupBy("coluna").agg(
         F.sum("_n").alias("n"), F.min("_v").alias("minimo"),
         (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("media"), F.max("_v").alias("maximo"))
-    # one row per summarised column
-    ranged = counts.join(F.broadcast(basics.select("coluna", "minimo", "maximo")), "coluna")
-    width = F.col("maximo") - F.col("minimo")
-    bin_of = F.when(width > 0, F.floor((F.col("_v") - F.col("minimo")) / width * bins)).otherwise(0)
-    located = ranged.withColumn("_where", bin_of).select("coluna", "_v", "_n", "_where")
-    quartiles = quantiles_of_counts(located, ["coluna"], _QUARTILES, F.col("_where"))
-    return basics.join(quartiles, "coluna")
+    return basics.join(quantiles_of_counts(counts, ["coluna"], _QUARTILES), "coluna")
 
 
 def coverage_ratio(matched: DataFrame, all_rows: DataFrame) -> DataFrame:

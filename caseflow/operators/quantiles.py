@@ -1,8 +1,10 @@
 """Exact interpolated quantiles per group without holding a group in one task.
 
 Spark's ``percentile`` keeps a value->count map of the whole group in memory.
-Here equal values are counted first, a coarse histogram finds the bins that hold
-the wanted ranks, and only those bins are ranked.
+Here equal values are counted first and the counts are dealt by range, so that a
+group of any shape (long tails, outliers, one dense spot) spreads over as many
+stretches as its distinct values need. The sums of the stretches tell which of them
+hold the wanted ranks; only those are ranked, each on its own.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.operators.ranges import PART, ranged
 from caseflow.session import settle
 
 
@@ -26,60 +29,52 @@ def value_counts(frame: DataFrame, keys: list[str], value: str, weight: str | No
     )
 
 
-def quantiles_of_counts(
-    counts: DataFrame, keys: list[str], probs: dict[str, float], bin_of: Column | None = None
-) -> DataFrame:
-    """Linear-interpolation (type 7) quantiles of counted values, one column per name."""
-    bin_of = F.floor(F.col("_v")) if bin_of is None else bin_of
-    binned = counts.withColumn("_bin", bin_of)
-    ordered = Window.partitionBy(*keys).orderBy("_bin")
-    bins = (
-        binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_in_bin"))
-        .withColumn("_upto", F.sum("_in_bin").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_in_bin").over(Window.partitionBy(*keys)))
+def wanted_stretches(stretches: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """The counts of the stretches that hold a wanted rank, with the weight ``_before`` them and the ranks ``_wanted``."""
+    ordered = Window.partitionBy(*keys).orderBy(PART)  # one row per stretch of a group
+    sums = (
+        stretches.groupBy(*keys, PART).agg(F.sum("_n").alias("_inside"))
+        .withColumn("_upto", F.sum("_inside").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_total", F.sum("_inside").over(Window.partitionBy(*keys)))
+        .withColumn("_before", F.col("_upto") - F.col("_inside"))
     )
-    wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in probs.items()
-    ])
-    rank = (F.col("_total") - 1) * F.col("_q.p")
-    before = F.col("_upto") - F.col("_in_bin")
-
-    def holds(r: str) -> Column:
-        return (F.col(r) >= before) & (F.col(r) < F.col("_upto"))
-
-    targets = (
-        bins.withColumn("_q", F.explode(wanted))
-        .withColumn("_lo", F.floor(rank)).withColumn("_hi", F.ceil(rank))
-        .withColumn("_frac", rank - F.floor(rank))
-        .filter(holds("_lo") | holds("_hi"))
-        .select(*keys, "_bin", before.alias("_before"), F.col("_q.name").alias("_name"),
-                "_lo", "_hi", "_frac")
-    )
-    inside = Window.partitionBy(*keys, "_name", "_bin").orderBy("_v")
+    ranks = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.floor(rank).alias("lo"), F.ceil(rank).alias("hi"), (rank - F.floor(rank)).alias("part"))
+        for name, rank in ((name, (F.col("_total") - 1) * F.lit(float(p))) for name, p in probs.items())])
+
+    def held(q: Column) -> Column:
+        return ((q["lo"] >= F.col("_before")) & (q["lo"] < F.col("_upto"))) | (
+            (q["hi"] >= F.col("_before")) & (q["hi"] < F.col("_upto")))
+
+    targets = sums.withColumn("_wanted", F.filter(ranks, held)).filter(F.size("_wanted") > 0)
+    return stretches.join(targets.select(*keys, PART, "_before", "_wanted"), [*keys, PART])
+
+
+def quantiles_of_counts(counts: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
+    """Linear-interpolation (type 7) quantiles of counted values, one column per name."""
+    stretches = ranged(counts.select(*keys, "_v", "_n"), [*map(F.col, keys), F.col("_v")])
+    inside = Window.partitionBy(*keys, PART).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        binned.join(targets, [*keys, "_bin"])
-        .withColumn("_end", F.col("_before") + F.sum("_n").over(
-            inside.rowsBetween(Window.unboundedPreceding, 0)))
+        wanted_stretches(stretches, keys, probs)
+        .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
+        .select(*keys, "_v", "_start", "_end", F.explode("_wanted").alias("_q"))
     )
 
-    def at(r: str) -> Column:
-        return F.max(F.when((F.col(r) >= F.col("_start")) & (F.col(r) < F.col("_end")), F.col("_v")))
+    def at(rank: str) -> Column:
+        here = (F.col(f"_q.{rank}") >= F.col("_start")) & (F.col(f"_q.{rank}") < F.col("_end"))
+        return F.max(F.when(here, F.col("_v")))
 
-    points = ranked.groupBy(*keys, "_name").agg(
-        at("_lo").alias("_vlo"), at("_hi").alias("_vhi"), F.max("_frac").alias("_frac"))
-    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
+    points = ranked.groupBy(*keys, F.col("_q.name").alias("_name")).agg(
+        at("lo").alias("_vlo"), at("hi").alias("_vhi"), F.max("_q.part").alias("_share"))
+    value = F.when(F.col("_vlo") == F.col("_vhi"), F.col("_vlo")).otherwise(
+        F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_share"))
     return points.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in probs])
 
 
 def grouped_quantiles(
-    frame: DataFrame,
-    keys: list[str],
-    value: str,
-    probs: dict[str, float],
-    bin_of: Column | None = None,
-    weight: str | None = None,
+    frame: DataFrame, keys: list[str], value: str, probs: dict[str, float], weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles of ``value`` per ``keys`` (which must not be NULL)."""
-    return quantiles_of_counts(value_counts(frame, keys, value, weight), keys, probs, bin_of)
+    return quantiles_of_counts(value_counts(frame, keys, value, weight), keys, probs)

@@ -5,8 +5,8 @@ it; ``sized`` computes the lookup first and broadcasts it only if it is small.
 
 A window over ``partitionBy(key)`` puts every row of a key into one task.  A key
 is *hot* when it has more than ``share`` of all rows (and more than ``floor``),
-so there are at most ``1 / share`` hot keys and their split points stay a small,
-bounded list whatever the size of the data.
+so there are at most ``1 / share`` hot keys. Their rows are dealt by range and
+scanned stretch by stretch, at any place, also between rows of one time.
 """
 
 from __future__ import annotations
@@ -16,10 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseflow.operators.ranges import PART, carried_maximum, ranged
 from caseflow.session import settle
 
-SLICE = "_slice"
-
 
 def sized(lookup: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     """The lookup, computed once; hinted for broadcast if its rows, as text, have at most ``max_bytes`` bytes.
@@ -40,8 +39,8 @@ class HotKeyRule:
 DEFAULT_RULE = HotKeyRule()
 
 
-def hot_key_bounds(frame: DataFrame, key: str, order: Column, rule: HotKeyRule) -> DataFrame | None:
-    """Split points of every hot key (key, bounds), or None when no key is hot."""
+def hot_keys(frame: DataFrame, key: str, rule: HotKeyRule) -> tuple[DataFrame, int] | None:
+    """(the hot keys as ``_hot``, the number of stretches their rows make), or None when no key is hot."""
     counts = frame.groupBy(key).agg(F.count("*").alias("_n"))
     totals = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
     if totals.largest is None:
@@ -49,33 +48,15 @@ def hot_key_bounds(frame: DataFrame, key: str, order: Column, rule: HotKeyRule)
     limit = max(rule.floor, int(totals.total * rule.share))
     if totals.largest <= limit:
         return None
-    hot_rows = counts.filter(F.col("_n") > limit).collect()  # at most 1 / share rows
-    hot = frame.sparkSession.createDataFrame(
-        [(r[key], -(-r["_n"] // limit)) for r in hot_rows],
-        f"`{key}` {frame.schema[key].dataType.simpleString()}, _k int",
-    )
-    most = max(-(-r["_n"] // limit) for r in hot_rows)  # at most 1 / share
-    steps = [i / most for i in range(1, most)]
-    quantiles = (
-        frame.select(key, order.alias("_o"))
-        .join(F.broadcast(hot.withColumnRenamed(key, "_hot")), F.col(key).eqNullSafe(F.col("_hot")))
-        .groupBy(key).agg(F.percentile_approx("_o", steps, 10_000).alias("_q"), F.first("_k").alias("_k"))
-    )
-    bounds = quantiles.select(key, F.array_distinct(F.expr(
-        f"transform(sequence(1, _k - 1), i -> _q[greatest(int(i * {most} / _k), 1) - 1])"
-    )).alias("_bounds"))
-    rows = [tuple(r) for r in bounds.collect()]  # the sum of _k is at most 2 / share
-    return frame.sparkSession.createDataFrame(rows, bounds.schema)
+    rows = counts.filter(F.col("_n") > limit).collect()  # at most 1 / share rows
+    keys = frame.sparkSession.createDataFrame(
+        [(r[key],) for r in rows], f"_hot {frame.schema[key].dataType.simpleString()}")
+    return keys, -(-sum(r["_n"] for r in rows) // limit)
 
 
-def with_slices(frame: DataFrame, bounds: DataFrame, key: str, order: Column) -> DataFrame:
-    """Adds the time slice of each row: 0 for ordinary keys; equal times stay together."""
-    named = bounds.withColumnRenamed(key, "_hot")
-    sliced = frame.join(F.broadcast(named), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
-    position = F.size(F.filter("_bounds", lambda b: b < order))
-    return sliced.withColumn(
-        SLICE, F.when(F.col("_bounds").isNull(), 0).otherwise(position)
-    ).drop("_bounds")
+def stretches_of(frame: DataFrame, key: str, ts: str, ties: list[Column], parts: int) -> DataFrame:
+    """The rows dealt by (key, time, ties) and, where these are equal, by the number ``_any``."""
+    return ranged(frame.withColumn("_any", F.rand(0)), [F.col(key), F.col(ts), *ties, F.col("_any")], parts)
 
 
 def previous_time(
@@ -89,31 +70,30 @@ def previous_time(
 ) -> DataFrame:
     """Adds ``out``: the time of the nearest earlier row of the key that satisfies ``when``.
 
-    "Earlier" follows (ts, ties).  Hot keys are scanned in time slices; the last
-    qualifying time of each slice is carried into the slices after it.  NULL is a
-    key like any other.  The input
+    "Earlier" follows (ts, ties); rows equal in both come in any order.  Hot keys
+    are scanned by stretches of the order; the last qualifying time before a stretch
+    is carried into it, one row per stretch.  NULL is a key like any other.  The input
     is read once more to count rows per key, so a dear input should be a table.
     """
     marked = F.col(ts) if when is None else F.when(when, F.col(ts))
-    order = F.unix_micros(F.col(ts))
-    bounds = hot_key_bounds(frame, key, order, rule)
-    if bounds is None:
-        scan = Window.partitionBy(key).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, -1)
-        return frame.withColumn(out, F.last(marked, ignorenulls=True).over(scan))
-
-    sliced = with_slices(frame, bounds, key, order)
-    scan = Window.partitionBy(key, SLICE).orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    inside = sliced.withColumn(out, F.last(marked, ignorenulls=True).over(scan))
-    per_slice = (
-        sliced.join(F.broadcast(bounds.select(F.col(key).alias("_hot"))), F.col(key).eqNullSafe(F.col("_hot")))
-        .groupBy(key, SLICE).agg(F.max(marked).alias("_last"))
-    )
-    # one row per slice of a hot key: bounded by 2 / share in all
-    carry = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_slice.select(F.col(key).alias("_hot"), F.col(SLICE).alias("_from"), F.max("_last").over(carry).alias("_carry"))
-    same = F.col(key).eqNullSafe(F.col("_hot")) & (F.col(SLICE) == F.col("_from"))
-    return (
-        inside.join(F.broadcast(carried), same, "left")
+
+    def scanned(rows: DataFrame, group: list[str], order: list[str | Column]) -> DataFrame:
+        scan = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(out, F.last(marked, ignorenulls=True).over(scan))
+
+    found = hot_keys(frame, key, rule)
+    if found is None:
+        return scanned(frame, [key], [ts, *ties])
+    keys, parts = found
+    is_hot = F.col(key).eqNullSafe(F.col("_hot"))
+    calm = scanned(frame.join(F.broadcast(keys), is_hot, "left_anti"), [key], [ts, *ties])
+    stretches = stretches_of(frame.join(F.broadcast(keys), is_hot, "left_semi"), key, ts, ties, parts)
+    inside = scanned(stretches, [PART, key], [ts, *ties, "_any"])
+    carry = carried_maximum(stretches, key, marked).withColumnRenamed(PART, "_from")
+    same = (F.col(PART) == F.col("_from")) & F.col(key).eqNullSafe(F.col("_key"))
+    busy = (
+        inside.join(F.broadcast(carry), same, "left")  # one row per stretch, of which there are 1 / share at most
         .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
-        .drop(SLICE, "_hot", "_from", "_carry")
+        .drop(PART, "_any", "_from", "_key", "_carry")
     )
+    return calm.unionByName(busy)

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseflow.operators import events, panel, profile, viscosity
-from caseflow.operators.quantiles import grouped_quantiles
-from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_key_bounds, previous_time, sized, with_slices
+from caseflow.operators.quantiles import grouped_quantiles, quantiles_of_counts, value_counts, wanted_stretches
+from caseflow.operators.ranges import PART, carried_maximum, ranged
+from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, hot_keys, previous_time, sized, stretches_of
 
 START = datetime(2024, 1, 1)
 SPLIT = HotKeyRule(share=0.01, floor=10)  # splits almost every key
@@ -55,18 +56,50 @@ def test_null_keys_are_split_like_others(spark):
     got = previous_time(frame, "processo", "movimento_data_hora", [F.col("seq")], "prev", rule=SPLIT)
     named = [("hot" if key is None else key, *rest) for key, *rest in rows]
     assert {r.seq: r.prev for r in got.collect()} == brute_previous(named, lambda c: True)
-    bounds = hot_key_bounds(frame, "processo", F.unix_micros("movimento_data_hora"), SPLIT)
-    sliced = with_slices(frame, bounds, "processo", F.unix_micros("movimento_data_hora"))
-    largest = sliced.filter("processo is null").groupBy("_slice").count().agg(F.max("count")).first()[0]
+    keys, parts = hot_keys(frame, "processo", SPLIT)
+    assert keys.filter("_hot is null").count() == 1
+    stretches = stretches_of(frame, "processo", "movimento_data_hora", [F.col("seq")], parts)
+    largest = stretches.filter("processo is null").groupBy(PART).count().agg(F.max("count")).first()[0]
     assert largest < 60
 
 
 def test_the_rule_really_splits(spark):
     frame = frame_of(spark, history())
-    order = F.unix_micros("movimento_data_hora")
-    assert hot_key_bounds(frame, "processo", order, DEFAULT_RULE) is None
-    bounds = hot_key_bounds(frame, "processo", order, SPLIT)
-    assert max(len(r["_bounds"]) for r in bounds.collect()) > 5
+    assert hot_keys(frame, "processo", DEFAULT_RULE) is None
+    keys, parts = hot_keys(frame, "processo", SPLIT)
+    assert keys.count() == 7 and parts >= 90
+
+
+def test_one_key_and_one_time_spread_over_tasks(spark):
+    rows = 100_000
+    moves = spark.range(rows, numPartitions=8).select(
+        F.lit("hot").alias("processo"), F.lit(START).alias("movimento_data_hora"), F.col("id").alias("seq"),
+        F.when(F.col("id") == 0, "C").otherwise("J").alias("codigo"))
+    rule = HotKeyRule(share=0.05, floor=10)
+    keys, parts = hot_keys(moves, "processo", rule)
+    assert parts == 20
+    for ties in ([F.col("seq")], []):  # without a tie-breaker the rows are the same in every respect but still spread
+        stretches = stretches_of(moves, "processo", "movimento_data_hora", ties, parts)
+        assert stretches.groupBy(PART).count().agg(F.max("count")).first()[0] < 3 * rows / parts
+    found = previous_time(moves, "processo", "movimento_data_hora", [F.col("seq")], "prev", when=F.col("codigo") == "C", rule=rule)
+    assert found.filter(F.col("prev") == START).count() == rows - 1
+
+
+def test_carry_skips_whole_stretches_and_other_keys(spark):
+    rows = [(k, START + timedelta(minutes=i), i, "C" if (k, i) in ((None, 0), ("b", 3)) else "J")
+            for k in (None, "a", "b", "c") for i in range(200)]
+    stretches = ranged(frame_of(spark, rows), [F.col("processo"), F.col("movimento_data_hora")], 40)
+    marked = F.when(F.col("codigo") == "C", F.col("movimento_data_hora"))
+    carries = {(r[PART], r["_key"]): r["_carry"] for r in carried_maximum(stretches, "processo", marked).collect()}
+    first = {r["_part"]: r for r in stretches.groupBy(PART).agg(F.min(F.struct("processo", "seq")).alias("f")).collect()}
+    expected = {(p, r.f.processo): START + timedelta(minutes=0 if r.f.processo is None else 3) for p, r in first.items()
+                if (r.f.processo is None and r.f.seq > 0) or (r.f.processo == "b" and r.f.seq > 3)}
+    assert carries == expected and len(carries) > 10
+
+
+def test_empty_ranges(spark):
+    stretches = ranged(frame_of(spark, history()).limit(0), [F.col("processo")], 4)
+    assert carried_maximum(stretches, "processo", F.col("seq")).count() == 0
 
 
 def test_empty_input(spark):
@@ -143,6 +176,24 @@ def test_bounded_extract(spark, limit):
     assert {r.seq for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("step", [1, 7, 100])
+def test_resumed_extract_equals_one_run(spark, step):
+    """Equal times cross the borders between runs; a new key and late rows appear on the way."""
+    rows = history(5, rows=600, clock=20)
+    frame = frame_of(spark, rows)
+    state, seen = None, []
+    for i in range(3):
+        now = frame if i else frame.filter("processo <> 'k1'")
+        taken, state = events.resumed_extract(now, "processo", "movimento_data_hora", "seq", state, step)
+        seen += [(r.processo, r.seq) for r in taken.collect()]
+    whole = {(r.processo, r.seq) for r in events.bounded_extract(
+        frame, "processo", "movimento_data_hora", "seq", 3 * step).filter("processo <> 'k1'").collect()}
+    late = {(r.processo, r.seq) for r in events.bounded_extract(
+        frame, "processo", "movimento_data_hora", "seq", 2 * step).filter("processo = 'k1'").collect()}
+    assert len(seen) == len(set(seen)) and set(seen) == whole | late
+    assert state.count() == 7
+
+
 def test_quantiles(spark):
     rng = np.random.default_rng(3)
     values = {"many": rng.exponential(30, 500), "ties": np.repeat([1.0, 2.0, 2.5], 7),
@@ -155,6 +206,34 @@ def test_quantiles(spark):
             assert got[name] == pytest.approx(np.quantile(values[got.k], p), abs=1e-9), (got.k, name)
 
 
+def test_ranked_groups_stay_small_on_long_tails(spark):
+    """One dense spot, a long tail and an outlier: bins of equal width would hold nearly all values."""
+    rng = np.random.default_rng(11)
+    values = np.concatenate([rng.normal(0, 1e-9, 20_000), rng.pareto(0.4, 5_000), [1e300, -1e300]])
+    rows = [("a", float(v)) for v in values] + [("b", float(v)) for v in values[:40]]
+    merge = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = value_counts(spark.createDataFrame(rows, "k string, v double").repartition(4), ["k"], "v")
+        probs = {"q1": 0.25, "m": 0.5, "q3": 0.75}
+        ranked = wanted_stretches(ranged(counts, [F.col("k"), F.col("_v")]), ["k"], probs)
+        largest = ranked.groupBy("k", PART).count().agg(F.max("count")).first()[0]
+        assert largest < 2 * len(rows) / 8  # of the eight stretches
+        got = {r.k: r for r in quantiles_of_counts(counts, ["k"], probs).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merge)
+    for key, mine in (("a", values), ("b", values[:40])):
+        for name, p in probs.items():
+            assert got[key][name] == pytest.approx(np.quantile(mine, p), rel=1e-9, abs=1e-18), (key, name)
+
+
+def test_quantiles_of_infinite_and_no_values(spark):
+    frame = spark.createDataFrame([("a", float("inf"))] * 3 + [("a", 1.0), ("n", None)], "k string, v double")
+    got = grouped_quantiles(frame, ["k"], "v", {"lo": 0.0, "hi": 1.0}).collect()
+    assert [(r.k, r.lo, r.hi) for r in got] == [("a", 1.0, float("inf"))]
+    assert grouped_quantiles(frame.limit(0), ["k"], "v", {"lo": 0.5}).count() == 0
+
+
 def test_weighted_quantiles(spark):
     frame = spark.createDataFrame([("a", 1.0, 3.0), ("a", 2.0, 1.0), ("a", 9.0, 4.0)], "k string, v double, w double")
     got = grouped_quantiles(frame, ["k"], "v", {"m": 0.5, "q": 0.4}, weight="w").first()
