@@ -13,6 +13,7 @@ from caseflow.constants import EMPTY_CODE
 from caseflow.functions import text as tx
 from caseflow.functions import timestamps as ts
 from caseflow.functions.schemas import MOVEMENT_OPTIONAL, MOVEMENT_REQUIRED
+from caseflow.operators.smallest import counts_and_smallest
 
 
 class QualityError(RuntimeError):
@@ -114,6 +115,19 @@ def quality_gate(report: DataFrame, status: str = "status") -> DataFrame:
     return report
 
 
+def null_gate(columns: list[str]) -> dict[str, Column]:
+    """AG14: what a gated write observes (``writers.write_checked``): rows and cells with a NULL in these columns."""
+    return {"linhas_com_na": _rows_with_null(columns), "celulas_na": _null_cells(columns)}
+
+
+def gate_written(written: DataFrame, name: str) -> DataFrame:
+    """AG14: raise when a write observed rows with NULLs; reads the one-row report only, never the table."""
+    report = written.select(
+        F.lit(name).alias("dataframe"), "linhas", "linhas_com_na", "celulas_na",
+        F.when(F.col("linhas_com_na") == 0, "OK").otherwise("ERRO").alias("status"))
+    return quality_gate(report)
+
+
 def empty_code_movements(movements: DataFrame) -> DataFrame:
     """AG15: the movements whose code is missing or {} (as rows, never as one list)."""
     code = F.col("movimento_codigo").cast("string")
@@ -127,29 +141,39 @@ def check_text_time(frame: DataFrame, column: str) -> str | None:
     return None
 
 
+def numeric_time_losses(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """AG25: per raw time column its type, the warning, and how many stamps a number of that type cannot hold exactly.
+
+    A 14-digit stamp needs 47 bits: a float keeps 24, an integer 31, a double 53. A value counts as lost when it is beyond
+    what its type counts one by one, or has a fraction.
+    """
+    # The largest whole number up to which each type holds every whole number.
+    exact = {"tinyint": 2 ** 7 - 1, "smallint": 2 ** 15 - 1, "int": 2 ** 31 - 1, "float": 2 ** 24, "double": 2 ** 53}
+    parts = []
+    for name in columns:
+        kind, warning = frame.schema[name].dataType.simpleString(), check_text_time(frame, name)
+        value = F.col(name)
+        lost = F.lit(False)
+        if warning and kind in exact:
+            lost = (F.abs(value.cast("double")) >= F.lit(float(exact[kind]))) | (value.cast("double") % 1 != 0)
+        parts += [F.count(value).alias(f"n_{name}"), F.count_if(lost).alias(f"p_{name}")]
+    counted = frame.agg(*parts)  # all columns in one scan
+    rows = F.array(*[F.struct(
+        F.lit(name).alias("coluna"), F.lit(frame.schema[name].dataType.simpleString()).alias("tipo"),
+        F.col(f"n_{name}").alias("valores"), F.col(f"p_{name}").alias("perdidos"),
+        F.lit("AVISO" if check_text_time(frame, name) else "OK").alias("status")) for name in columns])
+    return counted.select(F.inline(rows))
+
+
 # ---- time columns ------------------------------------------------------------------------
 
 
 def format_profile(frame: DataFrame, column: str, examples: int = 5) -> DataFrame:
-    """TS2, JN8, SO3: rows per timestamp pattern and up to ``examples`` distinct values.
-
-    The counts need no shuffle beyond one row per pattern and input partition.
-    The examples are the smallest distinct values, picked by a rank that Spark
-    limits to ``examples`` rows per pattern before its shuffle.
-    """
+    """TS2, JN8, SO3: rows per timestamp pattern and its ``examples`` smallest distinct values, in one scan."""
     value = F.trim(F.col(column).cast("string"))
-    values = frame.select(value.alias("valor"))
-    totals = values.groupBy(ts.format_class(F.col("valor")).alias("perfil")).agg(F.count("*").alias("n"))
-    distinct = values.filter(F.col("valor").isNotNull()).distinct()
-    smallest = Window.partitionBy("perfil").orderBy("valor")
-    picked = (
-        distinct.withColumn("perfil", ts.format_class(F.col("valor")))
-        .withColumn("_rank", F.row_number().over(smallest))
-        .filter(F.col("_rank") <= examples)
-        .groupBy("perfil").agg(F.array_join(F.array_sort(F.collect_list("valor")), " | ").alias("exemplos"))
-    )
-    return totals.join(picked, "perfil", "left").select(
-        "perfil", "n", F.coalesce("exemplos", F.lit("")).alias("exemplos"))
+    classed = frame.select(ts.format_class(value).alias("perfil"), value.alias("valor"))
+    return counts_and_smallest(classed, "perfil", "valor", examples).select(
+        F.col("grupo").alias("perfil"), "n", F.array_join("valores", " | ").alias("exemplos"))
 
 
 def parse_report(frame: DataFrame, parsed: str) -> DataFrame:

@@ -10,6 +10,8 @@ from caseflow.operators import nested, profile, quality
 from caseflow.plans import proxies as px
 from caseflow.plans.ingest_queries import RECORDS_SQL, summary_records
 from caseflow.plans.registry import query
+from caseflow.session import shared_dir
+from caseflow.sources import readers, writers
 
 # patterns of the two accepted formats, and one value per row parsed from them
 _PARSED_SQL = rf"""{px.TIME_TEXT_SQL}, parsed AS (
@@ -180,6 +182,61 @@ def qa_roles(spark, sf_dir):
         quality.movement_quality(planted_movements(spark, sf_dir, holes=False), "sem_falhas"))
 
 
+@query("qa_gate", f"""
+WITH {_PLANTED_SQL}
+SELECT 'df_movimentos' AS dataframe, CAST(count(*) AS BIGINT) AS linhas, 'ERRO' AS status,
+  CAST(count(*) FILTER (WHERE code_null > 0) AS BIGINT) AS linhas_com_na,
+  'NULLs in critical tables: df_movimentos' AS mensagem
+FROM cells
+UNION ALL
+SELECT 'df_processos', CAST(count(*) AS BIGINT), 'OK', CAST(0 AS BIGINT), '' FROM orders""")
+def qa_gate(spark, sf_dir):
+    """AG14: tables written through the gate; the one with missing codes stops it, the other passes."""
+    tables = {"df_movimentos": planted_movements(spark, sf_dir).select("id", "processo", "movimento_codigo"),
+              "df_processos": px.table(spark, sf_dir, "orders")}
+    reports = []
+    for name, frame in tables.items():
+        written = writers.write_checked(frame, shared_dir(spark), gate=quality.null_gate(frame.columns))
+        try:
+            quality.gate_written(written, name)
+            status, message = "OK", ""
+        except quality.QualityError as error:
+            status, message = "ERRO", str(error)
+        reports.append(written.select(
+            F.lit(name).alias("dataframe"), "linhas", F.lit(status).alias("status"), F.col("linhas_com_na").cast("bigint"),
+            F.lit(message).alias("mensagem")))
+    return quality.stack(*reports)
+
+
+@query("required_inputs", """
+SELECT 'orders.parquet' AS arquivo, TRUE AS existe, 'OK' AS status, CAST(count(*) AS BIGINT) AS linhas FROM orders
+UNION ALL SELECT 'lineitem.parquet', TRUE, 'OK', CAST(count(*) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'processos.parquet', FALSE, 'ERRO', NULL""")
+def required_inputs(spark, sf_dir):
+    """SC4: which expected tables are there, and the rows of those that are."""
+    names = ["orders.parquet", "lineitem.parquet", "processos.parquet"]
+    status = readers.required_inputs(spark, sf_dir, names)
+    found = [r.arquivo for r in status.collect() if r.existe]  # one row per expected name
+    rows = quality.stack(*[spark.read.parquet(f"{sf_dir}/{n}").agg(F.count("*").alias("linhas")).withColumn(
+        "arquivo", F.lit(n)) for n in found])
+    return status.join(rows, "arquivo", "left").select("arquivo", "existe", "status", "linhas")
+
+
+@query("numeric_times", """
+SELECT 'texto' AS coluna, 'string' AS tipo, CAST(count(*) AS BIGINT) AS valores, CAST(0 AS BIGINT) AS perdidos, 'OK' AS status FROM orders
+UNION ALL SELECT 'duplo', 'double', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT), 'AVISO' FROM orders
+UNION ALL SELECT 'milis', 'double', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), 'AVISO' FROM orders
+UNION ALL SELECT 'simples', 'float', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), 'AVISO' FROM orders
+UNION ALL SELECT 'dia', 'int', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT), 'AVISO' FROM orders""")
+def numeric_times(spark, sf_dir):
+    """AG25: order dates as digit stamps, kept as text and as numbers of several widths."""
+    text = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyyMMddHHmmss")
+    stamps = px.table(spark, sf_dir, "orders").select(
+        text.alias("texto"), text.cast("double").alias("duplo"), (text.cast("double") * 1000).alias("milis"),
+        text.cast("float").alias("simples"), F.substring(text, 1, 8).cast("int").alias("dia"))
+    return quality.numeric_time_losses(stamps, stamps.columns)
+
+
 @query("qa_empty_codes", f"""
 WITH {_PLANTED_SQL}
 SELECT id, processo, movimento_codigo FROM planted WHERE movimento_codigo IS NULL OR movimento_codigo = '{{}}'""")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseflow import session
-from caseflow.operators import nested, tree
+from caseflow.operators import nested, quality, tree
 from caseflow.sources import readers, writers
 
 
@@ -94,6 +94,50 @@ def test_read_back(spark, tmp_path):
         writers.write_parquet(frame, path)
 
 
+def test_checked_write_reads_its_source_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    source = spark.range(1000, numPartitions=4).mapInPandas(count, "id long")
+    report = writers.write_checked(source.withColumn("x", F.when(F.col("id") % 10 > 0, 1)), str(tmp_path / "t"),
+                                   gate=quality.null_gate(["x"])).first()
+    assert (report.linhas, report.mesmas_linhas, report.mesmo_esquema, report.linhas_com_na) == (1000, True, True, 100)
+    assert reads.value == 1000
+    with pytest.raises(quality.QualityError, match="movs"):
+        quality.gate_written(spark.createDataFrame([report]), "movs")
+    empty = writers.write_checked(spark.range(0), str(tmp_path / "e"), gate=quality.null_gate(["id"])).first()
+    assert (empty.linhas, empty.mesmas_linhas, empty.linhas_com_na) == (0, True, 0)
+
+
+def test_versions_are_published_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "table")
+    with pytest.raises(writers.NoVersion):
+        writers.read_published(spark, root)
+    assert writers.publish(spark.range(3), root) == 1
+    broken = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        writers.publish(broken, root)  # fails while writing: no pointer
+    assert writers.read_published(spark, root).count() == 3 and writers.published_versions(spark, root) == [1]
+    (tmp_path / "table" / "_versions" / "2").touch()  # a writer that died between its pointer and the content
+    assert writers.read_published(spark, root).count() == 3
+    assert writers.publish(spark.range(7), root) == 3
+    assert writers.read_published(spark, root).count() == 7 and writers.read_published(spark, root, 1).count() == 3
+
+
+def test_only_one_writer_wins_a_version(spark, tmp_path):
+    root = str(tmp_path / "table")
+    writers.publish(spark.range(3), root)
+    base = writers.published_versions(spark, root)[-1]  # both writers start from version 1
+    assert writers.publish(spark.range(4), root, expected=base) == 2
+    with pytest.raises(writers.VersionConflict):
+        writers.publish(spark.range(5), root, expected=base)
+    assert writers.read_published(spark, root).count() == 4
+
+
 class FakeSession:
     """Only what the folder choice looks at."""
 
