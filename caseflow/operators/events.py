@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow import constants as k
 from caseflow.functions import timestamps as ts
 from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, previous_time, sized
+from caseflow.session import settle
 
 
 def latest_per_key(frame: DataFrame, key: str, time: str, ties: list[Column]) -> DataFrame:
@@ -174,3 +175,33 @@ def bounded_extract(documents: DataFrame, group: str, cursor: str, tie: str, lim
     )
     whole = hours.filter(fits).unionByName(seconds.filter(fits))
     return whole.unionByName(ranked).select(*documents.columns)
+
+
+def extract_cursor(rows: DataFrame, group: str, cursor: str, tie: str) -> DataFrame:
+    """SC7: where an extract ended, (group, last cursor, last tie), one row per group."""
+    last = F.max(F.struct(F.col(cursor).alias("_cursor"), F.col(tie).alias("_tie"))).alias("_last")
+    return rows.groupBy(group).agg(last).select(group, "_last._cursor", "_last._tie")
+
+
+def resumed_extract(
+    documents: DataFrame, group: str, cursor: str, tie: str, state: DataFrame | None, limit: int = 200_000,
+) -> tuple[DataFrame, DataFrame]:
+    """SC7: the next ``limit`` rows of each group after the stored cursors, and the cursors after them.
+
+    Rows that share the last row's time follow it if their tie is larger, so no row is met twice or left out as long as
+    (cursor, tie) is unique in a group. A group that gave no rows keeps its cursor; a group without one begins at its
+    start. Both results are stored.
+    """
+    if state is None:
+        rest = documents
+    else:
+        known = sized(state.select(F.col(group).alias("_group"), "_cursor", "_tie"))
+        here = F.struct(F.col(cursor).alias("c"), F.col(tie).alias("t"))
+        met = (F.col(group) == F.col("_group")) & (F.struct(F.col("_cursor").alias("c"), F.col("_tie").alias("t")) >= here)
+        rest = documents.join(known, met, "left_anti")
+    taken = settle(bounded_extract(rest, group, cursor, tie, limit))
+    cursors = extract_cursor(taken, group, cursor, tie)
+    if state is not None:
+        cursors = state.select(group, "_cursor", "_tie").unionByName(cursors)
+    last = F.max(F.struct("_cursor", "_tie")).alias("_last")
+    return taken, settle(cursors.groupBy(group).agg(last).select(group, "_last.*"))

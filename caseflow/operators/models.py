@@ -120,8 +120,9 @@ Design = Callable[[np.ndarray], np.ndarray]  # t -> one column per coefficient
 def likelihood_sums(data: DataFrame, designs: list[Design], betas: list[np.ndarray]):
     """Log-likelihood, gradient and curvature of several logit models in one pass.
 
-    Every partition sends one short row of partial sums.  The coefficients travel
-    in the closure: as SQL literals they would have every round compile new code.
+    Every partition makes one short row of partial sums, which Spark adds up by position;
+    the driver gets one row.  The coefficients travel in the closure: as SQL literals
+    they would have every round compile new code.
     """
     sizes = [len(b) for b in betas]
 
@@ -140,8 +141,10 @@ def likelihood_sums(data: DataFrame, designs: list[Design], betas: list[np.ndarr
             total += np.concatenate(parts)
         yield pd.DataFrame({"somas": [total]})
 
-    rows = data.select("t", "y", "peso").mapInPandas(partial, "somas array<double>").collect()
-    values = np.sum([r.somas for r in rows], axis=0)
+    width = sum(1 + k + k * k for k in sizes)
+    parts = data.select("t", "y", "peso").mapInPandas(partial, "somas array<double>")
+    sums = parts.agg(*[F.sum(F.get("somas", F.lit(i))).alias(f"s{i}") for i in range(width)]).first()
+    values = np.array(sums, dtype=float)
     out, start = [], 0
     for k in sizes:
         ll, gradient, curvature = np.split(values[start:start + 1 + k + k * k], [1, 1 + k])
@@ -199,9 +202,7 @@ def spline_knots(data: DataFrame, df: int = 5) -> list[float]:
     """Boundary knots at the extremes, inner ones at equal-share quantiles of t."""
     probs = {f"q{i:02d}": i / df for i in range(df + 1)}
     one_group = data.withColumn("_all", F.lit(1))
-    # t is in years: bins of a hundredth of a year keep each ranked bin small
-    row = grouped_quantiles(
-        one_group, ["_all"], "t", probs, bin_of=F.floor(F.col("_v") * 100), weight="peso").first()
+    row = grouped_quantiles(one_group, ["_all"], "t", probs, weight="peso").first()
     return [row[name] for name in probs]
 
 
@@ -265,8 +266,39 @@ def newton_logit(
 _STEP_SHARES = (1.0, 0.25, 0.0625, 1 / 64)
 
 
-def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4) -> tuple[float, Fit]:
-    """ML7: y ~ t + (t - psi)+ with psi found by repeated linearisation.
+@dataclass(frozen=True)
+class Segmented:
+    """A fitted line with one breakpoint, and the covariance of (intercept, slope, change of slope, jump)."""
+
+    psi: float
+    fit: Fit
+    covariance: np.ndarray
+
+    @property
+    def errors(self) -> dict[str, float]:
+        """Standard errors of the breakpoint (delta method) and of the slopes on both sides of it.
+
+        A step of the linearised model moves the breakpoint by jump / change of slope; where the search ends the jump is
+        zero, so the error of the ratio is that of the jump over the change.
+        """
+        v = self.covariance
+        after = v[1, 1] + v[2, 2] + 2 * v[1, 2]
+        return {"quebra": math.sqrt(v[3, 3]) / abs(self.fit.coefficients["u"]),
+                "inclinacao_antes": math.sqrt(v[1, 1]), "inclinacao_depois": math.sqrt(max(0.0, after))}
+
+
+def bent(psi: float) -> Design:
+    """Intercept, slope and change of slope at ``psi``."""
+    return lambda t: np.column_stack([np.ones_like(t), t, np.maximum(t - psi, 0.0)])
+
+
+def jumping(psi: float) -> Design:
+    """``bent`` linearised in ``psi``: a further column -1(t > psi)."""
+    return lambda t: np.column_stack([bent(psi)(t), np.where(t > psi, -1.0, 0.0)])
+
+
+def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4) -> Segmented:
+    """ML7: y ~ t + (t - psi)+ with psi found by repeated linearisation, and what its errors need.
 
     Each round refits with the extra term -1(t > psi), whose coefficient gives
     the step for psi.  Shortened steps are fitted beside the full one; the psi
@@ -274,13 +306,6 @@ def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4
     """
     low, high = data.agg(F.min("t"), F.max("t")).first()
     margin = (high - low) * 0.05
-
-    def bent(psi: float) -> Design:
-        return lambda t: np.column_stack([np.ones_like(t), t, np.maximum(t - psi, 0.0)])
-
-    def jumping(psi: float) -> Design:
-        return lambda t: np.column_stack([bent(psi)(t), np.where(t > psi, -1.0, 0.0)])
-
     psi = (low + high) / 2
     (beta, deviance), = newton_logit(data, [bent(psi)], [np.zeros(3)])
     for _ in range(max_rounds):
@@ -302,12 +327,17 @@ def fit_segmented(data: DataFrame, max_rounds: int = 20, tolerance: float = 1e-4
     else:
         raise UnsettledFit(f"the breakpoint still moved after {max_rounds} rounds")
     t = F.col("t")
-    return psi, fit_logit(data, "segmentado", {"t": t, "u": F.greatest(t - F.lit(psi), F.lit(0.0))})
+    fit = fit_logit(data, "segmentado", {"t": t, "u": F.greatest(t - F.lit(psi), F.lit(0.0))})
+    # the covariance belongs to the model as it stands, its jump held at zero
+    (_, _, curvature), = likelihood_sums(data, [jumping(psi)], [np.append([*fit.coefficients.values()], 0.0)])
+    return Segmented(psi, fit, np.linalg.pinv(curvature))
 
 
-def segmented_table(spark: SparkSession, psi: float, fit: Fit) -> DataFrame:
-    """ML7: breakpoint and the slopes on both sides."""
-    b = fit.coefficients
+def segmented_table(spark: SparkSession, found: Segmented) -> DataFrame:
+    """ML7: breakpoint and the slopes on both sides, with standard errors."""
+    b, se = found.fit.coefficients, found.errors
     return spark.createDataFrame(
-        [(float(psi), b["t"], b["t"] + b["u"], fit.deviance, fit.aic)],
-        "quebra double, inclinacao_antes double, inclinacao_depois double, deviance double, aic double")
+        [(float(found.psi), se["quebra"], b["t"], se["inclinacao_antes"], b["t"] + b["u"], se["inclinacao_depois"],
+          found.fit.deviance, found.fit.aic)],
+        "quebra double, quebra_erro double, inclinacao_antes double, inclinacao_antes_erro double, "
+        "inclinacao_depois double, inclinacao_depois_erro double, deviance double, aic double")

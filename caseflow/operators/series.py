@@ -10,9 +10,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseflow.session import settle
+
 PERIOD = 12
 
 
@@ -199,39 +201,48 @@ def rule_of_thumb_bandwidth(n: float, sd: float, q1: float, q3: float) -> float:
     return 0.9 * spread * n ** -0.2
 
 
+#: Grid cells per bandwidth at least, and how many bandwidths a kernel reaches (its value there is under 1e-10).
+_CELLS_PER_BANDWIDTH, _REACH = 4, 7
+
+
 def kernel_density(frame: DataFrame, value: str, bandwidth: float, points: int = 512) -> DataFrame:
-    """ML11: Gaussian density on ``points`` values from minimum to maximum.
+    """ML11: Gaussian density on ``points`` values from minimum to maximum; no rows without values.
 
-    Values are first split linearly between neighbouring cells of a grid that
-    reaches four bandwidths past the data (at most ``points`` rows are left);
-    the kernel is applied between grid cells and read off by interpolation.
+    Values are first split linearly between neighbouring cells of a grid that reaches four bandwidths past the data
+    and whose cells are a quarter of the bandwidth at most, however narrow that is. Only cells that hold values exist;
+    each of them meets the output points within the kernel's reach, and the density is read off by interpolation.
     """
-    low, high = _range(frame, value)
+    spark = frame.sparkSession
+    ends = _range(frame, value)
+    if ends is None:
+        return spark.createDataFrame([], "x double, densidade double")
+    low, high = ends
     start, stop = low - 4 * bandwidth, high + 4 * bandwidth
-    cell = (stop - start) / (points - 1)
+    cell = min((stop - start) / (points - 1), bandwidth / _CELLS_PER_BANDWIDTH)
     position = (F.col(value) - F.lit(start)) / F.lit(cell)
     left = F.floor(position)
     share = position - left
     # equal cells first, so that the shuffle carries grid rows only
-    halves = frame.filter(F.col(value).isNotNull()).groupBy(left.cast("int").alias("i")).agg(
-        F.sum(1 - share).alias("a"), F.sum(share).alias("b"), F.count("*").alias("n"))
-    mass = halves.select("n", F.explode(F.array(
+    halves = settle(frame.filter(F.col(value).isNotNull()).groupBy(left.alias("i")).agg(
+        F.sum(1 - share).alias("a"), F.sum(share).alias("b"), F.count("*").alias("n")))
+    mass = halves.select(F.explode(F.array(
         F.struct(F.col("i").alias("i"), F.col("a").alias("m")),
         F.struct((F.col("i") + 1).alias("i"), F.col("b").alias("m")))).alias("p")
     ).groupBy("p.i").agg(F.sum("p.m").alias("m"))
-    total = halves.agg(F.sum("n")).scalar()
-    u = (F.col("j") - F.col("i")) * F.lit(cell / bandwidth)
-    smoothed = (
-        mass.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("j").agg(F.sum(F.col("m") * F.exp(-u * u / 2)).alias("s"))
-        .withColumn("d", F.col("s") / (total * F.lit(bandwidth * math.sqrt(2 * math.pi))))
-    )
+    total = halves.agg(F.sum("n")).first()[0]
     step = (high - low) / (points - 1)
-    out = frame.sparkSession.range(points).select(
-        (F.lit(low) + F.col("id") * F.lit(step)).alias("x"))
-    located = out.withColumn("_p", (F.col("x") - F.lit(start)) / F.lit(cell)).withColumn(
-        "j", F.floor("_p").cast("int"))
-    following = F.lead("d").over(Window.partitionBy().orderBy("j"))  # ``points`` rows
-    pairs = smoothed.select("j", "d", F.coalesce(following, F.col("d")).alias("d_next"))
-    return located.join(pairs, "j").select(
-        "x", (F.col("d") + (F.col("d_next") - F.col("d")) * (F.col("_p") - F.col("j"))).alias("densidade"))
+    out = spark.range(points).select((F.lit(low) + F.col("id") * F.lit(step)).alias("x")).withColumn(
+        "_p", (F.col("x") - F.lit(start)) / F.lit(cell)).withColumn("j", F.floor("_p"))
+    reach = math.ceil(_REACH * bandwidth / cell)
+    # the two cells beside each point, in the blocks of cells that can reach them: six rows per point
+    wanted = out.select(F.explode(F.array("j", F.col("j") + 1)).alias("j")).distinct().select(
+        "j", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda k: F.floor(F.col("j") / reach) + k)).alias("block"))
+    near = mass.withColumn("block", F.floor(F.col("i") / reach)).join(F.broadcast(wanted), "block").filter(
+        F.abs(F.col("j") - F.col("i")) <= reach)
+    u = (F.col("j") - F.col("i")) * F.lit(cell / bandwidth)
+    smoothed = near.groupBy("j").agg(
+        (F.sum(F.col("m") * F.exp(-u * u / 2)) / F.lit(total * bandwidth * math.sqrt(2 * math.pi))).alias("d"))
+    at, after = F.broadcast(smoothed), F.broadcast(smoothed.select((F.col("j") - 1).alias("j"), F.col("d").alias("d_next")))
+    here = F.coalesce("d", F.lit(0.0))  # no value within reach
+    return out.join(at, "j", "left").join(after, "j", "left").select(
+        "x", (here + (F.coalesce("d_next", F.lit(0.0)) - here) * (F.col("_p") - F.col("j"))).alias("densidade"))

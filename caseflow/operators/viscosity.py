@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from caseflow import constants as k
 from caseflow.functions import timestamps as ts
-from caseflow.operators.panel import specialised
+from caseflow.operators.panel import complete_series, specialised
+from caseflow.operators.series import decompose
 from caseflow.operators.skew import DEFAULT_RULE, HotKeyRule, previous_time
 
 
@@ -79,3 +80,18 @@ def viscosity_by_decision_month(deltas: DataFrame, spec: tuple[int, ...] = k.SPE
     month = ts.month_start(F.col("movimento_data_hora"))
     return _populations(deltas, spec).groupBy("populacao", month.alias("mes")).agg(
         F.count("*").alias("decisoes"), F.sum("delta_magistrado").alias("viscosidade_dias"))
+
+
+def cohort_series(by_filing: DataFrame, by_decision: DataFrame) -> DataFrame:
+    """Both judge-time cohorts as gap-free monthly series (serie, mes, n): days, 0 in months without decisions."""
+    def labelled(cohort: DataFrame, name: str) -> DataFrame:
+        return cohort.filter(F.col("mes").isNotNull()).select(
+            F.concat_ws(":", F.lit(name), "populacao").alias("serie"), "mes", F.col("viscosidade_dias").alias("n"))
+
+    both = labelled(by_filing, "ajuizamento").unionByName(labelled(by_decision, "decisao"))
+    return complete_series(both, "mes", ["serie"])
+
+
+def decomposed_cohorts(by_filing: DataFrame, by_decision: DataFrame) -> DataFrame:
+    """Q19: trend, seasonal part and remainder of both cohort series, for all and for specialised courts."""
+    return decompose(cohort_series(by_filing, by_decision), "serie")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from caseflow.operators import events, panel, profile, viscosity
 from caseflow.plans import proxies as px
 from caseflow.plans.panel_queries import SPEC_SQL
 from caseflow.plans.registry import query
+from caseflow.session import shared_dir
+from caseflow.sources import writers
 
 STAMP_SQL = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -155,7 +159,7 @@ _USER_CASES_SQL = """user_cases AS (
          CAST(nullif(c_nationkey, 7) AS BIGINT) AS orgao_julgador_codigo
   FROM customer)"""
 
-_DELTAS_SQL = f"""{px.MOVES_E_SQL}, {_USER_CASES_SQL},
+DELTAS_SQL = f"""{px.MOVES_E_SQL}, {_USER_CASES_SQL},
 scanned AS (
   SELECT *, max(CASE WHEN movimento_codigo = 'view' THEN movimento_data_hora END) OVER (
     PARTITION BY processo ORDER BY movimento_data_hora, event_id
@@ -187,7 +191,7 @@ def _movements(spark, sf_dir) -> DataFrame:
     return viscosity.one_per_movement(moves.withColumn("complemento", complement), ["processo", "event_id"])
 
 
-def _deltas(spark, sf_dir) -> DataFrame:
+def judge_time_deltas(spark, sf_dir) -> DataFrame:
     code = F.col("movimento_codigo")
     deltas = viscosity.judge_deltas(
         _movements(spark, sf_dir), _ties(), judge=code == "purchase", conclusion=code == "view")
@@ -197,32 +201,32 @@ def _deltas(spark, sf_dir) -> DataFrame:
 
 
 @query("q19_viscosity_total", f"""
-WITH {_DELTAS_SQL}
+WITH {DELTAS_SQL}
 SELECT populacao, CAST(count(DISTINCT processo) AS BIGINT) AS processos, CAST(count(*) AS BIGINT) AS decisoes,
        round(sum(delta), 6) AS viscosidade_dias
 FROM pops GROUP BY populacao""")
 def q19_total(spark, sf_dir):
-    totals = viscosity.viscosity_totals(_deltas(spark, sf_dir), px.SPEC)
+    totals = viscosity.viscosity_totals(judge_time_deltas(spark, sf_dir), px.SPEC)
     return totals.withColumn("viscosidade_dias", F.round("viscosidade_dias", 6))
 
 
 @query("q19_cohort_a", f"""
-WITH {_DELTAS_SQL}
+WITH {DELTAS_SQL}
 SELECT populacao, strftime(mes_ajuizamento, '%Y-%m-%d') AS mes, CAST(count(*) AS BIGINT) AS decisoes,
        round(sum(delta), 6) AS viscosidade_dias
 FROM pops GROUP BY ALL""")
 def q19_a(spark, sf_dir):
-    cohort = viscosity.viscosity_by_filing_month(_deltas(spark, sf_dir), px.SPEC)
+    cohort = viscosity.viscosity_by_filing_month(judge_time_deltas(spark, sf_dir), px.SPEC)
     return cohort.withColumns({"mes": px.day(F.col("mes")), "viscosidade_dias": F.round("viscosidade_dias", 6)})
 
 
 @query("q19_cohort_b", f"""
-WITH {_DELTAS_SQL}
+WITH {DELTAS_SQL}
 SELECT populacao, strftime(date_trunc('month', movimento_data_hora), '%Y-%m-%d') AS mes,
        CAST(count(*) AS BIGINT) AS decisoes, round(sum(delta), 6) AS viscosidade_dias
 FROM pops GROUP BY ALL""")
 def q19_b(spark, sf_dir):
-    cohort = viscosity.viscosity_by_decision_month(_deltas(spark, sf_dir), px.SPEC)
+    cohort = viscosity.viscosity_by_decision_month(judge_time_deltas(spark, sf_dir), px.SPEC)
     return cohort.withColumns({"mes": px.day(F.col("mes")), "viscosidade_dias": F.round("viscosidade_dias", 6)})
 
 
@@ -249,6 +253,24 @@ def bounded_extract(spark, sf_dir):
     return rows.select("event_type", "event_id", px.stamp(F.col("ts")).alias("cursor"))
 
 
+@query("extract_resumed", f"""
+SELECT event_type, event_id, strftime(ts, {STAMP_SQL}) AS cursor,
+  CAST(1 + (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) // 40 AS BIGINT) AS rodada
+FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 120""")
+def extract_resumed(spark, sf_dir):
+    """SC7: three runs of 40, each reading the published cursors of the one before; hours repeat, so ties cross borders."""
+    moment = F.col("ts").cast("timestamp")
+    documents = px.table(spark, sf_dir, "events").select("event_type", "event_id", moment.alias("ts"))
+    root, rounds = shared_dir(spark), []
+    for round_ in range(1, 4):
+        state = writers.read_published(spark, root) if round_ > 1 else None
+        taken, cursors = events.resumed_extract(documents, "event_type", "ts", "event_id", state, limit=40)
+        writers.publish(cursors, root)
+        rounds.append(taken.withColumn("rodada", F.lit(round_).cast("bigint")))
+    rows = reduce(DataFrame.unionByName, rounds)
+    return rows.select("event_type", "event_id", px.stamp(F.col("ts")).alias("cursor"), "rodada")
+
+
 @query("ship_delay", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
        round({_DAYS.format(a='o_orderdate', b='l_shipdate')}, 6) AS tempo_dias,

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.functions import timestamps as ts
-from caseflow.operators import models, panel, series
+from caseflow.operators import models, panel, series, viscosity
 from caseflow.operators.quantiles import grouped_quantiles
 from caseflow.plans import proxies as px
+from caseflow.plans.event_queries import DELTAS_SQL, judge_time_deltas
 from caseflow.plans.registry import query
+from caseflow.session import settle
 
 ORIGIN = "1995-01-01"
 
@@ -124,8 +126,7 @@ def q17_grid(spark, sf_dir):
 
 @query("q17_segmented")
 def q17_segmented(spark, sf_dir):
-    psi, fit = models.fit_segmented(_response(spark, sf_dir))
-    return models.segmented_table(spark, psi, fit)
+    return models.segmented_table(spark, models.fit_segmented(_response(spark, sf_dir)))
 
 
 # ---- series ------------------------------------------------------------------------------------
@@ -136,9 +137,89 @@ def _court_series(spark, sf_dir) -> DataFrame:
     return panel.complete_series(counts, "mes", ["orgao_julgador_nome"])
 
 
-@query("q18_stl")
+# STL with a fixed yearly pattern as plain joins, for series of two years and more: in every round the loess line of each
+# calendar month's own values, less a smoothed triple moving average, is the seasonal part; the loess line of the rest is the trend
+
+
+def _line_at_sql(out: str, source: str, at: str, group: str, window: str, degree: int) -> str:
+    """Local line of degree 0 or 1 of ``source`` (group, i, n, v) at the positions p of ``at``."""
+    tilt = """+ CASE WHEN sqrt(greatest(sxx / sw - pow(sx / sw, 2), 0)) > 0.001 * greatest(n - 1, 1)
+        THEN (p - sx / sw) / (sxx / sw - pow(sx / sw, 2)) * (sxy / sw - sx / sw * sy / sw) ELSE 0 END""" if degree else ""
+    return f"""
+{out}_d AS (SELECT {group}, a.p, s.i, s.n, s.v, abs(a.p - s.i) AS d FROM {at} a JOIN {source} s USING ({group})),
+{out}_h AS (SELECT {group}, p, list_sort(list(d))[least({window}, any_value(n))::BIGINT]
+              + greatest({window} - any_value(n), 0) // 2 AS h FROM {out}_d GROUP BY {group}, p),
+{out}_w AS (SELECT {group}, p, i, n, v, CASE WHEN d > 0.999 * h THEN 0 WHEN d <= 0.001 * h THEN 1
+              ELSE pow(1 - pow(d / h, 3), 3) END AS w FROM {out}_d JOIN {out}_h USING ({group}, p)),
+{out}_s AS (SELECT {group}, p, any_value(n) AS n, sum(w) AS sw, sum(w * i) AS sx, sum(w * i * i) AS sxx, sum(w * v) AS sy,
+              sum(w * i * v) AS sxy FROM {out}_w GROUP BY {group}, p),
+{out} AS (SELECT {group}, p, sy / sw {tilt} AS f FROM {out}_s)"""
+
+
+def _stepped_sql(out: str, source: str, window: int) -> str:
+    """A line of degree 1 at every second point and the last; the points between are halfway."""
+    return f"""
+{out}_at AS (SELECT serie, i AS p FROM {source} WHERE i % 2 = 0 OR i = n - 1),
+{_line_at_sql(f'{out}_f', source, f'{out}_at', 'serie', str(window), 1)},
+{out} AS (SELECT s.serie, s.i, coalesce(f.f, (b.f + a.f) / 2) AS f FROM {source} s
+  LEFT JOIN {out}_f f ON f.serie = s.serie AND f.p = s.i
+  LEFT JOIN {out}_f b ON b.serie = s.serie AND b.p = s.i - 1 LEFT JOIN {out}_f a ON a.serie = s.serie AND a.p = s.i + 1)"""
+
+
+def _average_sql(out: str, source: str, length: int) -> str:
+    frame = f"OVER (PARTITION BY serie ORDER BY j ROWS BETWEEN CURRENT ROW AND {length - 1} FOLLOWING)"
+    return f"""{out} AS (SELECT serie, j, v FROM (
+  SELECT serie, j, avg(v) {frame} AS v, count(*) {frame} AS c FROM {source}) WHERE c = {length})"""
+
+
+def _stl_sql(rows: str, key: str, month: str, value: str) -> str:
+    """``parts`` (key, month, observed, trend, seasonal, remainder) of gap-free monthly series of at least two years."""
+    steps = [f"""series_ AS (SELECT {key} AS serie, {month} AS mes, {value}::DOUBLE AS y, count(*) OVER (PARTITION BY {key}) AS n,
+      row_number() OVER (PARTITION BY {key} ORDER BY {month}) - 1 AS i FROM {rows}),
+    trend0 AS (SELECT serie, i, 0::DOUBLE AS f FROM series_)"""]
+    for r in (1, 2):
+        steps.append(f"""
+cycle{r} AS (SELECT s.serie, s.i % 12 AS fase, s.i // 12 AS i, y - t.f AS v, s.n AS total,
+               count(*) OVER (PARTITION BY s.serie, s.i % 12) AS n
+             FROM series_ s JOIN trend{r - 1} t ON s.serie = t.serie AND s.i = t.i WHERE s.n >= 24),
+cycle{r}_at AS (SELECT DISTINCT serie, fase, unnest(range(-1, n + 1)) AS p FROM cycle{r}),
+{_line_at_sql(f'cycle{r}_f', f'cycle{r}', f'cycle{r}_at', 'serie, fase', '(10 * any_value(total) + 1)', 0).replace(
+    's.n, s.v', 's.n, s.v, s.total')},
+wide{r} AS (SELECT serie, fase + 12 * (p + 1) AS j, f AS v FROM cycle{r}_f),
+{_average_sql(f'once{r}', f'wide{r}', 12)}, {_average_sql(f'twice{r}', f'once{r}', 12)}, {_average_sql(f'thrice{r}', f'twice{r}', 3)},
+slow{r} AS (SELECT serie, j AS i, v, count(*) OVER (PARTITION BY serie) AS n FROM thrice{r}),
+{_stepped_sql(f'low{r}', f'slow{r}', 13)},
+season{r} AS (SELECT w.serie, l.i, w.v - l.f AS f FROM wide{r} w JOIN low{r} l ON w.serie = l.serie AND w.j = l.i + 12),
+rest{r} AS (SELECT s.serie, s.i, s.n, s.y - q.f AS v FROM series_ s JOIN season{r} q ON s.serie = q.serie AND s.i = q.i),
+{_stepped_sql(f'trend{r}', f'rest{r}', 19)}""")
+    steps.append("""
+pattern AS (SELECT serie, i, avg(f) OVER (PARTITION BY serie, i % 12) AS f FROM season2),
+parts AS (SELECT s.serie, s.mes, s.y AS observed, t.f AS trend, p.f AS seasonal, s.y - t.f - p.f AS remainder
+  FROM series_ s LEFT JOIN trend2 t ON s.serie = t.serie AND s.i = t.i LEFT JOIN pattern p ON s.serie = p.serie AND s.i = p.i)""")
+    return ",\n".join(steps)
+
+
+_LONG_PARTS_SQL = " UNION ALL ".join(
+    f"SELECT serie, strftime(mes, '%Y-%m-%d') AS data, '{c}' AS componente, round({c}, 6) AS valor FROM parts"
+    for c in ("observed", "trend", "seasonal", "remainder"))
+
+_COURT_SERIES_SQL = f"""{px.CASES_SQL},
+counted AS (SELECT orgao_julgador_nome AS vara, CAST(date_trunc('month', data_ajuizamento) AS DATE) AS mes, count(*) AS k
+            FROM cases GROUP BY 1, 2),
+grid AS (SELECT vara, CAST(unnest(generate_series(min(mes), max(mes), INTERVAL 1 MONTH)) AS DATE) AS mes FROM counted GROUP BY 1),
+monthly AS (SELECT vara, mes, coalesce(k, 0) AS k FROM grid LEFT JOIN counted USING (vara, mes))"""
+
+
+def _long_parts(parts: DataFrame, key: str) -> DataFrame:
+    return parts.select(F.col(key).alias("serie"), px.day(F.col("data")).alias("data"), "componente",
+                        F.round("valor", 6).alias("valor"))
+
+
+@query("q18_stl", f"""
+WITH {_COURT_SERIES_SQL}, {_stl_sql('monthly', 'vara', 'mes', 'k')}
+{_LONG_PARTS_SQL}""")
 def q18_stl(spark, sf_dir):
-    return series.decompose(_court_series(spark, sf_dir), "orgao_julgador_nome").drop("motivo")
+    return _long_parts(series.decompose(_court_series(spark, sf_dir), "orgao_julgador_nome"), "orgao_julgador_nome")
 
 
 @query("q18_stl_sum", f"""
@@ -154,6 +235,23 @@ def q18_stl_sum(spark, sf_dir):
         F.round(F.sum(F.when(~observed, F.col("valor"))), 6).alias("soma_partes"))
 
 
+@query("q19_decomposition", f"""
+WITH {DELTAS_SQL},
+cohorts AS (
+  SELECT 'ajuizamento:' || populacao AS vara, mes_ajuizamento AS mes, sum(delta) AS k FROM pops GROUP BY 1, 2
+  UNION ALL
+  SELECT 'decisao:' || populacao, CAST(date_trunc('month', movimento_data_hora) AS DATE), sum(delta) FROM pops GROUP BY 1, 2),
+grid AS (SELECT vara, CAST(unnest(generate_series(min(mes), max(mes), INTERVAL 1 MONTH)) AS DATE) AS mes FROM cohorts GROUP BY 1),
+monthly AS (SELECT vara, mes, coalesce(k, 0) AS k FROM grid LEFT JOIN cohorts USING (vara, mes)),
+{_stl_sql('monthly', 'vara', 'mes', 'k')}
+{_LONG_PARTS_SQL}""")
+def q19_decomposition(spark, sf_dir):
+    """Judge time by filing month and by decision month, decomposed."""
+    deltas = settle(judge_time_deltas(spark, sf_dir))
+    return _long_parts(viscosity.decomposed_cohorts(
+        viscosity.viscosity_by_filing_month(deltas, px.SPEC), viscosity.viscosity_by_decision_month(deltas, px.SPEC)), "serie")
+
+
 def _admission_rate(spark, sf_dir) -> DataFrame:
     decisions = px.table(spark, sf_dir, "orders").select(
         F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("timestamp").alias("data_decisao"))

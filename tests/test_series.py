@@ -103,3 +103,22 @@ def test_density_is_close_to_the_exact_one(spark):
         assert r.densidade == pytest.approx(exact, abs=2e-4)
     area = frame.select(F.lit(0)).count() and np.trapezoid([r.densidade for r in rows], [r.x for r in rows])
     assert 0.97 < area < 1.001
+
+
+@pytest.mark.parametrize("bw", [1e-4, 0.01, 3.0])
+def test_density_of_narrow_and_wide_bandwidths(spark, bw):
+    """Far outliers make the range long: bandwidths under a 512th of it need cells of their own size."""
+    values = np.concatenate([np.random.default_rng(6).normal(0, 1, 300), [-500.0, 900.0, 0.25, 0.25]])
+    frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(3)
+    rows = sorted(series.kernel_density(frame, "x", bw).collect(), key=lambda r: r.x)
+    exact = np.array([np.exp(-((r.x - values) / bw) ** 2 / 2).sum() for r in rows]) / (len(values) * bw * math.sqrt(2 * math.pi))
+    assert len(rows) == 512 and rows[0].x == -500.0
+    # linear binning is off by cell^2 / 8 times the largest second derivative of the kernel, twice
+    bound = (1 / 4) ** 2 / 4 * exact.max() + 1e-9 / bw
+    assert np.abs(np.array([r.densidade for r in rows]) - exact).max() <= bound
+
+
+def test_density_of_nothing(spark):
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert series.kernel_density(empty, "x", 1.0).count() == 0
+    assert series.kernel_density(empty, "x", 1.0).columns == ["x", "densidade"]
