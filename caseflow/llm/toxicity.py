@@ -10,7 +10,8 @@ it stands in at least ``MIN_TOXIC`` toxic training documents and its log odds re
 curve are fitted on a bounded sample (``TRAIN_DOCS`` labelled rows); every text is scored whole, in a narrow stage.
 
 Defined results: a NULL or empty text has no clause and gets the curve's value for no match; without labelled rows the lexicon
-is empty and every score is 0.5 * the smallest rate; repeated rows are scored one by one; a NULL id is never held out.
+is empty and every score is 0.5 * the smallest rate; repeated rows are scored one by one; a NULL id is never held out; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,37 +69,57 @@ class Transducer:
 
 
 SYMBOLS = ("insult", "threat", "target", "negation", "report", "other")
+#: Symbols that add to a clause's score.
+SCORED = ("insult", "threat", "target")
 
 
 def grammar() -> Transducer:
     """insult o threat o target o negation o reported speech."""
     # negation reaches three words far and damps what it meets
-    negation = {(s, x): (max(s - 1, 0), 0.5 if s and x in ("insult", "threat") else 1.0)
-                for s in range(4) for x in SYMBOLS}
+    negation = {(s, x): (max(s - 1, 0), 0.5 if s and x in SCORED else 1.0) for s in range(4) for x in SYMBOLS}
     negation |= {(s, "negation"): (3, 1.0) for s in range(4)}
     # what follows a verb of saying is somebody else's word until the clause ends
-    reported = {(0, "report"): (1, 1.0), (1, "insult"): (1, 0.6), (1, "threat"): (1, 0.6)}
+    reported = {(0, "report"): (1, 1.0)} | {(1, x): (1, 0.6) for x in SCORED}
     # a target makes later insults stronger
     target = {(0, "target"): (1, 1.0), (1, "insult"): (1, 1.25)}
-    # a threat counts once a target is known; else almost nothing
-    threat = {(0, "threat"): (0, 0.05), (0, "target"): (1, 1.0)}
+    # a threat counts where its target is known (state 1); before that almost nothing, and it stays pending (state 2) until a
+    # target pays what is missing; the symbol of a target scores nothing else
+    threat = {(0, "threat"): (2, 0.05), (2, "threat"): (2, 0.05), (0, "target"): (1, 0.0), (1, "target"): (1, 0.0),
+              (2, "target"): (1, 0.95)}
     # a second insult in a clause confirms the first
     insult = {(0, "insult"): (1, 1.0), (1, "insult"): (1, 1.1)}
     machine = Transducer(2, insult)
-    for size, arcs in ((2, threat), (2, target), (4, negation), (2, reported)):
+    for size, arcs in ((3, threat), (2, target), (4, negation), (2, reported)):
         machine = machine.compose(Transducer(size, arcs))
     return machine
 
 
+def inflected(verbs: list[str]) -> set[str]:
+    """The verbs with the regular endings of their form: infinitives in -en, -er, -ar and -ir, others as English verbs."""
+    out = set(verbs)
+    for verb in verbs:
+        stem = verb[:-2]
+        if verb.endswith("en"):
+            out |= {stem + x for x in ("e", "st", "est", "t", "et")}
+        elif verb.endswith("er"):
+            out |= {stem + x for x in ("e", "es", "ons", "ez", "ent", "erai", "é")}
+        elif verb.endswith(("ar", "ir", "re")) and len(verb) > 4:
+            out |= {verb + "é", *(stem + x for x in ("o", "as", "a", "an", "amos", "aron") if verb.endswith("ar"))}
+        else:
+            last = verb[:-1] if verb.endswith("e") else verb
+            out |= {verb + "s", last + "ed", last + "ing", verb + verb[-1] + "ed", verb + verb[-1] + "ing"}
+    return out
+
+
 class Scorer:
     """The grammar with a learned lexicon: document text to clause features."""
 
     def __init__(self, lexicon: dict[str, float]) -> None:
         self.lexicon, self.machine = lexicon, grammar()
         self.fixed = {w: s for words, s in (
-            (NEGATION, "negation"), (REPORT, "report"), (TARGET, "target"), (THREAT, "threat")) for w in words}
+            (inflected(THREAT), "threat"), (NEGATION, "negation"), (REPORT, "report"), (TARGET, "target")) for w in words}
         self.automaton = ahocorasick.Automaton()
-        for key in {k.rstrip("$") for k in lexicon} | set(THREAT):
+        for key in {k.rstrip("$") for k in lexicon} | inflected(THREAT):
             self.automaton.add_word(key, len(key))
         if len(self.automaton):
             self.automaton.make_automaton()
@@ -128,7 +149,7 @@ class Scorer:
                 kind, weight = self.symbol(word)
                 state, factor = self.machine.step(state, kind)
                 own += 1
-                if kind in ("insult", "threat"):
+                if kind in SCORED:
                     score += weight * factor
             if score > 0:
                 scores.append(score)
