@@ -5,13 +5,15 @@ trees, trained here on a bounded sample of documents (``TRAIN_DOCS``), give a sc
 candidates turns into a probability; candidates at ``THRESHOLD`` or more are personal data. Spans that satisfy
 the strict rules of a kind (``base_spans``) always are.
 
-The strict rules also label the training candidates: a candidate that a strict span covers is positive, one that breaks a hard
-rule (a part over 255, a failed checksum, a domain without a dot, digits glued to letters) is negative, and what is neither isn't
-trained on; for those the model decides.
+The strict rules also label the training candidates: a candidate that a strict span covers, or an address that ends in one, is
+positive; one that touches a strict span of another kind or breaks a hard rule (a part over 255, a failed checksum, a domain without
+a dot, digits glued to letters) is negative; and what is neither isn't trained on. Positive addresses also train in the
+forms the strict rule doesn't know (``_variants``). The model decides about every candidate that
+isn't part of a strict span of its kind, also where it extends one or crosses one of another kind.
 
 Defined results: a NULL or empty text has no spans; without both classes in the sample only strict spans are found; overlapping
-accepted spans are all reported and redacted as one, under the first one's kind; repeated rows are treated one by one; other
-columns pass through ``redacted`` unchanged.
+accepted spans are all reported and redacted as one, under the first one's kind; repeated rows are treated one by one; an empty
+table gives no rows; other columns pass through ``redacted`` unchanged.
 """
 
 from __future__ import annotations
@@ -47,6 +49,8 @@ _WIDE = {
     "card": re.compile(r"(?<!\w)[0-9](?:[ .\-/]?[0-9]){12,22}(?!\w)"),
     "phone": re.compile(r"(?<!\w)(?:\+|00)?\(?[0-9](?:[ ().\-/]{0,2}[0-9]){6,16}(?!\w)"),
 }
+_AT = re.compile(r"[\[(]at[\])]", re.I)
+_EDGE = ".!?\"'`*_~|/\\-"  # not part of an address at its ends
 _HINT = {
     "email": re.compile(r"mail|contact|correo|kontakt|courriel", re.I),
     "ip": re.compile(r"\bip\b|host|server|address|adresse", re.I),
@@ -90,15 +94,17 @@ def candidates(text: str | None) -> list[Span]:
     if not text:
         return []
     out: list[Span] = []
-    if "@" in text or "at)" in text or "at]" in text:
-        out += [("email", *m.span()) for m in _WIDE["email"].finditer(text)]
+    if "@" in text or _AT.search(text):
+        for m in _WIDE["email"].finditer(text):
+            own = m[0]
+            out.append(("email", m.start() + len(own) - len(own.lstrip(_EDGE)), m.end() - len(own) + len(own.rstrip(_EDGE))))
     if _DIGIT.search(text):
         out += [(kind, *m.span()) for kind in ("ip", "card", "phone") for m in _WIDE[kind].finditer(text)]
     return out
 
 
-def features(text: str, span: Span) -> list[float]:
-    """Format of the span, and its surroundings."""
+def features(text: str, span: Span, strict: list[Span]) -> list[float]:
+    """Format of the span, and its surroundings; among them, strict spans of another kind that it touches."""
     kind, start, end = span
     own, before, after = text[start:end], text[start - 1:start], text[end:end + 1]
     digits = _NOT_DIGIT.sub("", own)
@@ -113,20 +119,23 @@ def features(text: str, span: Span) -> list[float]:
         float(tail.count(".")), float(len(tail.rpartition(".")[2])), float(sum(_small(g) for g in groups)),
         float(12 < len(digits) < 20 and luhn(digits)), float(own.isascii()), float(before.isspace() or not before),
         float(after.isspace() or not after), float(before.isalnum()), float(after.isalnum()),
-        float(bool(_HINT[kind].search(context))), float(len(set(digits)))]
+        float(bool(_HINT[kind].search(context))), float(len(set(digits))),
+        float(any(k != kind and min(end, b) > max(start, a) for k, a, b in strict))]
 
 
 def weak_label(text: str, span: Span, strict: list[Span]) -> int | None:
-    """1: a strict span of the kind covers most of it; 0: it breaks a hard rule; None: neither is known."""
+    """1: a strict span of the kind covers most of it, or is the end of an address; 0: it breaks a hard rule; None: unknown."""
     kind, start, end = span
     if any(k == kind and 5 * (min(end, b) - max(start, a)) >= 4 * (end - start) for k, a, b in strict):
         return 1
+    if kind == "email" and any(k == kind and start <= a and b == end for k, a, b in strict):
+        return 1
     if any(min(end, b) > max(start, a) for k, a, b in strict if k != kind):
         return 0
     own = text[start:end]
     digits = _NOT_DIGIT.sub("", own)
     if kind == "email":
-        broken = "." not in own.rpartition("@")[2].strip(".") or not own.isascii()
+        broken = "." not in own.rpartition("@")[2].strip(".")
     elif kind == "ip":
         broken = ":" not in own and not all(map(_small, re.findall(r"[0-9]+", own)))
     elif kind == "card":
@@ -205,6 +214,15 @@ class Boosted:
         return 1 / (1 + np.exp(-(a * self.raw(x) + b)))
 
 
+def _variants(text: str, span: Span) -> Iterator[tuple[str, Span]]:
+    """A labelled address as people also write it: with a letter beyond ASCII, and with the sign spelled out."""
+    kind, start, end = span
+    name, _, domain = text[start:end].rpartition("@")
+    if kind == "email" and name:
+        for own in (f"{name}\u00fc{name[:1]}@{domain}", f"{name}(at){domain}", f"{name} [at] {domain}"):
+            yield text[:start] + own + text[end:], (kind, start, start + len(own))
+
+
 def _examples(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(rows):
         x, y = [], []
@@ -213,8 +231,13 @@ def _examples(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for span in candidates(text):
                 label = weak_label(text, span, strict)
                 if label is not None:
-                    x.append(features(text, span))
+                    x.append(features(text, span, strict))
                     y.append(label)
+                for other, own in _variants(text, span) if label else ():
+                    near = slice(max(0, own[1] - 300), own[2] + 300)  # strict spans around it
+                    moved = [(k, a + near.start, b + near.start) for k, a, b in base_spans(other[near])]
+                    x.append(features(other, own, moved))
+                    y.append(1)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32())], names=["x", "y"])
 
 
@@ -231,14 +254,18 @@ def train(docs: DataFrame) -> Boosted | None:
 
 
 def accepted(texts: list[str | None], model: Boosted | None, threshold: float = THRESHOLD) -> list[tuple[list[Span], list[Span]]]:
-    """Per text: strict spans, and all spans (strict ones and accepted candidates no strict span touches)."""
+    """Per text: strict spans, and all spans (strict ones and accepted candidates).
+
+    A candidate equal to or inside a strict span of its kind says nothing new; all others, whatever they extend or cross,
+    are the model's to judge.
+    """
     strict = [base_spans(t) for t in texts]
     open_spans = [
-        (i, span) for i, t in enumerate(texts) for span in (candidates(t) if model else ())
-        if not any(min(span[2], b) > max(span[1], a) for _, a, b in strict[i])]
+        (i, span) for i, t in enumerate(texts) for span in dict.fromkeys(candidates(t) if model else ())
+        if not any(k == span[0] and a <= span[1] and span[2] <= b for k, a, b in strict[i])]
     added: dict[int, list[Span]] = {}
     if open_spans:
-        chance = model.probability(np.array([features(texts[i], span) for i, span in open_spans]))
+        chance = model.probability(np.array([features(texts[i], span, strict[i]) for i, span in open_spans]))
         for (i, span), p in zip(open_spans, chance):
             if p >= threshold:
                 added.setdefault(i, []).append(span)

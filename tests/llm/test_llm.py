@@ -366,6 +366,22 @@ def test_pii(llm):
             assert r.n_phone == sum(k == "phone" for k, _, _ in _strict(texts[r.doc_id][0]))
             assert set(pii_boost.listed(_strict(texts[r.doc_id][0])).split(",")) <= set(r.spans.split(","))
     assert pii_boost.base_spans("9" * 5_000 + ".1.1.1") == []
+
+
+def test_candidates_that_overlap_strict_spans_are_judged(llm):
+    """The trees widen an address beyond its strict form, and reject telephone numbers seen in a card."""
+    model = pii_boost.train(llm.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    wide, card = "Contact jörg.müller@firma.de now", "My card 4111 1111 1111 1111 is old"
+    (strict, every), (own, all_of_card) = pii_boost.accepted([wide, card], model)
+    assert strict == [("email", wide.index("ller@"), 28)] and every == [("email", 8, 28), *strict]
+    assert pii_boost.masked(wide, every) == "Contact [EMAIL] now"
+    assert ("phone", *own[0][1:]) in pii_boost.candidates(card) and all_of_card == own == [("card", 8, 27)]
+    assert pii_boost.accepted([wide], model, threshold=1.1) == [(strict, strict)]
+    found = pii_boost.candidates("name(AT)firma.de, <a.b@c.org>. Or x@y.com!")
+    assert ("email", 0, 16) in found and ("email", 19, 28) in found and ("email", 34, 41) in found
+
+
+def test_pii_masks(llm):
     assert pii_boost.masked("x a@b.cc y", [("email", 2, 8), ("phone", 4, 9)]) == "x [EMAIL]y"
     assert pii_boost.found(odd(llm, [])).count() == 0
 
@@ -384,6 +400,20 @@ def test_grammar_weighs_clauses():
     assert scorer.clauses("idiotic idea") == ([], 0) and scorer.clauses(None) == ([], 0)
 
 
+def test_threats_count_once_a_target_is_known():
+    scorer = toxicity.Scorer({})
+
+    def score(text):
+        return sum(scorer.clauses(text)[0])
+
+    for threat in ("I will kill you", "you I will kill", "they are shooting him", "ich will dich schlagen", "wir schlagen euch"):
+        assert score(threat) == pytest.approx(2.0), threat
+    assert score("I will not kill you") < 1.2 and score("she said I will kill you") < 1.3
+    assert score("time to kill") == score("it was hurting. you") == pytest.approx(0.1)
+    assert score("you and your friends met him") == 0 and score("no threat to them or you") == 0
+    assert {"kills", "stabbed", "stabbing", "destroying", "schlage", "tuent", "matan"} <= toxicity.inflected(toxicity.THREAT)
+
+
 def test_classifiers_on_held_out_rows(llm):
     sf = "/root/testdata/sf0.01"
     docs, marks = (llm.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
