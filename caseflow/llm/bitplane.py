@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,31 +28,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from caseflow.llm.common import batches
+from caseflow.llm.common import batches, sized_slices
 
 BLOCK_IDS = 1 << 14
 CHUNK_IDS = 1 << 16
 END_ID = 2
 FILE = ("part int, seq int, doc_ids array<bigint>, doc_tokens array<bigint>, n_ids bigint, kind string, "
         "planes array<binary>")
+# a space beside other white space (or the character that marks line breaks), and a line break beside some or at an end
+_BLANK = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_TOUCHING = f"\\x00| {_BLANK}|{_BLANK} "
+_BESIDE_BREAK = rf"\n{_BLANK}|{_BLANK}\n|\A\n|\n\z"
 _TAIL = ".,!?;:|&$#*%"
-_WORDS_KEPT = 400_000
+_PIECES_KEPT = 500_000
 _ENCODERS: dict[tuple[str, bool], "WordEncoder"] = {}
 
 
 class WordEncoder:
-    """Encodes by words, each once per worker; the ids are those of whole texts.
+    """Encodes texts by their words, each distinct word once; the ids are those of whole texts.
 
     With ``added``, literals of the vocabulary's added tokens become those tokens, as in ``encode(text,
     add_special_tokens=False)`` of an untouched tokenizer; texts that contain one are encoded whole. Without, they are spelled out.
-    The vocabulary's pre-tokenizer never joins what stands before a single space with what follows it, nor
-    letters with the punctuation after them, so words can be encoded apart. Texts in which a space touches
-    other white space are encoded whole. The cache is emptied at ``_WORDS_KEPT`` words.
+    The vocabulary's pre-tokenizer never joins what stands before a single space or line break with what follows it, nor
+    letters with the punctuation after them, so letters and what follows them can be encoded apart. Texts in which a space touches
+    other white space are encoded whole. Many texts are split, coded and put together as arrays; only pieces not met before go
+    to the tokenizer. The cache is emptied at ``_PIECES_KEPT`` pieces.
     """
 
     def __init__(self, path: str, added: bool = False) -> None:
         import os
-        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -61,46 +66,83 @@ class WordEncoder:
         self.untouched = Tokenizer.from_file(path) if added else None
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self.model = self.tokenizer.model
-        self.joined = re.compile(r" \s|\s ").search
         # the byte alphabet of byte-level vocabularies: printable bytes stand for themselves, others follow from 256
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
-        self.cache: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        core = word.rstrip(_TAIL)
-        if not (core[1:] if core[:1] == " " else core).isalpha():
-            return self._whole(word)
-        if len(core) < len(word):
-            tail = word[len(core):]
-            return self._cached(core) + self._cached(tail)
-        letters = core.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-
-    def _cached(self, word: str) -> bytes:
-        ids = self.cache.get(word)
-        if ids is None:
-            ids = self.cache[word] = self._word(word)
-        return ids
+        self.cache: dict[str, bytes] = {"": b""}
+
+    def _whole(self, text: str) -> np.ndarray:
+        tokenizer = self.untouched if any(x in text for x in self.added) else self.tokenizer
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Put pieces into the cache: letters after a space or none go straight to the model, others as a list of words."""
+        letters = [p for p in pieces if (p[1:] if p[:1] == " " else p).isalpha()]
+        shown = "\n".join(letters).encode("utf-8").decode("latin-1").translate(self.alphabet).split(self.alphabet[10])
+        for piece, own in zip(letters, map(self.model.tokenize, shown)):
+            self.cache[piece] = array("I", [t.id for t in own]).tobytes()
+        if others := list(set(pieces).difference(letters)):
+            found = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            ends = np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(others)), side="right") * 4
+            for piece, start, end in zip(others, [0, *ends.tolist()], ends.tolist()):
+                self.cache[piece] = ids[start:end]
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lone = pc.invert(pc.match_substring_regex(texts, _BESIDE_BREAK))  # all line breaks stand alone: cut there too
+        lists = pc.split_pattern(pc.if_else(lone, pc.replace_substring(texts, "\n", " \0"), texts), pattern=" ")
+        offsets = lists.offsets.to_numpy()
+        first = offsets[:-1]
+        coded = lists.values.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        codes[first] = len(coded.dictionary) + np.arange(len(first))  # the first word of a text has no space before it
+        words = pa.concat_arrays([coded.dictionary, lists.values.take(pa.array(first))])
+        # a word is what stands before it (a space, a line break or nothing), its letters, and what follows them
+        broken = pc.starts_with(words, "\0")
+        words = pc.if_else(broken, pc.utf8_ltrim(words, characters="\0"), words)
+        core = pc.utf8_rtrim(words, characters=_TAIL)
+        apart = pc.utf8_is_alpha(core)
+        nothing, space = pa.scalar("", words.type), pa.scalar(" ", words.type)
+        tails = pc.if_else(apart, pc.replace_substring_regex(words, r"^\p{L}+", ""), nothing)
+        bare = pc.or_(broken, pa.array(np.arange(len(words)) >= len(coded.dictionary)))
+        heads = pc.binary_join_element_wise(
+            pc.if_else(bare, nothing, space), pc.if_else(apart, core, words), nothing)
+        pieces = [*heads.to_numpy(zero_copy_only=False), *tails.to_numpy(zero_copy_only=False), "", "\n"]
+        if len(self.cache) > _PIECES_KEPT:
+            self.cache = {"": b""}
+        if unknown := list(set(pieces).difference(self.cache)):
+            self._learn(unknown)
+        parts = list(map(self.cache.__getitem__, pieces))
+        flat = np.frombuffer(b"".join(parts), dtype="<u4")
+        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
+        start = np.cumsum(size) - size
+        before = 2 * len(words) + broken.to_numpy(zero_copy_only=False)
+        every = np.stack([before[codes], codes, codes + len(words)], axis=1).ravel()
+        own = size[every]
+        ends = np.cumsum(own)
+        place = np.repeat(start[every] - (ends - own), own) + np.arange(ends[-1])
+        return flat[place], np.diff(np.concatenate([[0], ends])[3 * offsets])
+
+    def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
+        """Unsigned 32-bit ids of each text; a NULL text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        special = pc.match_substring_regex(texts, _TOUCHING)
+        for literal in self.added:
+            special = pc.or_(special, pc.match_substring(texts, literal))
+        out: list = [None] * len(texts)
+        plain = np.flatnonzero(~special.to_numpy(zero_copy_only=False))
+        if len(plain):
+            ids, sizes = self._by_words(texts.take(pa.array(plain)))
+            for i, own in zip(plain.tolist(), np.split(ids, np.cumsum(sizes)[:-1])):
+                out[i] = own
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._whole(texts[i].as_py())
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of a text."""
-        if not text:
-            return b""
-        if any(x in text for x in self.added):
-            return np.array(self.untouched.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if self.joined(text):
-            return self._whole(text)
-        if len(self.cache) > _WORDS_KEPT:
-            self.cache.clear()
-        words = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
-        for word in set(words).difference(self.cache):
-            self._cached(word)
-        return b"".join(map(self.cache.__getitem__, words))
+        return self.encode_many(pa.array([text], pa.string()))[0].tobytes()
 
 
 def _encoder(path: str, added: bool) -> WordEncoder:
@@ -138,26 +180,27 @@ def from_planes(planes: list[bytes], n_ids: int, kind: str = "byte") -> np.ndarr
 def _chunks(vocabulary: str, added: bool, end_id: int, kind: str, chunk_ids: int, schema: pa.Schema):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seq = _encoder(vocabulary, added), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
         docs, sizes, held, total = [], [], [], 0
 
         def chunk() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), dtype="<u4")
+            ids = np.concatenate(held)
             row = {"part": part, "seq": seq, "doc_ids": docs, "doc_tokens": sizes, "n_ids": len(ids),
                    "kind": kind, "planes": to_planes(ids, kind)}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for batch in batches(rows):
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for doc, text in zip(ids, texts):
-                own = encoder.encode(text) + end
-                if docs and total + len(own) // 4 > chunk_ids:
-                    yield chunk()
-                    docs, sizes, held, total, seq = [], [], [], 0, seq + 1
-                docs.append(doc)
-                sizes.append(len(own) // 4)
-                held.append(own)
-                total += len(own) // 4
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for group in sized_slices(pc.binary_length(texts).to_pylist()):
+                encoded = encoder.encode_many(texts.slice(group.start, len(group)))
+                for doc, own in zip(ids[group.start:group.stop], encoded):
+                    if docs and total + len(own) + 1 > chunk_ids:
+                        yield chunk()
+                        docs, sizes, held, total, seq = [], [], [], 0, seq + 1
+                    docs.append(doc)
+                    sizes.append(len(own) + 1)
+                    held += [own, end]
+                    total += len(own) + 1
         if docs:
             yield chunk()
 

@@ -93,17 +93,22 @@ def plain_words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 
+def sized_slices(sizes: list[int | None], limit: int = SLICE_CHARS) -> Iterator[range]:
+    """Consecutive index ranges whose sizes add up to about ``limit``; a larger one stands alone."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        n = size or 0
+        if i > start and total + n > limit:
+            yield range(start, i)
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield range(start, len(sizes))
+
+
 def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[range]:
     """Consecutive index ranges of about ``limit`` characters; a longer text stands alone."""
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if i > start and size + n > limit:
-            yield range(start, i)
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield range(start, len(texts))
+    return sized_slices([len(text) if text else 0 for text in texts], limit)
 
 
 def fold(column: str, folds: int) -> Column:
