@@ -5,10 +5,11 @@ up and verified word by word. All stages are narrow: nothing of the corpus is sh
 
 The benchmark is indexed in blocks of ``BLOCK_CHARS`` characters, so that a broadcast index has a
 size bound whatever the benchmark's size; each further block is one more narrow pass that adds to the
-spans found so far.
+spans found so far, which are stored after every ``BLOCKS_AT_ONCE`` of them.
 
 Defined results: a NULL or empty text has no words and no hits; an item without words has no window; an
-item under ``n`` words is one window; repeated rows are treated one by one; other columns pass through.
+item under ``n`` words is one window; repeated rows are treated one by one; an empty table gives no rows, an empty
+benchmark no hits; other columns pass through, whatever they are called.
 """
 
 from __future__ import annotations
@@ -23,11 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from caseflow.llm.common import batches, plain_words, slices
+from caseflow.llm.common import batches, new_name, plain_words, slices, written
 
 WINDOW = 10
 #: Benchmark characters indexed, and so broadcast, at a time (index: about 20 bytes a character).
 BLOCK_CHARS = 4_000_000
+#: Blocks looked up in one pass before its result is stored.
+BLOCKS_AT_ONCE = 4
+STATE_NAME = "_state"
 STATE = T.StructType([
     T.StructField("spans", T.ArrayType(T.IntegerType())),
     T.StructField("items", T.ArrayType(T.StringType())),
@@ -102,11 +106,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _pass(column: str, index, schema: pa.Schema):
+def _pass(column: str, mark: str, index, schema: pa.Schema):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             texts = batch.column(column).to_pylist()
-            before = batch.column("_state").to_pylist()
+            before = batch.column(mark).to_pylist()
             state = []
             for part in slices(texts):
                 words = [plain_words(texts[i]) for i in part]
@@ -117,30 +121,34 @@ def _pass(column: str, index, schema: pa.Schema):
                         "spans": _merged(spans),
                         "items": sorted({*old["items"], *(x for _, _, items in found for x in items)}),
                         "n_words": len(own)})
-            columns = [*batch.columns[:-1], pa.array(state, type=schema.field("_state").type)]
+            columns = [*batch.columns[:-1], pa.array(state, type=schema.field(len(schema) - 1).type)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", n: int = WINDOW) -> DataFrame:
-    """``docs`` with ``_state``: word spans inside benchmark windows, their items, the word count."""
+def hits(
+    docs: DataFrame, benchmark: DataFrame, mark: str = STATE_NAME, text: str = "text", item: str = "item_id", n: int = WINDOW,
+) -> DataFrame:
+    """``docs`` with a last column ``mark``: word spans inside benchmark windows, their items, the word count."""
     spark = docs.sparkSession
     bench = benchmark.select(F.col(item).alias("item"), F.col("text").alias("words"))
     chars = bench.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = max(1, -(-chars // BLOCK_CHARS))
-    out = docs.withColumn("_state", F.lit(None).cast(STATE))
+    out = docs.withColumn(mark, F.lit(None).cast(STATE))
     schema = to_arrow_schema(out.schema)
     for block in range(blocks):
         own = bench.filter(F.pmod(F.xxhash64("item", "words"), F.lit(blocks)) == block)
         index = spark.sparkContext.broadcast(WindowIndex([(r["item"], r["words"]) for r in own.collect()], n))
-        out = out.mapInArrow(_pass(text, index, schema), out.schema)
+        out = out.mapInArrow(_pass(text, mark, index, schema), out.schema)
+        if block % BLOCKS_AT_ONCE == BLOCKS_AT_ONCE - 1 and block < blocks - 1:
+            out = written(out)  # so many indexes are held at a time, not all of them
     return out
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: word and hit counts, the items found, their digest."""
-    state = hits(docs.select("doc_id", "text"), benchmark).select("doc_id", "_state.*")
+    state = hits(docs.select("doc_id", "text"), benchmark).select("doc_id", f"{STATE_NAME}.*")
     inside = F.aggregate(F.sequence(F.lit(1), F.size("spans"), F.lit(2)), F.lit(0),
                          lambda total, k: total + F.element_at("spans", k + F.lit(1)) - F.element_at("spans", k))
     n_hit = F.when(F.size("spans") > 0, inside).otherwise(0).cast("long")
@@ -165,11 +173,11 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, drop_share: float = 0.5) -> D
     A document whose words are to more than ``drop_share`` inside windows goes; from the others the hit spans
     are cut and ``n_chars`` follows. All columns of ``docs`` are returned.
     """
-    schema = to_arrow_schema(docs.schema)
+    schema, mark = to_arrow_schema(docs.schema), new_name(docs, STATE_NAME)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            states = batch.column("_state").to_pylist()
+            states = batch.column(mark).to_pylist()
             keep = [sum(s["spans"][1::2]) - sum(s["spans"][::2]) <= drop_share * s["n_words"] for s in states]
             kept = batch.filter(pa.array(keep, type=pa.bool_()))
             states = [s for s, k in zip(states, keep) if k]
@@ -183,4 +191,4 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, drop_share: float = 0.5) -> D
                     type=schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in schema.names], schema=schema)
 
-    return hits(docs, benchmark).mapInArrow(run, docs.schema)
+    return hits(docs, benchmark, mark).mapInArrow(run, docs.schema)
