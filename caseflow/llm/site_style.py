@@ -1,18 +1,21 @@
 """Main text of web pages by site style trees.
 
 The pages of a host are merged into one tree of presentation: a node is the chain of block elements (tag, class, id) that leads
-to a block. Two entropies rate a node over the host's m pages. Presentation: how evenly its child sequences vary. Content: a
-text on k of the pages carries log k / log m of entropy, so what repeats everywhere says nothing and unique text says most.
-Their mean, pulled towards 1 on hosts with few pages, is multiplied by a prior that elements and names give (menus, headers,
-footers, notices, adverts, forms and comments: 0; outside of a page's article: OUTSIDE). Branches under ``LEAST`` are
-removed from every page. Blocks directly in the article are its text and stay. A name, form or label around over half of the
-text in articles (of all text, on pages without one) is the page's own frame and not taken as noise.
+to a block. Two entropies rate a node over the k pages that have it. Presentation: how evenly its child sequences vary. Content:
+a text on j of the pages carries log j / log k of entropy, so what repeats everywhere says nothing and unique text says most.
+The rating is evidence for or against a branch, EVIDENCE * (1 - 1 / k) * (importance - 1/2), and adds to a prior by place: a
+block directly in an article or main element, deeper in it, outside of the page's articles, or on a page without one. Branches
+whose sum is negative are removed from every page, inside an article as well as outside: main text beside a teaser article
+stays, a box that repeats in the articles of nine pages goes. Menus, headers, footers, adverts, forms and comments, by element or
+name, have a prior that no evidence outweighs, as the adverts and footers of real pages often carry unique text; a name, form
+or label around over half of the text in articles (of all text, on pages without one) is the page's own frame and not taken
+as noise. A page of which nothing would be left, such as one of a host of copies, keeps what the priors leave.
 
 All tree nodes are counted by aggregations over (host, node, text), combined before the shuffle; a host is never gathered in
-one task, and the pages are joined with their host's list of removed nodes by Spark's own size check.
+one task, and the pages are joined with their host's list of rated nodes by Spark's own size check.
 
 Defined results: NULL or empty html gives an empty text; a NULL url is a host of its own; repeated rows count as pages of their own;
-markup that breaks off is read as far as it goes; other columns are ignored.
+markup that breaks off is read as far as it goes; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +32,9 @@ from pyspark.sql import functions as F
 
 from caseflow.llm.common import batches, written
 
-LEAST = 0.25
-OUTSIDE = 0.2
-FEW_PAGES = 10.0
+#: Log odds of a block by its place, and the weight of the tree's evidence for or against it.
+DIRECT, INSIDE, OUTSIDE, ALONE = 3.0, 2.0, -1.5, 1.0
+EVIDENCE = 7.0
 # fixed values: elements and names of HTML pages
 BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
             "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -140,14 +143,15 @@ def host(column: str = "url"):
 def _nodes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tree nodes of pages: (host, node, kind, feature, pages), summed inside the batch.
 
-    kind 0: a page has the node (feature 0); 1: a text under it; 2: its sequence of children.
+    kind 0: a page has the node (feature 0); 1: a text under it; 2: its sequence of children. Blocks known as noise are no part
+    of the tree.
     """
     for batch in batches(rows):
         total: Counter = Counter()
         for site, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             children: dict[str, list[str]] = {}
             texts: dict[str, set[int]] = {}
-            for block in blocks(page):
+            for block in (b for b in blocks(page) if not b.noise):
                 texts.setdefault(block.path, set()).add(xxhash.xxh3_64_intdigest(block.text) >> 1)
                 parent, _, own = block.path.rpartition("/")
                 children.setdefault(parent, []).append(own)
@@ -166,7 +170,7 @@ def _nodes(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, pages, importance): the entropy rating of each node that holds text, from 0 to 1."""
+    """(host, node, pages, importance): the entropy rating of each node that holds text, from 0 to 1; 1 on a single page."""
     rows = pages.select(host().alias("host"), "html").mapInArrow(
         _nodes, "host string, node string, kind int, feature long, pages long")
     counts = rows.groupBy("host", "node", "kind", "feature").agg(F.sum("pages").alias("k"))
@@ -182,32 +186,48 @@ def style_tree(pages: DataFrame) -> DataFrame:
     # entropy of the child sequences: log n - sum(k log k) / n, over log m
     shape = F.when(F.col("shapes") > 1, F.least(F.lit(1.0), (F.log("shapes") - F.col("shape_bits") / F.col("shapes")) / log_m))
     rating = F.when(shape.isNull(), content).otherwise(F.greatest(content, (content + shape) / 2))
-    trust = F.col("pages") / (F.col("pages") + FEW_PAGES)
-    return sums.select("host", "node", "pages", (1 - trust + trust * rating).alias("importance"))
+    return sums.select("host", "node", "pages", rating.alias("importance"))
 
 
-def main_text(page: str | None, removed: set[str]) -> str:
-    """The blocks of a page that the tree and the priors leave."""
-    found = blocks(page)
+def main_text(page: str | None, evidence) -> str:
+    """The blocks of a page that their priors and the evidence for their nodes (node to log odds, or none) leave."""
+    found, known = blocks(page), dict(evidence or ())
     has_article = any(b.article for b in found)
-    return "\n".join(
-        b.text for b in found
-        if not b.noise and (b.direct or b.path not in removed) and (b.article or not has_article or OUTSIDE >= LEAST))
+
+    def odds(block: Block) -> float:
+        place = DIRECT if block.direct else INSIDE if block.article else OUTSIDE if has_article else ALONE
+        return place + known.get(block.path, 0.0)
+
+    own = [b for b in found if not b.noise]
+    kept = [b for b in own if odds(b) >= 0]
+    if not kept and known:
+        kept = [b for b in own if b.article or not has_article]
+    return "\n".join(b.text for b in kept)
+
+
+def evidence_of(pages: DataFrame) -> DataFrame:
+    """(host, node, odds) of the nodes whose evidence can turn a prior: one of their templates' repeated or telling branches."""
+    odds = F.lit(EVIDENCE) * (1 - 1 / F.col("pages")) * (F.col("importance") - 0.5)
+    in_article = F.col("node").rlike(r"(^|/)(article|main)[./]")
+    rated = style_tree(pages).select("host", "node", odds.alias("odds"), in_article.alias("in_article"))
+    turns = F.when(F.col("in_article"), F.col("odds") < -INSIDE).otherwise(
+        (F.col("odds") < -ALONE) | (F.col("odds") >= -OUTSIDE))
+    return rated.filter(turns).select("host", "node", "odds")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
-    low = style_tree(pages).filter(F.col("importance") < LEAST)
-    lists = written(low.groupBy("host").agg(F.collect_set("node").alias("removed")))  # nodes of one site's templates
+    turning = F.map_from_entries(F.collect_list(F.struct("node", "odds"))).alias("evidence")
+    lists = written(evidence_of(pages).groupBy("host").agg(turning))  # nodes of one site's templates
     joined = pages.select("page_id", "url", "html").withColumn("host", host()).join(lists, "host", "left")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            text = [main_text(p, set(r or ())) for p, r in
-                    zip(batch.column("html").to_pylist(), batch.column("removed").to_pylist())]
+            text = [main_text(p, r) for p, r in
+                    zip(batch.column("html").to_pylist(), batch.column("evidence").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(text, pa.string()),
                  pa.array([len(t) for t in text], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.select(F.col("page_id").cast("long"), "url", "html", "removed").mapInArrow(
+    return joined.select(F.col("page_id").cast("long"), "url", "html", "evidence").mapInArrow(
         run, "page_id long, url string, text string, n_chars long")
