@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from caseflow.operators.skew import sized
 from caseflow.session import settle
 
+ROUNDS_AT_ONCE = 3  # doubling rounds planned together: chains of up to eight codes are found in one go
 LEVELS = 5  # levels that also get columns of their own; the chain itself has no limit
 
 
@@ -32,27 +33,31 @@ def ancestor_levels(taxonomy: DataFrame) -> DataFrame:
     nome_1..5 are its first five levels.  ``chain_complete`` tells whether the climb ended at a node without parent.
 
     Chains double in length every round, so a taxonomy of any depth takes a logarithmic number of equi-joins on the
-    pointer; Spark broadcasts the taxonomy while it is under its size threshold.  A cycle raises ``TaxonomyCycle``.
+    pointer, stored after every ``ROUNDS_AT_ONCE``; Spark broadcasts the taxonomy while it is under its size threshold.
+    A cycle raises ``TaxonomyCycle``.
     """
     chain = settle(taxonomy.select(
         F.col("id").alias("movimento_codigo"),
         F.array(F.struct(F.col("id").alias("_id"), F.col("nome").alias("_nome"))).alias("_chain"),
         F.col("cod_item_pai").alias("_up")))
     while True:
-        above = chain.select(
-            F.col("movimento_codigo").alias("_from"), F.col("_chain").alias("_more"), F.col("_up").alias("_next"))
-        climbed = chain.join(above, F.col("_up") == F.col("_from"), "left")
-        known = F.col("_from").isNotNull()
-        # a missing parent keeps its pointer, which marks the chain incomplete
-        chain = settle(climbed.select(
-            "movimento_codigo", known.alias("_moved"),
-            F.when(known, F.concat("_chain", "_more")).otherwise(F.col("_chain")).alias("_chain"),
-            F.when(known, F.col("_next")).otherwise(F.col("_up")).alias("_up")))
+        for _ in range(ROUNDS_AT_ONCE):
+            above = chain.select(
+                F.col("movimento_codigo").alias("_from"), F.col("_chain").alias("_more"), F.col("_up").alias("_next"))
+            climbed = chain.join(above, F.col("_up") == F.col("_from"), "left")
+            known = F.col("_from").isNotNull()
+            # a missing parent keeps its pointer, which marks the chain incomplete
+            longer = climbed.select(
+                "movimento_codigo", known.alias("_moved"),
+                F.when(known, F.concat("_chain", "_more")).otherwise(F.col("_chain")).alias("_chain"),
+                F.when(known, F.col("_next")).otherwise(F.col("_up")).alias("_up"))
+            chain = longer.drop("_moved")
+        stored = settle(longer)
         distinct = F.size(F.array_distinct(F.transform("_chain", lambda x: x["_id"])))
-        moved, cyclic = chain.agg(F.max("_moved"), F.min(F.when(distinct < F.size("_chain"), F.col("movimento_codigo")))).first()
+        moved, cyclic = stored.agg(F.max("_moved"), F.min(F.when(distinct < F.size("_chain"), F.col("movimento_codigo")))).first()
         if cyclic is not None:
             raise TaxonomyCycle(f"the parents of code {cyclic} form a cycle")
-        chain = chain.drop("_moved")
+        chain = stored.drop("_moved")
         if not moved:
             break
     root_first = chain.withColumn("_chain", F.reverse("_chain"))
