@@ -120,36 +120,102 @@ def decompose(series: DataFrame, key: str, month: str = "mes", value: str = "n")
     return series.select(key, month, value).groupBy(key).applyInPandas(one, schema)
 
 
+def _span_size(n: int, span: float) -> int:
+    return max(min(int(math.floor(n * span + 1e-5)), n), 3)
+
+
+def _local_rows(x: np.ndarray, weights: np.ndarray, at: float, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """How the values add up to the level and the slope at one point of the local quadratic through its ``q`` neighbours."""
+    distance = np.abs(x - at)
+    scale = max(float(np.partition(distance, q - 1)[q - 1]), 1e-12)
+    root = np.sqrt(_tricube(distance, np.full(len(x), scale)) * weights)[:, None]
+    rows = np.linalg.pinv(np.vander((x - at) / scale, 3, increasing=True) * root) * root.T
+    return rows[0], rows[1] / scale
+
+
+def _with_errors(y: np.ndarray, weights: np.ndarray, fitted: np.ndarray, trace: float, squares: np.ndarray, spread: np.ndarray):
+    """Standard errors of a linear smoother from its trace and, per row, the sums of squares with and without weights."""
+    freedom = len(y) - 2 * trace + float(squares.sum())
+    scale2 = float(np.sum(weights * (y - fitted) ** 2) / freedom) if freedom > 1e-9 else float("nan")
+    return fitted, np.sqrt(np.maximum(scale2 * spread, 0.0))
+
+
 def local_quadratic(
     x: np.ndarray, y: np.ndarray, weights: np.ndarray, span: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """LOESS of degree 2 at every x with standard errors, by direct computation."""
-    n = len(x)
-    q = max(min(int(math.floor(n * span + 1e-5)), n), 3)
-    operator = np.zeros((n, n))
+    """LOESS of degree 2 at every x with standard errors, by direct computation, one row of the smoother at a time."""
+    n, q = len(x), _span_size(len(x), span)
+    fitted, squares, spread, trace = np.empty(n), np.empty(n), np.empty(n), 0.0
+    inverse = 1 / np.where(weights > 0, weights, np.inf)
     for i in range(n):
-        distance = np.abs(x - x[i])
-        reach = np.sort(distance)[q - 1]
-        kernel = _tricube(distance, np.full(n, max(reach, 1e-12))) * weights
-        scale = max(reach, 1e-12)
-        design = np.vander((x - x[i]) / scale, 3, increasing=True)
-        root = np.sqrt(kernel)[:, None]
-        operator[i] = (np.linalg.pinv(design * root) * root.T)[0]
-    fitted = operator @ y
-    residual = np.eye(n) - operator
-    freedom = np.trace(residual @ residual.T)
-    scale2 = float(np.sum(weights * (y - fitted) ** 2) / freedom) if freedom > 1e-9 else float("nan")
-    errors = np.sqrt(scale2 * (operator ** 2 / np.where(weights > 0, weights, np.inf)).sum(axis=1))
-    return fitted, errors
+        row, _ = _local_rows(x, weights, x[i], q)
+        fitted[i], squares[i], spread[i] = row @ y, row @ row, row ** 2 @ inverse
+        trace += row[i]
+    return _with_errors(y, weights, fitted, trace, squares, spread)
+
+
+def tree_vertices(x: np.ndarray, most: int) -> np.ndarray:
+    """Cell borders of a k-d tree over sorted positions: cells are halved at their median until they hold ``most`` points."""
+    margin = 0.1 * max(x[-1] - x[0], 1e-10 * max(abs(x[0]), abs(x[-1])) + 1e-30)
+    borders, todo = [x[0] - margin, x[-1] + margin], [(0, len(x))]
+    while todo:
+        start, end = todo.pop()
+        middle = (start + end) // 2
+        if end - start <= most or x[middle - 1] == x[middle]:
+            continue
+        borders.append((x[middle - 1] + x[middle]) / 2)
+        todo += [(start, middle), (middle, end)]
+    return np.unique(borders)
+
+
+def blended_quadratic(
+    x: np.ndarray, y: np.ndarray, weights: np.ndarray, span: float, cell: float = 0.2
+) -> tuple[np.ndarray, np.ndarray]:
+    """LOESS of degree 2 with standard errors, fitted at the vertices of a k-d tree and blended in between.
+
+    Cells hold ``span * cell`` of the points at most, so there are a few dozen vertices whatever the length of the series.
+    Level and slope at both ends of a cell make the cubic inside it. The smoother is the product of that blend (four
+    numbers per point) and the vertices' rows, so its trace and row sums of squares take memory in proportion to the points.
+    """
+    order = np.argsort(x, kind="stable")
+    x, y, weights = x[order], y[order], weights[order]
+    n, q = len(x), _span_size(len(x), span)
+    borders = tree_vertices(x, max(int(n * span * cell), 1))
+    rows = np.array([_local_rows(x, weights, v, q) for v in borders])  # vertices, (level, slope), points
+    left = np.clip(np.searchsorted(borders, x, side="right") - 1, 0, len(borders) - 2)
+    width = borders[left + 1] - borders[left]
+    t = (x - borders[left]) / width
+    blend = np.column_stack([(1 - t) ** 2 * (1 + 2 * t), t * (1 - t) ** 2 * width, t ** 2 * (3 - 2 * t), -t ** 2 * (1 - t) * width])
+    ends = np.stack([rows[left, 0, np.arange(n)], rows[left, 1, np.arange(n)],
+                     rows[left + 1, 0, np.arange(n)], rows[left + 1, 1, np.arange(n)]], axis=1)
+    trace = float((blend * ends).sum())
+    level, slope = rows[:, 0] @ y, rows[:, 1] @ y
+    fitted = (blend * np.column_stack([level[left], slope[left], level[left + 1], slope[left + 1]])).sum(axis=1)
+    inverse = 1 / np.where(weights > 0, weights, np.inf)
+
+    def row_sums(by: np.ndarray) -> np.ndarray:
+        """Per point the sum of squares of its row: the blend around the products of its cell's four vertex rows."""
+        own = [np.concatenate([rows[k], rows[k + 1]]) for k in range(len(borders) - 1)]
+        products = np.array([(r * by) @ r.T for r in own])
+        return np.einsum("ia,iab,ib->i", blend, products[left], blend)
+
+    fitted, errors = _with_errors(y, weights, fitted, trace, row_sums(np.ones(n)), row_sums(inverse))
+    back = np.argsort(order, kind="stable")
+    return fitted[back], errors[back]
 
 
 def smooth(
-    series: DataFrame, key: str, month: str, value: str, span: float = 0.75, weight: str | None = None
+    series: DataFrame, key: str, month: str, value: str, span: float = 0.75, weight: str | None = None,
+    surface: str = "interpolate",
 ) -> DataFrame:
-    """ML9: LOESS line and standard error of each monthly series."""
+    """ML9: LOESS line and standard error of each monthly series.
+
+    ``surface``: "interpolate" fits at the vertices of a k-d tree and blends in between, "direct" fits at every point.
+    """
     schema = (f"`{key}` {series.schema[key].dataType.simpleString()}, data date, "
               "observado double, ajuste double, erro_padrao double")
     columns = [key, month, value] + ([weight] if weight else [])
+    fit = {"interpolate": blended_quadratic, "direct": local_quadratic}[surface]
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(month)
@@ -157,7 +223,7 @@ def smooth(
         x = (days - days.iloc[0]).dt.days.to_numpy(dtype=float)
         y = pdf[value].to_numpy(dtype=float)
         w = pdf[weight].to_numpy(dtype=float) if weight else np.ones(len(y))
-        fitted, errors = local_quadratic(x, y, w, span)
+        fitted, errors = fit(x, y, w, span)
         return pd.DataFrame({key: pdf[key].to_numpy(), "data": pdf[month].to_numpy(), "observado": y,
                              "ajuste": fitted, "erro_padrao": errors})
 

@@ -274,21 +274,49 @@ m AS (SELECT serie, x0, sum(k) AS s0, sum(k*u) AS s1, sum(k*u*u) AS s2, sum(k*u*
      / (s0*(s2*s4-s3*s3) - s1*(s1*s4-s3*s2) + s2*(s1*s3-s2*s2)) AS ajuste FROM m)"""
 
 
-@query("q18_loess", f"""
-WITH rate AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) FILTER (WHERE o_orderstatus = 'F') AS k,
+# rows of the smoother: how each month adds to the fit at another one; their trace and sums of squares give the errors
+_LOESS_ERRORS_SQL = """
+entries AS (SELECT w.x0, d.x, p.w, w.k * ((s2*s4-s3*s3) + w.u * (s3*s2-s1*s4) + w.u*w.u * (s1*s3-s2*s2))
+     / (s0*(s2*s4-s3*s3) - s1*(s1*s4-s3*s2) + s2*(s1*s3-s2*s2)) AS l
+  FROM (SELECT d.serie, d.x0, d.x, (d.x - d.x0) / r.h AS u, d.w * pow(1 - pow(least(d.d / r.h, 1), 3), 3) AS k
+        FROM dist d JOIN reach r ON d.serie = r.serie AND d.x0 = r.x0) w
+  JOIN m ON m.x0 = w.x0 JOIN dist d ON d.x0 = w.x0 AND d.x = w.x JOIN pts p ON p.x = w.x),
+norms AS (SELECT x0, sum(l * l) AS squares, sum(l * l / w) AS spread, sum(CASE WHEN x = x0 THEN l ELSE 0 END) AS own
+          FROM entries GROUP BY x0),
+scale2 AS (SELECT sum(p.w * pow(p.y - s.ajuste, 2)) / (count(*) - 2 * sum(n.own) + sum(n.squares)) AS s2
+           FROM pts p JOIN smoothed s ON s.x0 = p.x JOIN norms n ON n.x0 = p.x)"""
+
+
+_RATE_POINTS_SQL = """rate AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) FILTER (WHERE o_orderstatus = 'F') AS k,
                      count(*) AS total FROM orders GROUP BY 1),
 pts AS (SELECT 'F' AS serie, CAST(m AS DATE) AS m, CAST(date_diff('day', min(CAST(m AS DATE)) OVER (), CAST(m AS DATE)) AS DOUBLE) AS x,
-               k / total AS y, CAST(total AS DOUBLE) AS w FROM rate WHERE k > 0),
+               k / total AS y, CAST(total AS DOUBLE) AS w FROM rate WHERE k > 0)"""
+
+
+@query("q18_loess", f"""
+WITH {_RATE_POINTS_SQL},
 {_loess_sql('pts', 0.3, 'smoothed')}
 SELECT 'F' AS status, strftime(p.m, '%Y-%m-%d') AS data, round(p.y, 6) AS observado, round(s.ajuste, 6) AS ajuste
 FROM pts p JOIN smoothed s ON s.x0 = p.x""")
 def q18_loess(spark, sf_dir):
     """Smoothed monthly admission rate, span 0.3, months weighted by their size."""
-    line = series.smooth(_admission_rate(spark, sf_dir), "status", "mes", "prop", span=0.3, weight="total")
+    line = series.smooth(_admission_rate(spark, sf_dir), "status", "mes", "prop", span=0.3, weight="total", surface="direct")
     return line.select("status", px.day(F.col("data")).alias("data"), F.round("observado", 6).alias("observado"),
                        F.round("ajuste", 6).alias("ajuste"))
 
 
+@query("q18_loess_se", f"""
+WITH {_RATE_POINTS_SQL},
+{_loess_sql('pts', 0.3, 'smoothed')}, {_LOESS_ERRORS_SQL}
+SELECT strftime(p.m, '%Y-%m-%d') AS data, round(s.ajuste, 6) AS ajuste, round(sqrt(s2 * n.spread), 6) AS erro_padrao
+FROM pts p JOIN smoothed s ON s.x0 = p.x JOIN norms n ON n.x0 = p.x, scale2""")
+def q18_loess_se(spark, sf_dir):
+    """The line fitted at every month, with its standard errors."""
+    line = series.smooth(_admission_rate(spark, sf_dir), "status", "mes", "prop", span=0.3, weight="total", surface="direct")
+    return line.select(px.day(F.col("data")).alias("data"), F.round("ajuste", 6).alias("ajuste"),
+                       F.round("erro_padrao", 6).alias("erro_padrao"))
+
+
 @query("q18_loess_errors")
 def q18_loess_errors(spark, sf_dir):
     """The same line with its standard errors, and one line per court at the default span."""

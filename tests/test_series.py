@@ -62,7 +62,7 @@ def test_loess_reproduces_a_quadratic_and_ignores_zero_weights(spark):
 def test_loess_matches_least_squares_at_each_point(spark):
     rng = np.random.default_rng(2)
     y = rng.random(30)
-    rows = sorted(series.smooth(frame_of(spark, {"a": y}), "vara", "mes", "n", span=0.4).collect(), key=lambda r: r.data)
+    rows = sorted(series.smooth(frame_of(spark, {"a": y}), "vara", "mes", "n", span=0.4, surface="direct").collect(), key=lambda r: r.data)
     x = np.array([(m - months(1)[0]).days for m in months(30)], dtype=float)
     q = int(30 * 0.4)
     for i in (0, 7, 29):
@@ -122,3 +122,68 @@ def test_density_of_nothing(spark):
     empty = spark.createDataFrame([(None,)], "x double")
     assert series.kernel_density(empty, "x", 1.0).count() == 0
     assert series.kernel_density(empty, "x", 1.0).columns == ["x", "densidade"]
+
+
+def direct_operator(x, weights, span):
+    """The whole smoother as an n x n matrix, from weighted least squares at every point."""
+    q = max(min(int(len(x) * span + 1e-5), len(x)), 3)
+    out = np.empty((len(x), len(x)))
+    for i, at in enumerate(x):
+        d = np.abs(x - at)
+        k = np.clip(1 - (d / np.sort(d)[q - 1]) ** 3, 0, None) ** 3 * weights
+        design = np.vander(x - at, 3, increasing=True)
+        out[i] = np.linalg.solve((design * k[:, None]).T @ design, (design * k[:, None]).T)[0]
+    return out
+
+
+def test_loess_errors_match_the_whole_smoother():
+    rng = np.random.default_rng(12)
+    x, weights = np.sort(rng.uniform(0, 100, 80)), rng.uniform(0.5, 3, 80)
+    y = np.sin(x / 15) + rng.normal(0, 0.2, 80)
+    smoother = direct_operator(x, weights, 0.5)
+    rest = np.eye(80) - smoother
+    scale2 = np.sum(weights * (rest @ y) ** 2) / np.trace(rest @ rest.T)
+    fitted, errors = series.local_quadratic(x, y, weights, 0.5)
+    assert fitted == pytest.approx(smoother @ y, abs=1e-9)
+    assert errors == pytest.approx(np.sqrt(scale2 * (smoother ** 2 / weights).sum(axis=1)), rel=1e-6)
+
+
+@pytest.mark.parametrize("n, span", [(60, 0.75), (400, 0.3), (3, 0.75), (7, 0.9)])
+def test_blended_loess(n, span):
+    rng = np.random.default_rng(n)
+    x = np.sort(rng.choice(np.arange(5 * n), n, replace=False)).astype(float)
+    weights = rng.uniform(0.5, 2, n)
+    y = np.cos(x / n) + rng.normal(0, 0.1, n)
+    fitted, errors = series.blended_quadratic(x, y, weights, span)
+    exact, exact_errors = series.local_quadratic(x, y, weights, span)
+    borders = series.tree_vertices(x, max(int(n * span * 0.2), 1))
+    assert len(borders) <= 2 + 4 / (span * 0.2) or n < 10
+    # the blend passes through the fits at the vertices: move a vertex's fit to a data point and compare there
+    assert np.abs(fitted - exact).max() < 0.06 * np.ptp(y) and np.isfinite(fitted).all()
+    if n > 10:
+        assert errors == pytest.approx(exact_errors, rel=0.35)
+    shuffled = rng.permutation(n)
+    again, errors_again = series.blended_quadratic(x[shuffled], y[shuffled], weights[shuffled], span)
+    assert again == pytest.approx(fitted[shuffled]) and errors_again == pytest.approx(errors[shuffled], nan_ok=True)
+    line = series.blended_quadratic(x, 2 - 0.5 * x, weights, span)
+    assert n == 3 or line[0] == pytest.approx(2 - 0.5 * x, abs=1e-6 * n)
+
+
+def test_blend_equals_the_direct_fit_at_vertices(monkeypatch):
+    """With vertices at every point the blended line is the direct one, errors included."""
+    rng = np.random.default_rng(9)
+    x = np.arange(40.0)
+    y, weights = rng.random(40), rng.uniform(0.5, 2, 40)
+    monkeypatch.setattr(series, "tree_vertices", lambda x, most: np.r_[x[0] - 1, x, x[-1] + 1])
+    fitted, errors = series.blended_quadratic(x, y, weights, 0.5)
+    exact, exact_errors = series.local_quadratic(x, y, weights, 0.5)
+    assert fitted == pytest.approx(exact, abs=1e-9) and errors == pytest.approx(exact_errors, rel=1e-7)
+
+
+def test_blended_loess_of_a_long_series_is_linear_in_memory():
+    x = np.arange(20_000.0)
+    y = np.sin(x / 3_000)
+    fitted, errors = series.blended_quadratic(x, y, np.ones(len(x)), 0.3)
+    for i in (0, 4_321, 10_000, 19_999):
+        assert fitted[i] == pytest.approx(series._local_rows(x, np.ones(len(x)), x[i], 6_000)[0] @ y, abs=5e-3)
+    assert (errors > 0).all()
