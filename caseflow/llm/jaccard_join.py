@@ -12,8 +12,9 @@ also takes part in the next domain split (another hash), up to ``SPLITS`` of the
 
 Equal sets become one node first (a 64-bit digest; equal digests count as equal sets). Candidates never become all pairs of a
 bucket: first, every node is compared with the nearest of its buckets' leaders (four per bucket); then only members
-of a bucket that are still in different components are compared. Sizes and parity sketches (a lower bound of the difference) drop
-impossible pairs; both rounds verify whole shingle sets of the others.
+of a bucket that are still in different components are compared. Sizes and parity sketches (a lower bound of the difference; sets
+of over 1,024 shingles also have one as wide as they are large) drop impossible pairs; both rounds verify whole shingle sets of
+the others.
 
 Defined results: a NULL or empty text, or one without words, has an empty set and is linked with nothing; with fewer than
 five words the whole sequence is the one shingle; repeated rows and copies share a component; a NULL id never names a component
@@ -27,11 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import Scratch, batches, bit_table, blank_words, in_bit_table, mixed, slices, written
+from caseflow.llm.common import Scratch, batches, bit_table, blank_words, in_bit_table, mixed, new_name, sized_slices, slices, written
 from caseflow.llm.components import components
 
 WIDTH = 5
@@ -135,36 +137,58 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of the set's members over SKETCH_BITS classes; two sets differ in at least as many shingles as bits."""
-    odd = np.bincount((mixed(shingles) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1
+def sketch(shingles: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parities of the set's members over ``bits`` classes; two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((mixed(shingles) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes | None:
+    """A sketch with a class per shingle at least, for sets that fill up the common one; None for smaller sets."""
+    if len(shingles) <= SKETCH_BITS:
+        return None
+    return sketch(shingles, 1 << int(len(shingles) - 1).bit_length()).tobytes()
+
+
+def wide_distance(a: bytes, b: bytes) -> int:
+    """Differing bits of two wide sketches; the wider one is folded to the other's classes."""
+    x, y = (np.frombuffer(s, dtype=np.uint64) for s in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _read(copies=None):
-    """Node, size, sketch and signatures of each document; texts in the table of repeated ones are left unsigned."""
+    """Node, size, sketches and signatures of each document; texts in the table of repeated ones are left unsigned."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands()
         for batch in batches(rows):
-            sets = shingle_sets(batch.column("text").to_pylist())
-            nodes = [digest(s) for s in sets]
-            seen: set = {None}
-            if copies is not None:
-                later = in_bit_table(copies.value, batch.column("text_key").to_numpy())
-                seen.update(d for d, x in zip(nodes, later) if x)
-            signs = [signatures(s, bands) if not (d in seen or seen.add(d)) else np.empty(0, np.int64)
-                     for s, d in zip(sets, nodes)]
-            ends = np.cumsum([0] + [len(x) for x in signs]).astype(np.int32)
-            sketches = np.array([sketch(s) for s in sets])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(nodes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH_BITS // 64)),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs)))],
-                names=["doc_id", "text_key", "n_shingles", "node", *SKETCH, "sigs"])
+            for part in sized_slices(pa.compute.binary_length(batch.column("text")).to_pylist()):
+                yield _signed(batch.slice(part.start, len(part)), bands, copies)
 
     return run
 
 
+def _signed(batch: pa.RecordBatch, bands: Bands, copies) -> pa.RecordBatch:
+    sets = shingle_sets(batch.column("text").to_pylist())
+    nodes = [digest(s) for s in sets]
+    seen: set = {None}
+    if copies is not None:
+        later = in_bit_table(copies.value, batch.column("text_key").to_numpy())
+        seen.update(d for d, x in zip(nodes, later) if x)
+    signs = [signatures(s, bands) if not (d in seen or seen.add(d)) else np.empty(0, np.int64) for s, d in zip(sets, nodes)]
+    ends = np.cumsum([0] + [len(x) for x in signs]).astype(np.int32)
+    sketches = np.array([sketch(s) for s in sets])
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+         pa.array(nodes, pa.int64()), *(pa.array(sketches[:, k]) for k in range(SKETCH_BITS // 64)),
+         pa.array([wide_sketch(s) for s in sets], pa.binary()),
+         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(signs)))],
+        names=["doc_id", "text_key", "n_shingles", "node", *SKETCH, "wide", "sigs"])
+
+
 def _repeated(table):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
@@ -178,20 +202,22 @@ def _repeated(table):
 
 
 def _one_each(docs: DataFrame, table) -> DataFrame:
-    """(text_key, text) of the distinct texts whose key is in a bit table."""
+    """(text_key, text) of the distinct texts whose key is in a bit table; combined before and dealt by the key."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             yield batch.filter(pa.array(in_bit_table(table.value, batch.column("text_key").to_numpy())))
 
-    return docs.select("text_key", "text").mapInArrow(run, "text_key long, text string").distinct()
+    kept = docs.select("text_key", "text").mapInArrow(run, "text_key long, text string")
+    return kept.groupBy("text_key").agg(F.first("text").alias("text"))
 
 
-def _texts_of(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, text) of the nodes in ``pairs``, one text each; a bit table keeps most other texts out of the shuffle."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    keys = written(info.join(nodes, "node", "left_semi").select("node", "text_key"))
-    table = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "text_key", TEXT_BITS))
-    return _one_each(docs, table).join(keys, "text_key").dropDuplicates(["node"]).select("node", "text")
+def _close(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose wide sketches leave room for a link; pairs without two of them stay."""
+    for batch in batches(rows):
+        n = zip(batch.column("n_u").to_pylist(), batch.column("n_v").to_pylist())
+        wide = zip(batch.column("wide_u").to_pylist(), batch.column("wide_v").to_pylist())
+        keep = [not (a and b) or wide_distance(a, b) * (DEN + NUM) <= (x + y) * (DEN - NUM) for (a, b), (x, y) in zip(wide, n)]
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v", "u_key", "v_key"])
 
 
 def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +235,22 @@ def _linked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(docs: DataFrame, info: DataFrame, pairs: DataFrame) -> DataFrame:
-    pairs = written(pairs)
-    texts = written(_texts_of(docs, info, pairs))
-    u = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u"))
-    v = texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
-    return written(pairs.join(u, "u").join(v, "v").mapInArrow(_linked, "u long, v long"))
+    """The pairs that are linked: by wide sketches first, then by the whole sets.
+
+    Pairs meet the texts by their keys, so a text is shuffled once, and once more with each of its pairs as the first of it.
+    """
+    def end(name: str) -> DataFrame:
+        return info.select(F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"),
+                           F.col("text_key").alias(f"{name}_key"), F.col("wide").alias(f"wide_{name}"))
+
+    near = written(pairs.join(end("u"), "u").join(end("v"), "v").mapInArrow(_close, "u long, v long, u_key long, v_key long"))
+    keys = near.select(F.col("u_key").alias("key")).union(near.select(F.col("v_key").alias("key")))
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(keys, "key", TEXT_BITS))
+    texts = _one_each(docs, table)
+    u = texts.select(F.col("text_key").alias("u_key"), F.col("text").alias("text_u"))
+    v = texts.select(F.col("text_key").alias("v_key"), F.col("text").alias("text_v"))
+    return written(near.join(u, "u_key").join(v, "v_key").select("u", "v", "text_u", "text_v")
+                   .mapInArrow(_linked, "u long, v long"))
 
 
 def _distance(a: str, b: str):
@@ -227,8 +264,8 @@ def _possible(a: str, b: str):
     return (DEN * F.least(n, m) >= NUM * F.greatest(n, m)) & (_distance(a, b) * (DEN + NUM) <= (n + m) * (DEN - NUM))
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
+def _labelled(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, n_shingles, label) of every row; equal labels are one component, an empty set has none."""
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     broadcast = docs.sparkSession.sparkContext.broadcast
     scratch = Scratch(docs.sparkSession)
@@ -236,13 +273,13 @@ def joined(docs: DataFrame) -> DataFrame:
     copied = docs.filter("text is not null").groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1")
     copies = broadcast(bit_table(scratch.keep("copied", copied.select("text_key")), "text_key", TEXT_BITS))
     longs = ", ".join(f"{s} long" for s in SKETCH)
-    schema = f"doc_id long, text_key long, n_shingles long, node long, {longs}, sigs array<long>"
+    schema = f"doc_id long, text_key long, n_shingles long, node long, {longs}, wide binary, sigs array<long>"
     signed = scratch.keep("signed", docs.mapInArrow(_read(copies), schema))
     once = _one_each(docs, copies).select(F.lit(None).cast("long").alias("doc_id"), "text", "text_key")
     signed_once = scratch.keep("signed_once", once.mapInArrow(_read(), schema).select("node", "sigs"))
-    nodes = written(signed.select("doc_id", "n_shingles", "node"))
+    nodes = written(signed.select("doc_id", "text_key", "n_shingles", "node"))
     info = written(signed.filter("node is not null").groupBy("node").agg(
-        F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("n_shingles", *SKETCH))))
+        F.min("text_key").alias("text_key"), *(F.first(c).alias(c) for c in ("n_shingles", *SKETCH)), F.max("wide").alias("wide")))
     # signatures that occur more than once, then their members
     lists = signed.select("node", "sigs").union(signed_once).filter("size(sigs) > 0")
     counted = lists.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1")
@@ -270,14 +307,18 @@ def joined(docs: DataFrame) -> DataFrame:
         "label", F.coalesce("label", "node")))
     mixed_buckets = written(placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"))
                             .filter("x != y").select("sig"))
-    apart = written(placed.join(mixed_buckets, "sig").join(info.drop("text_key"), "node"))
+    apart = written(placed.join(mixed_buckets, "sig").join(info.drop("text_key", "wide"), "node"))
     pairs = apart.alias("a").join(apart.alias("b"), "sig").filter(
         (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label")) & _possible("a", "b")).select(
         F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     more = _verified(docs, info, pairs.join(tried, ["u", "v"], "left_anti"))
     labels = written(components(links.union(more)))
-    # nodes to documents
-    own = written(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    return written(nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("node"))
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    own = _labelled(docs)
     smallest = written(own.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("smallest")))
     return own.join(smallest, "label", "left").select(
         "doc_id", "n_shingles",
@@ -285,12 +326,23 @@ def joined(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their component; of repeated rows with one id, one.
+    """One row of ``docs`` for each component: that of the smallest id (NULL ids last), of its texts the one with the smallest hash.
 
-    Rows with a NULL id stay only where their component has no id.
+    Rows are told apart by id and text, so another text under the same id stays where nothing is linked with it. Rows
+    with an empty set are linked with nothing and all stay.
     """
-    found = written(joined(docs).filter(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-                    .select(F.col("doc_id").alias("_gone")).distinct())
-    kept = docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
-    named = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.union(kept.filter("doc_id is null"))
+    own = _labelled(docs).filter("label is not null")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    first = written(own.groupBy("label").agg(F.min(rank).alias("first")))
+    rows = written(own.join(first, "label").select("doc_id", "text_key", (rank == F.col("first")).alias("kept"))
+                   .groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n")))
+    key = new_name(docs, "text_key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+
+    def those(wanted: DataFrame, how: str, frame: DataFrame) -> DataFrame:
+        ends = wanted.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"))
+        return frame.join(ends, frame["doc_id"].eqNullSafe(ends["_id"]) & (frame[key] == ends["_text"]), how)
+
+    repeated = rows.filter("kept and n > 1")
+    others = those(rows.filter("not kept or n > 1"), "left_anti", keyed)
+    return others.unionByName(those(repeated, "left_semi", keyed).dropDuplicates(["doc_id", key])).drop(key)
