@@ -322,6 +322,53 @@ def test_site_style_names_around_the_page():
     assert site_style.main_text(f"<body>{story}<div class=comments><p>{'Nice! ' * 40}</p></div>", set()) == "A long enough story here"
 
 
+def test_importance_of_tree_nodes(llm):
+    """Entropies of every node against their definition."""
+    pages = llm.read.parquet(f"{SF}/pages.parquet")
+    sites = defaultdict(list)
+    for r in pages.withColumn("host", site_style.host()).collect():
+        found = [b for b in site_style.blocks(r.html) if not b.noise]
+        texts, children = defaultdict(set), defaultdict(list)
+        for b in found:
+            texts[b.path].add(b.text)
+            children[b.path.rpartition("/")[0]].append(b.path.rpartition("/")[2])
+        for path in texts:
+            sites[r.host, path].append((texts[path], tuple(children.get(path, ()))))
+    got = {(r.host, r.node): r for r in site_style.style_tree(pages).collect()}
+    assert got.keys() == sites.keys()
+    for key, seen in sites.items():
+        k = len(seen)
+        spread = Counter(t for texts, _ in seen for t in texts)
+        content = 1.0 if k == 1 else max(0.0, 1 - sum(j * np.log(j) for j in spread.values()) / (spread.total() * np.log(k)))
+        shapes = Counter(shape for _, shape in seen if shape)
+        want = content
+        if shapes.total() > 1:
+            share = np.array(list(shapes.values())) / shapes.total()
+            want = max(content, (content + min(1.0, -(share * np.log(share)).sum() / np.log(max(k, 2)))) / 2)
+        assert (got[key].pages, got[key].importance) == (k, pytest.approx(want, abs=1e-9))
+
+
+def test_the_tree_decides(llm):
+    """Each page differs with and without the tree's evidence: teasers, boxes without a name, text beside an article."""
+    teasers = "".join(f"<article><div><h2>Top story {k}</h2></div></article>" for k in range(3))
+    sites = {
+        "teasers": lambda k: (f"<body>{teasers}<div><p>Report number {k} in full</p></div>", f"Report number {k} in full"),
+        "unnamed": lambda k: (f"<body><div><i>All rights reserved</i></div><p>Page text {k}</p>", f"Page text {k}"),
+        "beside": lambda k: (f"<body><article><p>Lead {k}</p></article><section><p>Background {k}</p></section><div>Every page</div>",
+                             f"Lead {k}\nBackground {k}"),
+        "inside": lambda k: (f"<body><article><p>Own {k}</p><section><p>Read our letter</p></section></article>", f"Own {k}"),
+        "copies": lambda k: ("<body><article><p>The same article</p></article><div>Imprint</div>", "The same article"),
+        "ads": lambda k: (f"<body><article><p>Own {k}</p></article><div class=ad>Buy {k}</div><footer>No {k}</footer>", f"Own {k}"),
+    }
+    for m in (8, 40):
+        rows = [(1000 * i + k, f"https://{name}.example/{k}", *page(k)) for i, (name, page) in enumerate(sites.items()) for k in range(m)]
+        frame = llm.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string")
+        got = {r.page_id: r.text for r in site_style.extracted(frame).collect()}
+        assert {r[0]: r[3] for r in rows} == got
+        differs = {r[1].split(".")[0][8:] for r in rows if site_style.main_text(r[2], {}) != r[3]}
+        assert differs == {"teasers", "unnamed", "beside", "inside"}
+
+
 def test_site_style_on_the_pages(llm):
     pages = llm.read.parquet(f"{SF}/pages.parquet")
     source = {r.page_id: r.html for r in pages.collect()}
@@ -448,3 +495,72 @@ def test_pipeline_stages(llm):
         if name != "packing":
             assert docs.columns == names
     assert corpus_pipeline.run(llm, SF).count() == counts[-1]
+
+
+WORDY = " ".join(f"w{i}" for i in range(60))
+AWKWARD = [
+    (None, WORDY), (None, WORDY), (None, f"{WORDY} more"), (4, "another text " + WORDY[::-1]), (4, f"{WORDY} more"), (7, WORDY), (7, WORDY),
+    (9, ""), (9, None), (None, None), (None, ""), (11, "only here " * 9), (11, "only here " * 9), (None, "nameless but single " * 8)]
+
+
+def test_one_row_of_each_component_stays(llm):
+    """NULL ids, one id with two texts, repeated rows, empty texts."""
+    docs = odd(llm, AWKWARD).withColumnRenamed("node", "text_key")
+    kept = jaccard_join.deduplicated(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text or "") for r in kept.collect()))
+    # the component of WORDY is named by document 4's second text; its first text is linked with nothing
+    assert got == sorted([(4, f"{WORDY} more"), (4, "another text " + WORDY[::-1]), (9, ""), (9, ""), (0, ""), (0, ""),
+                          (11, "only here " * 9), (0, "nameless but single " * 8)])
+    assert jaccard_join.deduplicated(odd(llm, [])).count() == 0
+
+
+def test_wide_sketches_bound_the_difference():
+    random = np.random.default_rng(8)
+    for n in (1_025, 2_048, 2_049, 9_000):
+        a = np.unique(random.integers(0, 1 << 62, n, dtype=np.uint64))
+        for m in (n, int(n * 0.9), int(n * 1.2)):
+            b = np.unique(np.r_[a[:min(m, n) - 40], random.integers(0, 1 << 62, max(m - n, 0) + 40, dtype=np.uint64)])
+            other = np.unique(random.integers(0, 1 << 62, m, dtype=np.uint64))
+            if len(b) > 1_024 and len(other) > 1_024:
+                x, y, z = map(jaccard_join.wide_sketch, (a, b, other))
+                assert 0 < jaccard_join.wide_distance(x, y) == jaccard_join.wide_distance(y, x) <= len(np.setxor1d(a, b))
+                assert jaccard_join.wide_distance(x, z) * 180 > (n + m) * 20  # unrelated sets are ruled out
+    assert jaccard_join.wide_sketch(np.arange(1_024, dtype=np.uint64)) is None
+
+
+def test_long_texts_are_linked(llm):
+    random = np.random.default_rng(2)
+    words = [f"v{i}" for i in random.integers(0, 400, 6_000)]
+    near, far = list(words), list(words)
+    near[10:3_000:60] = ["changed"] * len(near[10:3_000:60])  # 50 of 6,000 words, about 250 shingles
+    far[::20] = ["changed"] * len(far[::20])  # a quarter of the shingles each way
+    texts = [" ".join(x) for x in (words, near, far, words[:5_200], words[:3_000], random.permutation(words))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined(odd(llm, list(enumerate(texts)))).collect()}
+    assert got == _brute_components(dict(enumerate(texts))) and got[1] == got[3] == 0 and got[2] == 2
+
+
+def test_decontaminate_with_a_state_column(llm, monkeypatch):
+    bench = llm.createDataFrame([(7, "C d, E"), (8, "k l")], "item_id long, text string")
+    docs = odd(llm).withColumnRenamed("node", "_state").withColumnRenamed("score", "_STATE_")
+    kept = decontaminate.cleaned(docs, bench)
+    assert kept.columns == docs.columns
+    want = sorted((r.doc_id or 0, r.text or "", r._state) for r in kept.collect())
+    assert (5, "a b f g h i j ", "z") in want or any(r[0] == 5 and r[1].split() == list("abfghij") for r in want)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 2)
+    monkeypatch.setattr(decontaminate, "BLOCKS_AT_ONCE", 1)
+    assert sorted((r.doc_id or 0, r.text or "", r._state) for r in decontaminate.cleaned(docs, bench).collect()) == want
+
+
+def test_pipeline_on_odd_rows(llm, tmp_path):
+    """Every stage and the whole pipeline on NULLs, repeats, clashing names, and on empty tables."""
+    for rows, folder in ((ODD + AWKWARD, tmp_path / "odd"), ([], tmp_path / "none")):
+        docs = odd(llm, rows).withColumnRenamed("node", "_state")
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels(llm, [(1, 1, 0), (2, 0, 1), (None, 1, None), (5, None, None)] if rows else []).write.parquet(f"{folder}/labels.parquet")
+        llm.createDataFrame([(7, "C d, E"), (8, None)] if rows else [], "item_id long, text string").write.parquet(
+            f"{folder}/benchmark.parquet")
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(llm, docs, str(folder))
+            assert out.count() <= len(rows) and (name == "packing" or out.columns == docs.columns)
+        corpus_pipeline.run(llm, str(folder)).collect()
