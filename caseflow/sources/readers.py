@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from caseflow.functions import schemas
+from caseflow.sources import lists
 
 _REJECT = "_corrupt_record"
 
@@ -29,24 +29,10 @@ def read_case_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_organised_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SC2: JSON files of one document (or one list of documents), absent fields NULL.
 
-    Each row names its file; an unreadable file gives one row with its text in
-    ``_corrupt_record``.
+    A file of any size is cut into documents while it is read (``lists.documents``). Each row names its file; an unreadable
+    document gives one row with its text in ``_corrupt_record``.
     """
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_arquivo"), "value")
-    body = F.trim(F.regexp_replace("value", r"^\s+", ""))
-    as_list = F.when(F.startswith(body, F.lit("[")), body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
-    parsed = files.select("_arquivo", "value", F.from_json(
-        as_list, f"array<struct<{_colons(schemas.ORGANISED_DOCUMENT)}>>").alias("_docs"))
-    unreadable = F.array(F.lit(None).cast(parsed.schema["_docs"].dataType.elementType))
-    rows = parsed.select("_arquivo", "value", F.explode_outer(F.coalesce("_docs", unreadable)).alias("_doc"))
-    bad = F.when(F.col("_doc").isNull(), F.col("value")).alias(_REJECT)
-    return rows.select("_doc.*", "_arquivo", bad)
-
-
-def _colons(columns: str) -> str:
-    """Column list of a table as the field list of a struct."""
-    return ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in StructType.fromDDL(columns).fields)
+    return parse_organised_text(lists.documents(spark, path).drop("numero"), "texto")
 
 
 def read_raw_responses(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -1,4 +1,5 @@
 import json
+import random
 from types import SimpleNamespace
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseflow import session
 from caseflow.operators import nested, quality, tree
-from caseflow.sources import readers, writers
+from caseflow.sources import lists, readers, writers
 
 
 def test_required_inputs(spark, tmp_path):
@@ -42,6 +43,57 @@ def test_one_file_refuses_large_tables(spark, tmp_path):
         writers.write_one_csv(spark.range(11), str(tmp_path / "o"), most=10)
 
 
+def test_files_are_cut_into_documents_while_read(spark, tmp_path):
+    """Lists and single documents, printed in several ways, in splits of 64 bytes: every document comes back."""
+    rng = random.Random(4)
+
+    def value(depth):
+        kind = rng.randrange(7 if depth < 4 else 4)
+        if kind < 4:
+            return rng.choice([1, None, True, "x}y", '{"a"', 'q\\"}', "back\\\\", "é[]", "", "]},{", "line\nbreak"])
+        if kind == 4:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {f"k{i}": value(depth + 1) for i in range(rng.randrange(4))}
+
+    expected = {}
+    for i in range(24):
+        documents = [{"n": k, "v": value(0), "w": {"x": value(2)}} for k in range(rng.randrange(1, 12))]
+        whole = documents if i % 4 else documents[0]
+        text = json.dumps(whole, indent=(None, 1, 2)[i % 3], ensure_ascii=i % 2 == 0)
+        (tmp_path / f"f{i:02}.json").write_text(("\ufeff" if i % 5 == 0 else "") + text + ("\n" if i % 3 == 0 else ""), encoding="utf-8")
+        expected[f"f{i:02}.json"] = documents if i % 4 else documents[:1]
+    for name, text in (("empty.json", ""), ("none.json", " [ ] "), ("blank.json", "\n")):
+        (tmp_path / name).write_text(text)
+    options = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, wanted in options.items():
+        spark.conf.set(name, wanted)
+    try:
+        assert lists.segments(spark, str(tmp_path)).rdd.getNumPartitions() > 24
+        rows = lists.documents(spark, str(tmp_path)).collect()
+    finally:
+        for name, old in before.items():
+            spark.conf.set(name, old)
+    got = {}
+    for r in sorted(rows, key=lambda r: (r._arquivo, r.numero)):
+        got.setdefault(r._arquivo.rsplit("/", 1)[1], []).append(json.loads(r.texto))
+    assert got == expected
+
+
+def test_bad_documents_of_a_list_stand_alone(spark, tmp_path):
+    def one(number):
+        return json.dumps({"metadados": {"numero_processo": number}})
+
+    (tmp_path / "inside.json").write_text(f'[{one("1")}, {{"metadados": nonsense}}, {one("2")}]')
+    (tmp_path / "cut.json").write_text(f'[{one("3")}, {one("4")}, {{"metadados": {{"numero_processo": "5"')
+    (tmp_path / "open.json").write_text('{"metadados": {"numero_processo": "6"}')
+    (tmp_path / "short.json").write_text('{"metadados": 1')
+    good, bad = readers.split_rejects(readers.read_organised_documents(spark, str(tmp_path)))
+    assert sorted(r.metadados.numero_processo for r in good.collect()) == ["1", "2", "3", "4"]
+    assert sorted(r._corrupt_record for r in bad.collect()) == [
+        '{"metadados": 1', '{"metadados": nonsense}', '{"metadados": {"numero_processo": "5"', '{"metadados": {"numero_processo": "6"}']
+
+
 def test_one_document_per_file(spark, tmp_path):
     tree_text = [{"numeroUnico": "r", "sequencial": 0, "instancia": "1", "processos": [
         {"numeroUnico": "a", "sequencial": 1, "instancia": "2", "processos": []}]}]
@@ -64,7 +116,7 @@ def test_one_document_per_file(spark, tmp_path):
     assert len(moves) == 2 and len(moves[0]) == 13
     nodes = tree.flatten_trees(tree.tree_of_document(good)).collect()
     assert {(r.numero_processo, r.numero_pai) for r in nodes} == {("r", None), ("a", "r")}
-    record = nested.summary_records(good).filter("numero_processo is null").first()
+    record = nested.summary_records(good).filter("numero_processo is null").orderBy("_arquivo_origem").first()
     assert record.valor_causa == "10,5" and record._arquivo_origem.endswith("a.json")
 
 
