@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 from types import SimpleNamespace
@@ -94,6 +95,43 @@ def test_bad_documents_of_a_list_stand_alone(spark, tmp_path):
         '{"metadados": 1', '{"metadados": nonsense}', '{"metadados": {"numero_processo": "5"', '{"metadados": {"numero_processo": "6"}']
 
 
+def test_small_files_are_cut_by_the_task_that_reads_them(spark, tmp_path):
+    """Compressed or not, files of one split give the documents that files of several give, and shuffle nothing."""
+    escaped = r'{"b": {"c": "\\\""}}'
+    texts = {
+        "list": '[{"a": "x}{"},\n ' + escaped + ', {"d": bad}]\n', "one": '\ufeff{"a": [1, {"b": 2}]}', "open": '{"a": {"b": 1}',
+        "cut": '[{"a": 1}, {"b": "}', "none": "[]", "rest": '[{"a": 1}, {"b": {"c": "' + "y" * 300 + '"}, {"d": 1}'}
+    for name, text in texts.items():
+        (tmp_path / "plain").mkdir(exist_ok=True)
+        (tmp_path / "packed").mkdir(exist_ok=True)
+        (tmp_path / "plain" / f"{name}.json").write_text(text, encoding="utf-8")
+        with gzip.open(tmp_path / "packed" / f"{name}.json.gz", "wt", encoding="utf-8") as file:
+            file.write(text)
+
+    def cut(folder):
+        return sorted((r._arquivo.rsplit("/", 1)[1].removesuffix(".gz"), r.numero, r.texto)
+                      for r in lists.documents(spark, str(tmp_path / folder)).collect())
+
+    expected = sorted([
+        ("list.json", 0, '{"a": "x}{"}'), ("list.json", 1, escaped), ("list.json", 2, '{"d": bad}'),
+        ("one.json", 0, '{"a": [1, {"b": 2}]}'), ("open.json", 0, '{"a": {"b": 1}'), ("cut.json", 0, '{"a": 1}'),
+        ("cut.json", 1, '{"b": "}'), ("rest.json", 0, '{"a": 1}'), ("rest.json", 1, texts["rest"][11:])])
+    assert cut("plain") == expected
+    # whether a brace closes the last segment of a compressed file is unknown, so a rest may show one more
+    assert [x for x in cut("packed") if x[0] != "cut.json"] == [x for x in expected if x[0] != "cut.json"]
+    assert "Exchange" not in lists.documents(spark, str(tmp_path / "plain"))._jdf.queryExecution().toString()
+    options = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, wanted in options.items():
+        spark.conf.set(name, wanted)
+    try:
+        # of a rest that is cut, the first split is kept
+        assert [x for x in cut("plain") if x[:2] != ("rest.json", 1)] == [x for x in expected if x[:2] != ("rest.json", 1)]
+    finally:
+        for name, old in before.items():
+            spark.conf.set(name, old)
+
+
 def test_one_document_per_file(spark, tmp_path):
     tree_text = [{"numeroUnico": "r", "sequencial": 0, "instancia": "1", "processos": [
         {"numeroUnico": "a", "sequencial": 1, "instancia": "2", "processos": []}]}]
