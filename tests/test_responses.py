@@ -4,6 +4,7 @@ from xml.sax.saxutils import quoteattr
 from pyspark.sql import functions as F
 
 from caseflow.operators import nested, responses, tree
+from caseflow.plans import proxies
 
 TREE = {"arvoreProcessual": [{"numeroUnico": "1", "sequencial": 0, "instancia": "1", "processos": [
     {"numeroUnico": "çã", "sequencial": 1, "instancia": "2", "processos": []}]}]}
@@ -75,3 +76,21 @@ def test_organised_documents_feed_the_service_tables(spark):
     assert (moves.complemento_projudi_nome, moves.complemento_projudi_movimentado_por_cargo) == ("a", "y")
     nodes = tree.flatten_trees(tree.tree_of_document(documents))
     assert nodes.count() == 2
+
+
+def test_orders_of_one_row_group_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    """Without a setting the number of rows decides how many tasks make and parse documents."""
+    monkeypatch.setattr(proxies, "DEALT", 10)
+    spark.range(300).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.lit(1.5).alias("o_totalprice"), F.lit("1996-01-02").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority")).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("caseflow.read.tasks", None)
+    spark.conf.unset("caseflow.read.tasks")
+    try:
+        made = proxies.responses(spark, str(tmp_path))
+        own = made.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        if before is not None:
+            spark.conf.set("caseflow.read.tasks", before)
+    assert made.rdd.getNumPartitions() == 31 and len(own) > 20 and sum(r["count"] for r in own) == 300
