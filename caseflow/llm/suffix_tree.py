@@ -25,7 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseflow.llm.common import batches, bit_table, blank_words, fold, in_bit_table, mixed, slices, written
@@ -39,6 +40,10 @@ DISCOUNT = 0.75
 END = -0x61C8864680B583EB
 COUNT_CHARS = 4 << 20
 BITS = 1 << 26
+#: Characters of a block; training tokens of a bucket, and the least number of buckets; codes a task gathers before it sends them.
+BLOCK_CHARS = 6 << 20
+BUCKET_TOKENS, LEAST_BUCKETS = 2 << 20, 32
+TASK_CODES = 2 << 20
 
 
 def coded(texts: list[str | None], limit: int = COUNT_CHARS) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray]]:
@@ -68,9 +73,19 @@ def _joined(codes: np.ndarray) -> np.ndarray:
     return mixed(pair).view(np.int64)
 
 
+def _ends(codes: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+    """Codes of the ends of sequences, from theirs and those of their beginnings: ``_joined`` undone."""
+    x = codes.view(np.uint64).copy()
+    for factor in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD):
+        x ^= x >> np.uint64(33)
+        x *= np.uint64(pow(factor, -1, 1 << 64))
+    x ^= x >> np.uint64(33)
+    return ((x - mixed(prefixes.view(np.uint64))) * np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))).view(np.int64)
+
+
 def _grown(place: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Where a sequence one longer can be known; none goes on after an end token."""
-    return (place[:-1] >= 0) & (place[1:] >= 0) & ~end[:len(place) - 1]
+    return (place[:-1] >= 0) & (place[1:] >= 0) & ~end[:max(len(place) - 1, 0)]
 
 
 class Tree:
@@ -117,60 +132,99 @@ class Tree:
         return base, added
 
 
-def _unigrams(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches(rows):
-        for _, codes, tokens, _ in coded(batch.column("text").to_pylist()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes), pa.array(np.bincount(tokens, minlength=len(codes)))], names=["code", "n"])
+def _packed(values: np.ndarray) -> bytes:
+    """Integers or doubles as bytes: their number, then their bytes by significance, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return len(values).to_bytes(8, "little") + (pa.compress(planes.tobytes(), "zstd", asbytes=True) if len(values) else b"")
+
+
+def _unpacked(data: bytes, dtype: type) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(dtype).itemsize
+    if not n:
+        return np.empty(0, dtype=dtype)
+    planes = np.frombuffer(pa.decompress(data[8:], n * size, "zstd", asbytes=True), dtype=np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+def _packed_codes(codes: np.ndarray) -> bytes:
+    """Codes in their unsigned order as differences."""
+    return _packed(np.diff(codes.view(np.uint64), prepend=np.uint64(0)))
+
+
+def _unpacked_codes(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64).view(np.int64)
 
 
-def _encoded(tree):
-    """Each document as places of its tokens; place -1 - k is the k-th of the document's codes that aren't frequent."""
+def _dealt(codes: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets of codes in their unsigned order, and which codes each holds."""
+    bucket = (codes.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    ends = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+    return ((k, slice(ends[k], ends[k + 1])) for k in np.flatnonzero(np.diff(ends)).tolist())
+
+
+def _bucket(code: str, buckets: int) -> Column:
+    return F.shiftright(F.shiftrightunsigned(code, 32) * F.lit(buckets).cast("long"), 32).cast("int")
+
+
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in their unsigned order, and the place of each code among them."""
+    own, which = np.unique(codes.view(np.uint64), return_inverse=True)
+    return own.view(np.int64), which
+
+
+def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in their unsigned order with the sums of their counts."""
+    order = np.argsort(codes.view(np.uint64))
+    codes, counts = codes[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][:len(codes)])
+    return codes[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+
+
+def _encoded(limit: int):
+    """Blocks of documents, held-out ones apart: their ids, lengths, distinct codes and tokens as places in these."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, made = TaskContext.get().partitionId() << 32, 0
+        waiting: dict[bool, tuple[list, list]] = {False: ([], []), True: ([], [])}
+
+        def block(held_out: bool) -> pa.RecordBatch:
+            ids, texts = waiting[held_out]
+            waiting[held_out] = [], []
+            ((_, codes, tokens, starts),) = coded(texts, 1 << 62)
+            order = np.r_[0, 1 + np.argsort(-np.bincount(tokens, minlength=len(codes))[1:], kind="stable")]
+            place = np.empty(len(codes), dtype=np.int32)
+            place[order] = np.arange(len(codes), dtype=np.int32)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([base + made]), pa.array([held_out]), pa.array([len(tokens)]), pa.array([ids], pa.list_(pa.int64())),
+                 pa.array([_packed(np.diff(starts).astype(np.int32))], pa.binary()), pa.array([_packed(codes[order])], pa.binary()),
+                 pa.array([_packed(place[tokens])], pa.binary())],
+                names=["block", "held_out", "n", "doc_ids", "sizes", "codes", "tokens"])
+
+        size = {False: 0, True: 0}
         for batch in batches(rows):
-            places, sizes, rare, times = [], [], [], []
-            for _, codes, tokens, starts in coded(batch.column("text").to_pylist()):
-                first = tree.value.first(codes, tokens).astype(np.int32)
-                places.append(first)
-                sizes += np.diff(starts).tolist()
-                for a, b in zip(starts[:-1], starts[1:]):
-                    at = a + np.flatnonzero(first[a:b] < 0)
-                    own, which, n = np.unique(codes[tokens[at]], return_inverse=True, return_counts=True)
-                    first[at] = -1 - which
-                    rare.append(own)
-                    times.append(n.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), _lists(sizes, places),
-                 _lists([len(x) for x in rare], rare), _lists([len(x) for x in times], times)],
-                names=["row", "doc_id", "held_out", "places", "codes", "times"])
+            for doc_id, held_out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))):
+                ids, texts = waiting[held_out]
+                ids.append(doc_id)
+                texts.append(text)
+                size[held_out] += len(text or "") + 1
+                if size[held_out] >= limit:
+                    yield block(held_out)
+                    made, size[held_out] = made + 1, 0
+        for held_out in (False, True):
+            if waiting[held_out][0]:
+                yield block(held_out)
+                made += 1
 
     return run
 
 
-def _lists(sizes: list[int], parts: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *sizes]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))
-
+ENCODED = "block long, held_out boolean, n long, doc_ids array<long>, sizes binary, codes binary, tokens binary"
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of a batch's tokens in a row, which of them are end tokens, and where its documents begin."""
-    sizes = batch.column("places").value_lengths().to_numpy()
-    starts = np.cumsum(np.r_[0, sizes[:-1]])
-    first = batch.column("places").flatten().to_numpy()
-    end = np.zeros(len(first), dtype=bool)
-    end[starts + sizes - 1] = True
-    return first, end, starts
 
-
-def _codes(batch: pa.RecordBatch, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Codes of a batch's tokens; ``words``: those of the frequent ones."""
-    first = batch.column("places").flatten().to_numpy()
-    out = np.empty(len(first), dtype=np.int64)
-    out[first >= 0] = words[first[first >= 0]]
-    at = np.flatnonzero(first < 0)
-    own = np.cumsum(np.r_[0, batch.column("codes").value_lengths().to_numpy()])
-    out[at] = batch.column("codes").flatten().to_numpy()[own[np.searchsorted(starts, at, "right") - 1] - 1 - first[at]]
-    return out
+def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, distinct codes and tokens of each block."""
+    for batch in batches(rows):
+        for block, codes, tokens in zip(*(batch.column(c) for c in ("block", "codes", "tokens"))):
+            yield block.as_py(), _unpacked(codes.as_py(), np.int64), _unpacked(tokens.as_py(), np.int32)
 
 
 def _by_length(codes: np.ndarray, end: np.ndarray, tables: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -181,42 +235,76 @@ def _by_length(codes: np.ndarray, end: np.ndarray, tables: list[np.ndarray]) ->
     ok, before = np.ones(len(codes), dtype=bool), codes
     for k in range(len(tables) + 1):
         if k:
-            before, codes, ok = codes, _joined(codes), ok[:-1] & ok[1:] & ~end[:len(ok) - 1]
+            before, codes, ok = codes, _joined(codes), ok[:-1] & ok[1:] & ~end[:max(len(ok) - 1, 0)]
         yield before, codes, np.flatnonzero(ok)
         if k < len(tables):
             ok[ok] = in_bit_table(tables[k], codes[ok])
 
 
-def _sequences(words, tables):
-    """Counts of the sequences one longer than the tables'."""
+def _counts(tables, buckets):
+    """By bucket, the counts of the sequences one longer than the tables'; without tables, of the tokens."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            _, end, starts = _flat(batch)
-            *_, (_, codes, at) = _by_length(_codes(batch, words.value, starts), end, tables.value)
-            keys, n = np.unique(codes[at], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["code", "n"])
+        parts, size = [], 0
+        for _, own, tokens in _blocks(rows):
+            if tables is None:
+                parts.append((own, np.bincount(tokens, minlength=len(own))))
+            else:
+                *_, (_, codes, at) = _by_length(own[tokens], tokens == 0, tables.value)
+                parts.append(_summed(codes[at], np.ones(len(at), dtype=np.int64)))
+            size += len(parts[-1][0])
+            if size >= TASK_CODES:
+                yield from _sent(buckets, *_summed(*map(np.concatenate, zip(*parts))))
+                parts, size = [], 0
+        if size:
+            yield from _sent(buckets, *_summed(*map(np.concatenate, zip(*parts))))
 
     return run
 
 
-def _links(words, tables):
-    """Of the kept sequences: their codes, and those of their beginnings and ends."""
+def _sent(buckets: int, codes: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    rows = [(k, _packed_codes(codes[at]), _packed(values[at])) for k, at in _dealt(codes, buckets)]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2))],
+        names=["bucket", "codes", "vals"])
+
+
+def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return (np.concatenate([_unpacked_codes(x.as_py()) for x in table["codes"]]),
+            np.concatenate([_unpacked(x.as_py(), np.int64) for x in table["vals"]]))
+
+
+def _counted(train: DataFrame, tables, buckets: int, least: int) -> DataFrame:
+    """Stored sequences that occur ``least`` times (code, n)."""
+    def run(table: pa.Table) -> pa.Table:
+        codes, n = _summed(*_received(table))
+        return pa.table({"code": codes[n >= least], "n": n[n >= least]})
+
+    sent = train.mapInArrow(_counts(tables, buckets), "bucket int, codes binary, vals binary")
+    return written(sent.groupBy("bucket").applyInArrow(run, "code long, n long"))
+
+
+def _links(tables, buckets):
+    """Of the kept sequences: their codes and those of their beginnings, sent once by a task while it remembers them."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            _, end, starts = _flat(batch)
-            for k, (before, codes, at) in enumerate(_by_length(_codes(batch, words.value, starts), end, tables.value)):
+        sent = np.empty(0, dtype=np.int64)
+        for _, own, tokens in _blocks(rows):
+            for k, (before, codes, at) in enumerate(_by_length(own[tokens], tokens == 0, tables.value)):
                 if not 0 < k < len(tables.value):
                     continue
                 at = at[in_bit_table(tables.value[k], codes[at])]
-                keys, one = np.unique(codes[at], return_index=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(before[at[one]]), pa.array(before[at[one] + 1])], names=["code", "prefix", "suffix"])
+                at = at[_found(sent, codes[at]) < 0]
+                keys, one = np.unique(codes[at].view(np.uint64), return_index=True)
+                keys = keys.view(np.int64)
+                yield from _sent(buckets, keys, before[at[one]])
+                sent = np.sort(np.concatenate([sent, keys] if len(sent) < TASK_CODES else [keys]))
 
     return run
 
 
-def _counted(train: DataFrame, run) -> DataFrame:
-    return train.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+def _linked(table: pa.Table) -> pa.Table:
+    codes, prefixes = _received(table)
+    codes, one = np.unique(codes, return_index=True)
+    return pa.table({"code": codes, "prefix": prefixes[one], "suffix": _ends(codes, prefixes[one])})
 
 
 def _columns(frame: DataFrame) -> list[np.ndarray]:
@@ -249,32 +337,32 @@ def _level(counts: DataFrame, links: DataFrame, shorter: DataFrame, total: int)
     return written(own), states
 
 
-def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, DataFrame, list[np.ndarray]], DataFrame]:
+def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, DataFrame, list[np.ndarray], int], DataFrame]:
     """The frequent sequences; the stored training counts of all tokens (code, n), the stored weights of all other sequences
-    (code, weight) and the bit tables of the kept ones by length; the stored documents as places.
+    (code, weight), the bit tables of the kept ones by length and the number of buckets; the stored blocks of documents.
 
-    ``docs``: row, doc_id, held_out, text; held-out ones are encoded, not counted. Texts are read twice, for the token counts
-    and for the places; longer sequences are counted on the places.
+    ``docs``: doc_id, held_out, text; held-out ones are encoded, not counted. Texts are read once, everything else is done on
+    the blocks.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    vocabulary = written(_counted(docs.filter("not held_out").select("text"), _unigrams))
-    total, distinct = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    frequent = F.col("n") >= max(MIN_COUNT, int(np.ceil(P_MIN * total)))
+    encoded = written(docs.select("doc_id", "held_out", "text").mapInArrow(_encoded(BLOCK_CHARS), ENCODED))
+    train = encoded.filter("not held_out").select("block", "codes", "tokens")
+    total = encoded.filter("not held_out").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_TOKENS))
+    vocabulary = _counted(train, None, buckets, 1)
+    distinct = vocabulary.count()
+    frequent = F.col("n") >= _frequent(total)
     tree = Tree(*_columns(vocabulary.filter(frequent).select("code", "n")), total, distinct)
-    encoded = written(docs.mapInArrow(
-        _encoded(share(tree)),
-        "row long, doc_id long, held_out boolean, places array<int>, codes array<long>, times array<int>"))
-    train, words = encoded.filter("not held_out").select("places", "codes"), share(tree.keys[0])
     kept = [vocabulary.filter(F.col("n") >= MIN_COUNT)]
     tables = [bit_table(kept[0], "code", BITS)]
     for _ in range(depth):
         shared = share(tables)
-        kept.append(written(_counted(train, _sequences(words, shared)).filter(F.col("n") >= MIN_COUNT)))
+        kept.append(_counted(train, shared, buckets, MIN_COUNT))
         tables.append(bit_table(kept[-1], "code", BITS))
         shared.unpersist()
-    links = train.mapInArrow(_links(words, share(tables)), "code long, prefix long, suffix long")
-    links = written(links.groupBy("code").agg(F.min("prefix").alias("prefix"), F.min("suffix").alias("suffix")))
+    links = train.mapInArrow(_links(share(tables), buckets), "bucket int, codes binary, vals binary")
+    links = written(links.groupBy("bucket").applyInArrow(_linked, "code long, prefix long, suffix long"))
     shorter = kept[0].select("code", "n", F.log10((F.col("n") + 0.5) / tree.scale).alias("lp"))
     parts = []
     for length in range(1, depth + 1):
@@ -286,42 +374,77 @@ def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, D
     others = parts[0]
     for part in parts[1:]:
         others = others.unionAll(part)
-    return tree, (vocabulary, written(others.groupBy("code").agg(F.sum("weight").alias("weight"))), tables), encoded
+    return tree, (vocabulary, written(others.groupBy("code").agg(F.sum("weight").alias("weight"))), tables, buckets), encoded
+
+
+def _frequent(total: int) -> int:
+    return max(MIN_COUNT, int(np.ceil(P_MIN * total)))
+
+
+def _rest(words: np.ndarray, own: np.ndarray, tokens: np.ndarray, tables: list[np.ndarray],
+          listed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What a block asks for: codes of its words that aren't frequent, codes and positions of sequences that may be listed."""
+    found, of = [], []
+    for k, (_, codes, at) in enumerate(_by_length(own[tokens], tokens == 0, tables)):
+        if k == len(tables):
+            break
+        at = at[in_bit_table(tables[k], codes[at])]
+        at = at[in_bit_table(listed, codes[at])]
+        found.append(codes[at])
+        of.append(at)
+    rare = np.sort(own[_found(words, own) < 0].view(np.uint64)).view(np.int64)
+    return rare, np.concatenate(found), np.concatenate(of)
 
 
-def _others(words, tables, listed):
-    """Per document: the sequences whose weights aren't broadcast, with their numbers."""
+def _asked(words, tables, listed, buckets):
+    """Per block and bucket, the distinct codes whose values aren't broadcast; sequences have buckets after those of words."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            _, end, starts = _flat(batch)
-            found, of = [], []
-            for k, (_, codes, at) in enumerate(_by_length(_codes(batch, words.value, starts), end, tables.value)):
-                if k == len(tables.value):
-                    break
-                at = at[in_bit_table(tables.value[k], codes[at])]
-                at = at[in_bit_table(listed.value, codes[at])]
-                found.append(codes[at])
-                of.append(np.searchsorted(starts, at, "right") - 1)
-            own, which = np.unique(np.concatenate(found), return_inverse=True)
-            pairs, n = np.unique(np.concatenate(of) * max(len(own), 1) + which, return_counts=True)
-            doc, which = np.divmod(pairs, max(len(own), 1))
+        for block, own, tokens in _blocks(rows):
+            rare, found, _ = _rest(words.value, own, tokens, tables.value, listed.value)
+            sent = [(first + k, _packed_codes(codes[at])) for first, codes in ((0, rare), (buckets, _distinct(found)[0]))
+                    for k, at in _dealt(codes, buckets)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(doc)), pa.array(own[which]), pa.array(n.astype(np.int32))],
-                names=["row", "code", "times"])
+                [pa.array([k for k, _ in sent], pa.int32()), pa.array([block] * len(sent), pa.int64()),
+                 pa.array([codes for _, codes in sent], pa.binary())], names=["bucket", "block", "codes"])
 
     return run
 
 
-def _scored(shared):
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
-            first, end, starts = _flat(batch)
-            base, added = shared.value.score(first, end)
-            total = lambda x: pa.array(np.add.reduceat(x, starts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), batch.column("held_out"),
-                 total(np.ones(len(first), dtype=np.int64)), total((first >= 0).astype(np.int64)), total(base), total(added)],
-                names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "added"])
+def _answered(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """The values of the codes that blocks ask for; NaN where there is none."""
+    codes, values = known["code"].to_numpy(), known["value"].to_numpy()
+    order = np.argsort(codes)
+    keys, values = codes[order], np.append(values[order], np.nan)  # -1: absent
+    return pa.table({
+        "block": asked["block"], "bucket": asked["bucket"],
+        "vals": pa.array([_packed(values[_found(keys, _unpacked_codes(x.as_py()))]) for x in asked["codes"]], pa.binary())})
+
+
+def _scored(shared, tables, listed):
+    """The documents of a block, from its tokens and the answers."""
+    def run(answers: pa.Table, blocks: pa.Table) -> pa.Table:
+        tree = shared.value
+        order = np.argsort(answers["bucket"].to_numpy())
+        values = np.concatenate([np.empty(0), *(_unpacked(answers["vals"][i].as_py(), np.float64) for i in order.tolist())])
+        ((_, own, tokens),) = _blocks(iter(blocks.combine_chunks().to_batches()))
+        sizes = _unpacked(blocks["sizes"][0].as_py(), np.int32)
+        starts = np.cumsum(np.r_[0, sizes[:-1]])
+        rare, found, at = _rest(tree.keys[0], own, tokens, tables.value, listed.value)
+        first, word = tree.first(own, tokens), _found(np.sort(rare), own)
+        base, added = tree.score(first, tokens == 0)
+        by_word = np.append(values[:len(rare)][np.argsort(rare)], 0.0)[word]
+        known = (first >= 0) | ~np.isnan(by_word[tokens])
+        base += np.where(np.isnan(by_word), np.log10(0.5 / tree.scale), by_word)[tokens]
+        weights = np.nan_to_num(values[len(rare):])
+        if len(found):
+            np.add.at(added, at, weights[_distinct(found)[1]])
+        total = lambda x: np.add.reduceat(x, starts)
+        base, score = total(base), total(base + added)
+        return pa.table({
+            "doc_id": blocks["doc_ids"].combine_chunks().flatten(),
+            "held_out": pa.array(np.full(len(sizes), blocks["held_out"][0].as_py())),
+            "n_tokens": pa.array(sizes.astype(np.int64)), "n_known": pa.array(total(known.astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(sizes), tree.total, dtype=np.int64)), "base_score": base, "score": score})
 
     return run
 
@@ -329,26 +452,18 @@ def _scored(shared):
 def scored(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     held_out = F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False))
-    docs = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
-    tree, (vocabulary, others, tables), encoded = learn(docs)
+    docs = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
+    tree, (vocabulary, others, tables, buckets), encoded = learn(docs)
     share = docs.sparkSession.sparkContext.broadcast
-    shared = share(tree)
-    found = encoded.select("row", "doc_id", "held_out", "places").mapInArrow(
-        _scored(shared), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, added double")
-    rare = encoded.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select(
-        "row", F.col("x.codes").alias("code"), F.col("x.times").alias("times"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    words = rare.join(vocabulary, "code", "left").select(
-        "row", (F.col("times") * F.log10((n + 0.5) / tree.scale)).alias("rare"),
-        F.when(n > 0, F.col("times")).otherwise(0).alias("rare_known"), F.lit(0.0).alias("more"))
-    run = _others(share(tree.keys[0]), share(tables), share(bit_table(others, "code", BITS)))
-    longer = encoded.select("row", "places", "codes").mapInArrow(run, "row long, code long, times int").join(others, "code").select(
-        "row", F.lit(0.0).alias("rare"), F.lit(0).alias("rare_known"), (F.col("times") * F.col("weight")).alias("more"))
-    points = words.unionAll(longer).groupBy("row").agg(
-        F.sum("rare").alias("rare"), F.sum("rare_known").alias("rare_known"), F.sum("more").alias("more"))
-    base = F.col("base") + F.coalesce("rare", F.lit(0.0))
-    return found.join(points, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("added") + F.coalesce("more", F.lit(0.0))).alias("score"))
+    shared, tables, listed = share(tree), share(tables), share(bit_table(others, "code", BITS))
+    asked = encoded.select("block", "codes", "tokens").mapInArrow(
+        _asked(share(tree.keys[0]), tables, listed, buckets), "bucket int, block long, codes binary")
+    known = vocabulary.filter(F.col("n") < _frequent(tree.total)).select(
+        _bucket("code", buckets).alias("bucket"), "code", F.log10((F.col("n") + 0.5) / tree.scale).alias("value"))
+    known = known.unionAll(others.select(
+        (_bucket("code", buckets) + buckets).cast("int").alias("bucket"), "code", F.col("weight").alias("value")))
+    answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+        _answered, "block long, bucket int, vals binary")
+    return answers.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(
+        _scored(shared, tables, listed),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

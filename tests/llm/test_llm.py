@@ -195,6 +195,43 @@ def test_suffix_tree_odd_rows(llm):
     assert suffix_tree.scored(odd(llm, [])).count() == 0
 
 
+def test_suffix_tree_short_blocks(llm):
+    """Fewer tokens than the longest sequences have words."""
+    docs = llm.createDataFrame([(1, None)], "doc_id long, text string").coalesce(1)
+    (row,) = suffix_tree.scored(docs).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (1, 1, 1) and row.score == pytest.approx(row.base_score)
+
+
+def test_suffix_tree_blocks_and_buckets_are_the_same(llm, monkeypatch):
+    """Blocks ask for codes in one row per bucket, however many sequences their documents hold."""
+    random = np.random.default_rng(6)
+    texts = [" ".join(f"w{k} x{k}" for k in random.zipf(1.3, 30) % 500) for _ in range(600)] + ["", None]
+    docs = llm.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    monkeypatch.setattr(suffix_tree, "P_MIN", 0.5)
+    want = sorted(map(tuple, suffix_tree.scored(docs).collect()))
+    monkeypatch.setattr(suffix_tree, "BLOCK_CHARS", 3000)
+    monkeypatch.setattr(suffix_tree, "LEAST_BUCKETS", 3)
+    got = sorted(map(tuple, suffix_tree.scored(docs).collect()))
+    assert [r[:5] for r in got] == [r[:5] for r in want] and any(r[6] != r[5] for r in want)
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+    train = docs.selectExpr("doc_id", "false AS held_out", "text")
+    tree, (_, others, tables, buckets), encoded = suffix_tree.learn(train)
+    share = llm.sparkContext.broadcast
+    asked = encoded.select("block", "codes", "tokens").mapInArrow(
+        suffix_tree._asked(share(tree.keys[0]), share(tables), share(suffix_tree.bit_table(others, "code", suffix_tree.BITS)), buckets),
+        "bucket int, block long, codes binary").collect()
+    assert encoded.count() < 70 and len(asked) <= 2 * buckets * encoded.count()
+    assert sum(len(suffix_tree._unpacked_codes(r.codes)) for r in asked) > 3 * len(asked)
+
+
+def test_suffix_tree_ends_undo_joined():
+    codes = np.random.default_rng(7).integers(-1 << 63, 1 << 63, 1000)
+    joined = suffix_tree._joined(codes)
+    assert (suffix_tree._ends(joined, codes[:-1]) == codes[1:]).all()
+    ordered = np.sort(codes.view(np.uint64)).view(np.int64)
+    assert (suffix_tree._unpacked_codes(suffix_tree._packed_codes(ordered)) == ordered).all()
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_bitplane_round_trip(llm, kind):
     public = pytest.importorskip("public_tokenizers")
