@@ -10,8 +10,9 @@ distribution. A token is scored in the longest state that ends before it.
 That score is a sum over the kept sequences of a text: what a state leaves to shorter ones counts at each token after it, and a
 kept sequence adds how its last token's probability differs from that. So the tree is a stored table of sequences with their
 weights, computed by joins, and grows with the corpus. Only sequences that make up ``P_MIN`` of all training tokens are broadcast
-(at most 1 / P_MIN per length), which spares the joins their frequent keys; all others, and the unigram counts of words outside
-the frequent ones, reach the documents by a shuffled join. Tables of ``BITS`` bits only spare work. Equal 64-bit codes of
+(at most 1 / P_MIN per length). For all others, and for the unigram counts of words outside the frequent ones, blocks of
+documents ask: the distinct codes of a block are sent to buckets of the table, packed, and their values are sent back. Counts
+are summed in the same buckets, whose number follows the training tokens. Tables of ``BITS`` bits only spare work. Equal 64-bit codes of
 sequences count as equal.
 
 Defined results: a NULL or empty text is the end token alone; NULL ids are trained on and not held out; repeated rows are
@@ -21,15 +22,16 @@ scored one by one; without training rows every token has probability 1 (N = V =
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseflow.llm.common import batches, bit_table, blank_words, fold, in_bit_table, mixed, slices, written
+from caseflow.llm.common import Scratch, batches, bit_table, blank_words, fold, in_bit_table, mixed, slices, written
 
 FOLDS, HELD_OUT = 5, 1
 DEPTH = 3
@@ -44,6 +46,8 @@ BITS = 1 << 26
 BLOCK_CHARS = 6 << 20
 BUCKET_TOKENS, LEAST_BUCKETS = 2 << 20, 32
 TASK_CODES = 2 << 20
+#: The blocks are scored in so many parts, so that what they ask for and get isn't on disk at once.
+PARTS = 4
 
 
 def coded(texts: list[str | None], limit: int = COUNT_CHARS) -> Iterator[tuple[range, np.ndarray, np.ndarray, np.ndarray]]:
@@ -194,10 +198,10 @@ def _encoded(limit: int):
             place = np.empty(len(codes), dtype=np.int32)
             place[order] = np.arange(len(codes), dtype=np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array([base + made]), pa.array([held_out]), pa.array([len(tokens)]), pa.array([ids], pa.list_(pa.int64())),
+                [pa.array([base + made]), pa.array([(base >> 32) + made], pa.int64()), pa.array([held_out]), pa.array([len(tokens)]), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([_packed(np.diff(starts).astype(np.int32))], pa.binary()), pa.array([_packed(codes[order])], pa.binary()),
                  pa.array([_packed(place[tokens])], pa.binary())],
-                names=["block", "held_out", "n", "doc_ids", "sizes", "codes", "tokens"])
+                names=["block", "turn", "held_out", "n", "doc_ids", "sizes", "codes", "tokens"])
 
         size = {False: 0, True: 0}
         for batch in batches(rows):
@@ -217,7 +221,7 @@ def _encoded(limit: int):
     return run
 
 
-ENCODED = "block long, held_out boolean, n long, doc_ids array<long>, sizes binary, codes binary, tokens binary"
+ENCODED = "block long, turn long, held_out boolean, n long, doc_ids array<long>, sizes binary, codes binary, tokens binary"
 
 
 def _blocks(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -249,7 +253,7 @@ def _counts(tables, buckets):
             if tables is None:
                 parts.append((own, np.bincount(tokens, minlength=len(own))))
             else:
-                *_, (_, codes, at) = _by_length(own[tokens], tokens == 0, tables.value)
+                *_, (_, codes, at) = _by_length(own[tokens], tokens == 0, [t.value for t in tables])
                 parts.append(_summed(codes[at], np.ones(len(at), dtype=np.int64)))
             size += len(parts[-1][0])
             if size >= TASK_CODES:
@@ -269,29 +273,29 @@ def _sent(buckets: int, codes: np.ndarray, values: np.ndarray) -> Iterator[pa.Re
 
 
 def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    return (np.concatenate([_unpacked_codes(x.as_py()) for x in table["codes"]]),
-            np.concatenate([_unpacked(x.as_py(), np.int64) for x in table["vals"]]))
+    return (np.concatenate([np.empty(0, dtype=np.int64), *(_unpacked_codes(x.as_py()) for x in table["codes"])]),
+            np.concatenate([np.empty(0, dtype=np.int64), *(_unpacked(x.as_py(), np.int64) for x in table["vals"])]))
 
 
 def _counted(train: DataFrame, tables, buckets: int, least: int) -> DataFrame:
-    """Stored sequences that occur ``least`` times (code, n)."""
+    """Sequences that occur ``least`` times (code, n)."""
     def run(table: pa.Table) -> pa.Table:
         codes, n = _summed(*_received(table))
         return pa.table({"code": codes[n >= least], "n": n[n >= least]})
 
     sent = train.mapInArrow(_counts(tables, buckets), "bucket int, codes binary, vals binary")
-    return written(sent.groupBy("bucket").applyInArrow(run, "code long, n long"))
+    return sent.groupBy("bucket").applyInArrow(run, "code long, n long")
 
 
 def _links(tables, buckets):
     """Of the kept sequences: their codes and those of their beginnings, sent once by a task while it remembers them."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = np.empty(0, dtype=np.int64)
+        sent, kept = np.empty(0, dtype=np.int64), [t.value for t in tables]
         for _, own, tokens in _blocks(rows):
-            for k, (before, codes, at) in enumerate(_by_length(own[tokens], tokens == 0, tables.value)):
-                if not 0 < k < len(tables.value):
+            for k, (before, codes, at) in enumerate(_by_length(own[tokens], tokens == 0, kept)):
+                if not 0 < k < len(kept):
                     continue
-                at = at[in_bit_table(tables.value[k], codes[at])]
+                at = at[in_bit_table(kept[k], codes[at])]
                 at = at[_found(sent, codes[at]) < 0]
                 keys, one = np.unique(codes[at].view(np.uint64), return_index=True)
                 keys = keys.view(np.int64)
@@ -301,10 +305,15 @@ def _links(tables, buckets):
     return run
 
 
-def _linked(table: pa.Table) -> pa.Table:
-    codes, prefixes = _received(table)
+def _linked(sent: pa.Table, counts: pa.Table) -> pa.Table:
+    """The kept sequences of a bucket with their beginnings and ends."""
+    codes, prefixes = _received(sent)
     codes, one = np.unique(codes, return_index=True)
-    return pa.table({"code": codes, "prefix": prefixes[one], "suffix": _ends(codes, prefixes[one])})
+    own = counts["code"].to_numpy()
+    at = _found(codes, own)
+    own, prefixes = own[at >= 0], prefixes[one][at[at >= 0]]
+    return pa.table({"length": counts["length"].filter(pa.array(at >= 0)), "code": own,
+                     "n": counts["n"].filter(pa.array(at >= 0)), "prefix": prefixes, "suffix": _ends(own, prefixes)})
 
 
 def _columns(frame: DataFrame) -> list[np.ndarray]:
@@ -312,13 +321,15 @@ def _columns(frame: DataFrame) -> list[np.ndarray]:
     return [found[name].to_numpy() for name in frame.columns]
 
 
-def _level(counts: DataFrame, links: DataFrame, shorter: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+def _level(scratch: Scratch, length: int, links: DataFrame, shorter: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
     """Stored sequences of a length (code, n, lp, weight), and the states before their last tokens (code, n, log_rest).
 
-    ``shorter``: the sequences one shorter; lp is the log10 probability of a sequence's last token after the others.
+    ``links``: the kept sequences with their beginnings and ends; ``shorter``: the sequences one shorter; lp is the log10
+    probability of a sequence's last token after the others.
     """
-    rows = written(
-        counts.join(links, "code")
+    rows = scratch.keep(
+        "rows",
+        links.filter(F.col("length") == length)
         .join(shorter.select(F.col("code").alias("suffix"), F.col("lp").alias("lq")), "suffix")
         .join(shorter.select(F.col("code").alias("prefix"), F.col("n").alias("own")), "prefix")
         .select("code", "n", "prefix", "own", "lq"))
@@ -329,52 +340,56 @@ def _level(counts: DataFrame, links: DataFrame, shorter: DataFrame, total: int)
         F.greatest(1 - F.sum(q), F.lit(1e-12)).alias("rest_q"), F.sum(p * F.log(p / q)).alias("bits"),
         (1 - F.sum(left)).alias("rest"))
     gain = F.col("n") * (F.col("bits") + F.col("rest_p") * F.log(F.col("rest_p") / F.col("rest_q")))
-    states = written(sums.filter(gain >= 0.5 * (F.col("symbols") + 1) * float(np.log(max(total, 2)))).select(
+    states = scratch.keep(f"states {length}", sums.filter(gain >= 0.5 * (F.col("symbols") + 1) * float(np.log(max(total, 2)))).select(
         F.col("prefix").alias("code"), "n", F.log10(F.greatest("rest", F.lit(1e-300))).alias("log_rest")))
     lp = F.when(F.col("log_rest").isNull(), F.col("lq")).otherwise(F.log10(left + F.pow(F.lit(10.0), "log_rest") * q))
     own = rows.join(states.select(F.col("code").alias("prefix"), "log_rest"), "prefix", "left").select(
         "code", "n", lp.alias("lp"), F.coalesce(lp - F.col("lq") - F.col("log_rest"), F.lit(0.0)).alias("weight"))
-    return written(own), states
+    own = scratch.keep(f"sequences {length}", own)
+    scratch.drop("rows")
+    return own, states
 
 
-def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, DataFrame, list[np.ndarray], int], DataFrame]:
+def learn(docs: DataFrame, depth: int = DEPTH) -> tuple[Tree, tuple[DataFrame, DataFrame, list[Broadcast], int], DataFrame]:
     """The frequent sequences; the stored training counts of all tokens (code, n), the stored weights of all other sequences
-    (code, weight), the bit tables of the kept ones by length and the number of buckets; the stored blocks of documents.
+    (code, weight), the shared bit tables of the kept ones by length and the number of buckets; the stored blocks of documents.
 
     ``docs``: doc_id, held_out, text; held-out ones are encoded, not counted. Texts are read once, everything else is done on
     the blocks.
     """
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    encoded = written(docs.select("doc_id", "held_out", "text").mapInArrow(_encoded(BLOCK_CHARS), ENCODED))
+    scratch = Scratch(spark)
+    encoded = docs.select("doc_id", "held_out", "text").mapInArrow(_encoded(BLOCK_CHARS), ENCODED)
+    encoded = written(encoded.withColumn("part", (F.col("turn") % PARTS).cast("int")).drop("turn"), "part")
     train = encoded.filter("not held_out").select("block", "codes", "tokens")
     total = encoded.filter("not held_out").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_TOKENS))
-    vocabulary = _counted(train, None, buckets, 1)
+    vocabulary = written(_counted(train, None, buckets, 1))
     distinct = vocabulary.count()
     frequent = F.col("n") >= _frequent(total)
     tree = Tree(*_columns(vocabulary.filter(frequent).select("code", "n")), total, distinct)
     kept = [vocabulary.filter(F.col("n") >= MIN_COUNT)]
-    tables = [bit_table(kept[0], "code", BITS)]
-    for _ in range(depth):
-        shared = share(tables)
-        kept.append(_counted(train, shared, buckets, MIN_COUNT))
-        tables.append(bit_table(kept[-1], "code", BITS))
-        shared.unpersist()
-    links = train.mapInArrow(_links(share(tables), buckets), "bucket int, codes binary, vals binary")
-    links = written(links.groupBy("bucket").applyInArrow(_linked, "code long, prefix long, suffix long"))
+    tables = [share(bit_table(kept[0], "code", BITS))]
+    for length in range(1, depth + 1):
+        kept.append(scratch.keep(f"counts {length}", _counted(train, list(tables), buckets, MIN_COUNT)))
+        tables.append(share(bit_table(kept[-1], "code", BITS)))
+    links = train.mapInArrow(_links(tables, buckets), "bucket int, codes binary, vals binary")
+    counts = [kept[k].select(_bucket("code", buckets).alias("bucket"), F.lit(k).alias("length"), "code", "n") for k in range(1, depth + 1)]
+    links = scratch.keep("links", links.groupBy("bucket").cogroup(reduce(DataFrame.unionAll, counts).groupBy("bucket")).applyInArrow(
+        _linked, "length int, code long, n long, prefix long, suffix long"))
+    scratch.drop(*(f"counts {length}" for length in range(1, depth + 1)))
     shorter = kept[0].select("code", "n", F.log10((F.col("n") + 0.5) / tree.scale).alias("lp"))
     parts = []
     for length in range(1, depth + 1):
-        shorter, states = _level(kept[length], links, shorter, total)
+        shorter, states = _level(scratch, length, links, shorter, total)
         tree.add_states(length, *_columns(states.filter(frequent).select("code", "log_rest")))
         tree.add(*_columns(shorter.filter(frequent).select("code", "weight")))
         parts += [states.filter(~frequent).select("code", F.col("log_rest").alias("weight")),
                   shorter.filter(~frequent & (F.col("weight") != 0)).select("code", "weight")]
-    others = parts[0]
-    for part in parts[1:]:
-        others = others.unionAll(part)
-    return tree, (vocabulary, written(others.groupBy("code").agg(F.sum("weight").alias("weight"))), tables, buckets), encoded
+    others = written(reduce(DataFrame.unionAll, parts).groupBy("code").agg(F.sum("weight").alias("weight")))
+    scratch.drop(*list(scratch.paths))
+    return tree, (vocabulary, others, tables, buckets), encoded
 
 
 def _frequent(total: int) -> int:
@@ -400,7 +415,7 @@ def _asked(words, tables, listed, buckets):
     """Per block and bucket, the distinct codes whose values aren't broadcast; sequences have buckets after those of words."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, own, tokens in _blocks(rows):
-            rare, found, _ = _rest(words.value, own, tokens, tables.value, listed.value)
+            rare, found, _ = _rest(words.value, own, tokens, [t.value for t in tables], listed.value)
             sent = [(first + k, _packed_codes(codes[at])) for first, codes in ((0, rare), (buckets, _distinct(found)[0]))
                     for k, at in _dealt(codes, buckets)]
             yield pa.RecordBatch.from_arrays(
@@ -410,9 +425,19 @@ def _asked(words, tables, listed, buckets):
     return run
 
 
+def _gathered(known: pa.Table) -> pa.Table:
+    """The codes of a bucket and their values as one row."""
+    order = np.argsort(known["code"].to_numpy().view(np.uint64))
+    codes, values = known["code"].to_numpy()[order], known["value"].to_numpy()[order]
+    return pa.table({"bucket": known["bucket"][:1], "codes": pa.array([_packed_codes(codes)], pa.binary()),
+                     "vals": pa.array([_packed(values)], pa.binary())})
+
+
 def _answered(asked: pa.Table, known: pa.Table) -> pa.Table:
     """The values of the codes that blocks ask for; NaN where there is none."""
-    codes, values = known["code"].to_numpy(), known["value"].to_numpy()
+    codes, values = np.empty(0, dtype=np.int64), np.empty(0)
+    if known.num_rows:
+        codes, values = _unpacked_codes(known["codes"][0].as_py()), _unpacked(known["vals"][0].as_py(), np.float64)
     order = np.argsort(codes)
     keys, values = codes[order], np.append(values[order], np.nan)  # -1: absent
     return pa.table({
@@ -429,7 +454,7 @@ def _scored(shared, tables, listed):
         ((_, own, tokens),) = _blocks(iter(blocks.combine_chunks().to_batches()))
         sizes = _unpacked(blocks["sizes"][0].as_py(), np.int32)
         starts = np.cumsum(np.r_[0, sizes[:-1]])
-        rare, found, at = _rest(tree.keys[0], own, tokens, tables.value, listed.value)
+        rare, found, at = _rest(tree.keys[0], own, tokens, [t.value for t in tables], listed.value)
         first, word = tree.first(own, tokens), _found(np.sort(rare), own)
         base, added = tree.score(first, tokens == 0)
         by_word = np.append(values[:len(rare)][np.argsort(rare)], 0.0)[word]
@@ -455,15 +480,20 @@ def scored(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text")
     tree, (vocabulary, others, tables, buckets), encoded = learn(docs)
     share = docs.sparkSession.sparkContext.broadcast
-    shared, tables, listed = share(tree), share(tables), share(bit_table(others, "code", BITS))
-    asked = encoded.select("block", "codes", "tokens").mapInArrow(
-        _asked(share(tree.keys[0]), tables, listed, buckets), "bucket int, block long, codes binary")
+    shared, listed = share(tree), share(bit_table(others, "code", BITS))
+    run = _asked(share(tree.keys[0]), tables, listed, buckets)
     known = vocabulary.filter(F.col("n") < _frequent(tree.total)).select(
         _bucket("code", buckets).alias("bucket"), "code", F.log10((F.col("n") + 0.5) / tree.scale).alias("value"))
     known = known.unionAll(others.select(
         (_bucket("code", buckets) + buckets).cast("int").alias("bucket"), "code", F.col("weight").alias("value")))
-    answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        _answered, "block long, bucket int, vals binary")
-    return answers.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(
-        _scored(shared, tables, listed),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    known = written(known.groupBy("bucket").applyInArrow(_gathered, "bucket int, codes binary, vals binary"))
+    parts = []
+    for part in range(PARTS):
+        blocks = encoded.filter(F.col("part") == part).drop("part")
+        asked = blocks.select("block", "codes", "tokens").mapInArrow(run, "bucket int, block long, codes binary")
+        answers = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+            _answered, "block long, bucket int, vals binary")
+        parts.append(written(answers.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(
+            _scored(shared, tables, listed),
+            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")))
+    return reduce(DataFrame.unionAll, parts)

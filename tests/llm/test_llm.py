@@ -218,7 +218,7 @@ def test_suffix_tree_blocks_and_buckets_are_the_same(llm, monkeypatch):
     tree, (_, others, tables, buckets), encoded = suffix_tree.learn(train)
     share = llm.sparkContext.broadcast
     asked = encoded.select("block", "codes", "tokens").mapInArrow(
-        suffix_tree._asked(share(tree.keys[0]), share(tables), share(suffix_tree.bit_table(others, "code", suffix_tree.BITS)), buckets),
+        suffix_tree._asked(share(tree.keys[0]), tables, share(suffix_tree.bit_table(others, "code", suffix_tree.BITS)), buckets),
         "bucket int, block long, codes binary").collect()
     assert encoded.count() < 70 and len(asked) <= 2 * buckets * encoded.count()
     assert sum(len(suffix_tree._unpacked_codes(r.codes)) for r in asked) > 3 * len(asked)
