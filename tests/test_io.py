@@ -1,8 +1,10 @@
 import gzip
 import json
 import random
+import re
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +134,86 @@ def test_small_files_are_cut_by_the_task_that_reads_them(spark, tmp_path):
             spark.conf.set(name, old)
 
 
+def _documents_by_character(text, packed):
+    """Segments of a file as Spark reads them and its documents, one character at a time; a rest comes last, unless it is blank."""
+    segments = text.split("}")
+    braced = [True] * (len(segments) - 1) + [False]
+    if segments[-1] == "":
+        segments, braced = segments[:-1], braced[:-1]
+    base, depth, string, found, begun = int(text.lstrip(" \n").startswith("[")), 0, False, [], ""
+    for i, segment in enumerate(segments):
+        k = 0
+        while k < len(segment):
+            if segment[k] == "\\" and segment[k + 1:k + 2] not in ("", "\n"):
+                k += 1
+            elif segment[k] == '"':
+                string = not string
+            elif not string:
+                depth += {"{": 1, "[": 1, "]": -1}.get(segment[k], 0)
+            k += 1
+        # whether a brace closes a packed file is unknown: it does if a document is open
+        brace = depth > base if packed and i == len(segments) - 1 else braced[i]
+        begun += segment + ("}" if brace else "")
+        if brace and not string:
+            depth -= 1
+            if depth == base:
+                found.append(begun)
+                begun = ""
+    trimmed = [re.sub(r"^[ \n]*[\[,]?[ \n]*", "", document) for document in [*found, begun]]
+    return segments, trimmed if trimmed[-1].strip(" \n]") else trimmed[:-1]
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_segments_are_cut_in_batches_of_any_size(size):
+    """Random text of whole files, plain and packed, whose documents don't depend on where a batch ends."""
+    rng = random.Random(size)
+    pieces = ["{", "}", "[", "]", '"', "\\", '\\"', ",", " ", "\n", "é", '{"a": "x}{"}', '{"b": {"c": [1]}}, ', "\\\\"]
+    rows, expected = [], []
+    for i in range(300):
+        name = f"file:/f{i}.json" + (".gz" if i % 2 else "")
+        text = "".join(rng.choice(pieces) for _ in range(rng.choice([1, 4, 40])))
+        text = "[" + text * (i % 3 + 1) if i % 3 else text
+        segments, documents = _documents_by_character(text, packed=i % 2 == 1)
+        rows += [(name, len(text.encode()), segment) for segment in segments]
+        expected += [(name, k, document) for k, document in enumerate(documents)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("_arquivo", "_size", "value"), row)) for row in rows[i:i + size]])
+               for i in range(0, len(rows), size)]
+    got = [tuple(row.values()) for batch in lists._cut(iter(batches)) for row in batch.to_pylist()]
+    assert got == expected and len(got) > 400
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    """A filter on good documents doesn't parse them again, and files of one split are cut without patterns in the plan."""
+    (tmp_path / "a.json").write_text('[{"metadados": {"numero_processo": "1"}}, {"metadados": bad}]')
+    (tmp_path / "b.ndjson").write_text('{"id": "1"}\n{"id": bad}\n')
+    scans = [readers.read_organised_documents(spark, str(tmp_path / "a.json")), readers.read_case_lines(spark, str(tmp_path / "b.ndjson"))]
+    for scan in scans:
+        good, bad = readers.split_rejects(scan)
+        for part in (good, bad):
+            assert part.count() == 1
+            assert part._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    plan = scans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan and "RLIKE" not in plan
+
+
+def test_only_files_above_the_least_split_are_read_for_splits(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"f{i}.json").write_text('{"a": 1}')
+    (tmp_path / "large.json").write_text("[" + ",".join(['{"a": "' + "x" * 1000 + '"}'] * 100) + "]")
+    options = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "4096"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, wanted in options.items():
+        spark.conf.set(name, wanted)
+    try:
+        rows = lists.segments(spark, str(tmp_path))
+        assert lists._any_split(spark, rows)
+        assert not lists._any_split(spark, lists.segments(spark, str(tmp_path / "f*.json")))
+        assert lists.documents(spark, str(tmp_path)).count() == 140
+    finally:
+        for name, old in before.items():
+            spark.conf.set(name, old)
+
+
 def test_one_document_per_file(spark, tmp_path):
     tree_text = [{"numeroUnico": "r", "sequencial": 0, "instancia": "1", "processos": [
         {"numeroUnico": "a", "sequencial": 1, "instancia": "2", "processos": []}]}]
