@@ -200,7 +200,7 @@ def test_only_files_above_the_least_split_are_read_for_splits(spark, tmp_path):
     for i in range(40):
         (tmp_path / f"f{i}.json").write_text('{"a": 1}')
     (tmp_path / "large.json").write_text("[" + ",".join(['{"a": "' + "x" * 1000 + '"}'] * 100) + "]")
-    options = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "4096"}
+    options = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4096b"}
     before = {name: spark.conf.get(name) for name in options}
     for name, wanted in options.items():
         spark.conf.set(name, wanted)
@@ -214,6 +214,24 @@ def test_only_files_above_the_least_split_are_read_for_splits(spark, tmp_path):
             spark.conf.set(name, old)
 
 
+def test_many_small_files_share_a_task(spark, tmp_path):
+    tasks = lists.TASKS * spark.sparkContext.defaultParallelism
+    for i in range(3 * tasks):
+        (tmp_path / f"f{i}.json").write_text(f'[{{"a": {i}}}, {{"b": {i}}}]')
+    options = {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "4k"}
+    before = {name: spark.conf.get(name) for name in options}
+    for name, wanted in options.items():
+        spark.conf.set(name, wanted)
+    try:
+        assert lists.segments(spark, str(tmp_path)).rdd.getNumPartitions() == 3 * tasks
+        documents = lists.documents(spark, str(tmp_path))
+        assert documents.rdd.getNumPartitions() == tasks
+        assert sorted(r.texto for r in documents.collect()) == sorted(f'{{"{k}": {i}}}' for i in range(3 * tasks) for k in "ab")
+    finally:
+        for name, old in before.items():
+            spark.conf.set(name, old)
+
+
 def test_one_document_per_file(spark, tmp_path):
     tree_text = [{"numeroUnico": "r", "sequencial": 0, "instancia": "1", "processos": [
         {"numeroUnico": "a", "sequencial": 1, "instancia": "2", "processos": []}]}]
